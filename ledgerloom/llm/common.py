@@ -13,8 +13,10 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,3 +90,34 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+class IdFilter:
+    """A set of ids as bits of their hashes, to leave most other rows behind before a shuffle.
+
+    It holds every id it was made of and may hold others, so an exact semi-join follows. Its
+    size does not depend on the ids: the bits come to the driver as at most ``BITS / 2 ** 15``
+    bitmaps of 4 kB, and are broadcast.
+    """
+
+    BITS = 1 << 25
+
+    def __init__(self, sent):
+        self.sent = sent
+
+    @classmethod
+    def of(cls, ids: DataFrame) -> IdFilter:
+        """``ids``: one column ``id`` of longs; nulls are left out."""
+        marks = ids.filter("id IS NOT NULL").select((cls.position("id") + 1).alias("at")).selectExpr("bitmap_bucket_number(at) AS bucket", "bitmap_bit_position(at) AS bit")
+        bits = np.zeros(cls.BITS // 8, np.uint8)
+        for row in marks.groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).toLocalIterator():
+            bits[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.bits, np.uint8)
+        return cls(ids.sparkSession.sparkContext.broadcast(bits))
+
+    @classmethod
+    def position(cls, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(cls.BITS))
+
+    def mask(self, positions: pa.Array) -> pa.Array:
+        at = positions.to_numpy(zero_copy_only=False)
+        return pa.array((self.sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP3_SQL, op3_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .ngram_join import OP5_SQL, op5_ngram_join
 from .token_output import op9_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_ngram_join": op5_ngram_join,
     "op9_token_output": op9_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
+    "op5_ngram_join": OP5_SQL,
 }

@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP3_SQL, op3_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .language_id import op8_language_id
 from .ngram_join import OP5_SQL, op5_ngram_join
+from .quality import op10_quality
 from .token_output import op9_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_ngram_join": op5_ngram_join,
+    "op8_language_id": op8_language_id,
     "op9_token_output": op9_token_output,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -14,7 +14,9 @@ parallel; a document's pieces carry their CRC-32, and CRCs of pieces combine by
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,53 +27,88 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, raw_texts, table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SCALE_BITS = 20
-LANES = 512
-BLOCK_TOKENS = 1 << 18
+LANES = 4096
+BLOCK_TOKENS = 1 << 20
 #: Coder steps between checkpoints.
-CHECKPOINT_STEPS = 128
-CACHE_WORDS = 600_000
+CHECKPOINT_STEPS = 64
+CACHE_WORDS = 1_200_000
 LOW = np.uint64(1 << 31)
 
 
 # ---------------------------------------------------------------- tokenising
 
 
+#: The runs into which the pre-tokenizer splits a word of Latin letters, digits and signs but the apostrophe.
+_RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
 class WordIds(dict):
-    """Ids of space-free pieces as little-endian 16-bit bytes, exact for this tokenizer.
+    """Ids of space-free words as little-endian 16-bit bytes, exact for this tokenizer.
 
     Its pre-tokenizer never joins characters across white space and drops white space, and
-    its normalizer lower-cases, so a text's ids are those of its space-separated pieces in
-    order. The cache is emptied when it is full.
+    its normalizer lower-cases, so a text's ids are those of its words between ASCII white
+    space, in order. A new word of Latin letters, digits and signs is lower-cased and split
+    as the pre-tokenizer would; its new runs are encoded many at once by the same model, and
+    told apart by the end-of-word mark of their last token. Any other word goes through the
+    whole tokenizer alone. The cache is emptied when it is full.
     """
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
+        from tokenizers import pre_tokenizers as pre
+        from tokenizers.models import BPE
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words: set[str]) -> None:
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        end = model["end_of_word_suffix"]
+        self.runs = Tokenizer(BPE(vocab=model["vocab"], merges=[tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]], cache_capacity=0, end_of_word_suffix=end))
+        self.runs.pre_tokenizer = pre.Sequence([pre.WhitespaceSplit(), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[i for token, i in model["vocab"].items() if token.endswith(end)]] = True
+
+    def alone(self, words: list) -> None:
+        for word, got in zip(words, self.tokenizer.encode_batch_fast([w.decode() if isinstance(w, bytes) else w for w in words], add_special_tokens=False)):
+            self[word] = np.array(got.ids, "<u2").tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE_WORDS:
+        if len(self) + 2 * len(new) > CACHE_WORDS:
             self.clear()
             new = list(words)
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self[word] = np.array(got.ids, "<u2").tobytes()
-
-    def of(self, texts: list[str | None]) -> list[bytes]:
+        plain, parts, other = [], [], []
+        for word in new:
+            text = word.decode().lower()
+            held = _RUNS.findall(text)
+            if sum(map(len, held)) == len(text) and "<|" not in text:
+                plain.append(word)
+                parts.append(held)
+            else:
+                other.append(word)
+        self.alone(other)
+        runs = [r for r in set().union(*parts) if r not in self]
+        for start in range(0, len(runs), 10_000):
+            part = runs[start : start + 10_000]
+            ids = np.array(self.runs.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u2")
+            ends = (2 * np.flatnonzero(self.ends[ids]) + 2).tolist()
+            if len(ends) != len(part):
+                self.alone(part)
+                continue
+            self.update(zip(part, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        self.update((word, b"".join(map(self.__getitem__, held))) for word, held in zip(plain, parts))
+
+    def of(self, texts: list[bytes | None]) -> list[bytes]:
         # Special tokens are told apart by case before normalisation; only such texts keep theirs.
-        lowered = [x if "<|" in x else x.encode().lower().decode() for x in (t or "" for t in texts)]
         out: list[bytes] = []
-        for start in range(0, len(lowered), 500):
-            pieces = [x.split(" ") for x in lowered[start : start + 500]]
+        for start in range(0, len(texts), 500):
+            pieces = [(x if b"<|" in x else x.lower()).split() for x in (t or b"" for t in texts[start : start + 500])]
             self.learn(set().union(*pieces))
             out += [b"".join(map(self.__getitem__, p)) for p in pieces]
         return out
@@ -98,7 +135,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 part = batch.slice(start, 2000)
-                ids = [x + end for x in words.of(part.column(1).to_pylist())]
+                ids = [x + end for x in words.of(raw_texts(part.column(1)))]
                 for at in range(0, len(ids), 200):
                     counts += np.bincount(np.frombuffer(b"".join(ids[at : at + 200]), "<u2"), minlength=1 << 16)
                 n = len(ids)

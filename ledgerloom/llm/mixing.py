@@ -27,7 +27,7 @@ BUCKETS = 1 << 14
 #: Labelled rows that the classifier learns from, at most: those of the smallest hashes of their ids.
 LABELLED = 20_000
 #: Words that count in full; the evidence of longer texts is scaled down to so many, which keeps posteriors soft.
-EVIDENCE = 40
+EVIDENCE = 120
 SMOOTHING = 0.5
 PULL = 1e-3
 STEPS = 40

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_pipeline import run as pipeline
+
 from .decontaminate import OP3_SQL, op3_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .html_extract import op6_html_extract
 from .language_id import op8_language_id
+from .line_dedup import op2_fuzzy_lines
 from .mixing import op7_mixing
 from .ngram_join import OP5_SQL, op5_ngram_join
 from .quality import op10_quality
@@ -18,6 +21,7 @@ from .url_filter import OP1_SQL, op1_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_fuzzy_lines": op2_fuzzy_lines,
     "op3_decontaminate": op3_decontaminate,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_ngram_join": op5_ngram_join,
@@ -26,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_output": op9_token_output,
     "op10_quality": op10_quality,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -27,6 +27,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import words
 from .common import Scratch, raw_texts, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -47,19 +48,21 @@ LOW = np.uint64(1 << 31)
 _RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 
-class WordIds(dict):
-    """Ids of space-free words as little-endian 16-bit bytes, exact for this tokenizer.
+class WordIds:
+    """Ids of texts as little-endian 16-bit bytes, exact for this tokenizer.
 
     Its pre-tokenizer never joins characters across white space and drops white space, and
     its normalizer lower-cases, so a text's ids are those of its words between ASCII white
-    space, in order. A new word of Latin letters, digits and signs is lower-cased and split
-    as the pre-tokenizer would; its new runs are encoded many at once by the same model, and
-    told apart by the end-of-word mark of their last token. Any other word goes through the
-    whole tokenizer alone. The cache is emptied when it is full.
+    space, in order. Words of a batch of texts are told apart by 128-bit hashes, and the ids
+    of known words lie in arrays sorted by hash; only new words are looked at one by one.
+
+    A new word of Latin letters, digits and signs is lower-cased and split as the
+    pre-tokenizer would; its new runs are encoded many at once by the same model, and told
+    apart by the end-of-word mark of their last token. Any other word goes through the whole
+    tokenizer alone. What is known is forgotten when it is too much.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
         from tokenizers import pre_tokenizers as pre
         from tokenizers.models import BPE
@@ -69,48 +72,98 @@ class WordIds(dict):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         end = model["end_of_word_suffix"]
-        self.runs = Tokenizer(BPE(vocab=model["vocab"], merges=[tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]], cache_capacity=0, end_of_word_suffix=end))
-        self.runs.pre_tokenizer = pre.Sequence([pre.WhitespaceSplit(), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.model = Tokenizer(BPE(vocab=model["vocab"], merges=[tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]], cache_capacity=0, end_of_word_suffix=end))
+        self.model.pre_tokenizer = pre.Sequence([pre.WhitespaceSplit(), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends = np.zeros(1 << 16, bool)
         self.ends[[i for token, i in model["vocab"].items() if token.endswith(end)]] = True
+        self.runs: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.offsets, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, "<u2"), 0
 
-    def alone(self, words: list) -> None:
-        for word, got in zip(words, self.tokenizer.encode_batch_fast([w.decode() if isinstance(w, bytes) else w for w in words], add_special_tokens=False)):
-            self[word] = np.array(got.ids, "<u2").tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + 2 * len(new) > CACHE_WORDS:
-            self.clear()
-            new = list(words)
-        plain, parts, other = [], [], []
-        for word in new:
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [np.array(got.ids, "<u2").tobytes() for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def of_words(self, wanted: list[bytes]) -> list[bytes]:
+        plain, other = [], []
+        for no, word in enumerate(wanted):
             text = word.decode().lower()
             held = _RUNS.findall(text)
             if sum(map(len, held)) == len(text) and "<|" not in text:
-                plain.append(word)
-                parts.append(held)
+                plain.append((no, held))
             else:
-                other.append(word)
-        self.alone(other)
-        runs = [r for r in set().union(*parts) if r not in self]
-        for start in range(0, len(runs), 10_000):
-            part = runs[start : start + 10_000]
-            ids = np.array(self.runs.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u2")
+                other.append(no)
+        if len(self.runs) > CACHE_WORDS:
+            self.runs.clear()
+        new = list({r for _, held in plain for r in held if r not in self.runs})
+        for start in range(0, len(new), 10_000):
+            part = new[start : start + 10_000]
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u2")
             ends = (2 * np.flatnonzero(self.ends[ids]) + 2).tolist()
-            if len(ends) != len(part):
-                self.alone(part)
-                continue
-            self.update(zip(part, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends))))
-        self.update((word, b"".join(map(self.__getitem__, held))) for word, held in zip(plain, parts))
+            alike = len(ends) == len(part)
+            self.runs.update(zip(part, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends)) if alike else self._alone(part)))
+        out = [b""] * len(wanted)
+        for no, held in plain:
+            out[no] = self.runs[held[0]] if len(held) == 1 else b"".join([self.runs[r] for r in held])
+        for no, got in zip(other, self._alone([wanted[no].decode() for no in other])):
+            out[no] = got
+        return out
 
-    def of(self, texts: list[bytes | None]) -> list[bytes]:
+    def _plainly(self, text: bytes) -> bytes:
         # Special tokens are told apart by case before normalisation; only such texts keep theirs.
+        pieces = (text if b"<|" in text else text.lower()).split()
+        different = list(set(pieces))
+        known = dict(zip(different, self.of_words(different)))
+        return b"".join(map(known.__getitem__, pieces))
+
+    def _learn(self, data: bytes, keys: np.ndarray, checks: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> None:
+        got = self.of_words([data[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
+        ids = np.frombuffer(b"".join(got), "<u2")
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // 2
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.keys, self.checks = np.insert(self.keys, at, keys), np.insert(self.checks, at, checks)
+        self.offsets, self.sizes = np.insert(self.offsets, at, self.used + np.cumsum(sizes) - sizes), np.insert(self.sizes, at, sizes)
+        self.used += len(ids)
+
+    def _together(self, group: list[bytes]) -> list[bytes] | None:
+        """Ids of folded texts, with one look at each different word. None if two words share a hash."""
+        data = b" ".join(group)
+        starts, ends = words.places(data)
+        if not len(starts):
+            return [b""] * len(group)
+        keys, first, of = np.unique(words.hashes(data, starts, ends), return_index=True, return_inverse=True)
+        every = words.hashes(data, starts, ends, 1)
+        checks = every[first]
+        if (every != checks[of]).any():
+            return None
+        if len(self.keys) + len(keys) > CACHE_WORDS:
+            self.forget()
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        if len(self.keys):
+            new = self.keys[np.minimum(at, len(self.keys) - 1)] != keys
+        if new.any():
+            self._learn(data, keys[new], checks[new], starts[first[new]], ends[first[new]], at[new])
+            at = np.searchsorted(self.keys, keys)
+        if (self.checks[at] != checks).any():
+            return None
+        sizes = self.sizes[at][of]
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(self.offsets[at][of] - begins[:-1], sizes) + np.arange(begins[-1])]
+        bounds = begins[np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in group)]))].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+
+    def of(self, texts: list[bytes | None]) -> list[bytes]:
         out: list[bytes] = []
-        for start in range(0, len(texts), 500):
-            pieces = [(x if b"<|" in x else x.lower()).split() for x in (t or b"" for t in texts[start : start + 500])]
-            self.learn(set().union(*pieces))
-            out += [b"".join(map(self.__getitem__, p)) for p in pieces]
+        for group in words.groups([t or b"" for t in texts]):
+            alike = len(group[0]) < words.PART_BYTES and not any(b"<|" in t for t in group)
+            got = self._together([t.translate(words.FOLD) for t in group]) if alike else None
+            out += got if got is not None else map(self._plainly, group)
         return out
 
 
@@ -130,12 +183,12 @@ def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """kind 0: (doc_id, ids) of each document, end id included. kind 1: (id, n) counts of a task's ids."""
 
     def run(batches):
-        words, end = word_ids(path), np.array([end_id], "<u2").tobytes()
+        known, end = word_ids(path), np.array([end_id], "<u2").tobytes()
         counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 part = batch.slice(start, 2000)
-                ids = [x + end for x in words.of(raw_texts(part.column(1)))]
+                ids = [x + end for x in known.of(raw_texts(part.column(1)))]
                 for at in range(0, len(ids), 200):
                     counts += np.bincount(np.frombuffer(b"".join(ids[at : at + 200]), "<u2"), minlength=1 << 16)
                 n = len(ids)

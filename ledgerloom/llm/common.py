@@ -110,7 +110,7 @@ class IdFilter:
         """``ids``: one column ``id`` of longs; nulls are left out."""
         marks = ids.filter("id IS NOT NULL").select((cls.position("id") + 1).alias("at")).selectExpr("bitmap_bucket_number(at) AS bucket", "bitmap_bit_position(at) AS bit")
         bits = np.zeros(cls.BITS // 8, np.uint8)
-        for row in marks.groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).toLocalIterator():
+        for row in marks.groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect():
             bits[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.bits, np.uint8)
         return cls(ids.sparkSession.sparkContext.broadcast(bits))
 

@@ -6,12 +6,12 @@ shuffle, and joins two written tables, whose hot nodes adaptive execution splits
 
 ``link_in_buckets`` finds the connected components of the graph whose edges are the pairs
 that share a bucket and pass a check, without listing all pairs of a large bucket. In a
-round every bucket that still holds two components deals one pivot, compared with each
-member of another component; the pivot then leaves the bucket, since all its pairs there are
-decided. A bucket whose members are all in one component is done: further pairs could
-not change the components. Once the pairs left are no more than a few for each row, or the
-rounds are used up, the rest is listed exactly: members of different components of the
-same bucket. So no bucket is capped and no component can be lost.
+round every bucket that still holds two components deals a few pivots, each compared with
+the members of other components; the pivots then leave the bucket, since all their pairs
+there are decided. A bucket whose members are all in one component is done: further pairs
+could not change the components. Once the pairs left are no more than a few for each row,
+or the rounds are used up, the rest is listed exactly: members of different components of
+the same bucket. So no bucket is capped and no component can be lost.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-#: Rounds with pivots at most, and pairs for each row from which all are listed at once.
-ROUNDS = 8
+#: Rounds with pivots at most, pivots of a bucket in a round, and pairs for each row up to which all are listed at once.
+ROUNDS = 2
+PIVOTS = 4
 LISTED = 2
 
 
@@ -43,12 +44,12 @@ def components(scratch: Scratch, pairs: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = scratch.cut(both.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
+        large = both.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.filter("v <> m").select(F.col("m").alias("lo"), F.col("v").alias("hi")).unionByName(least.select(F.col("m").alias("lo"), F.col("u").alias("hi")))
-        after = scratch.cut(small.distinct(), "small-star")
-        scratch.drop(edges, large)
+        after = scratch.cut(small.distinct(), "stars")
+        scratch.drop(edges)
         edges, was, before = after, before, _state(after)
         if was == before:
             break
@@ -56,46 +57,53 @@ def components(scratch: Scratch, pairs: DataFrame) -> DataFrame:
     return scratch.cut(edges.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(roots), "components")
 
 
-def link_in_buckets(spark: SparkSession, scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: int = 0, rounds: int = ROUNDS, listed: int = LISTED) -> DataFrame:
-    """(id, component) of the ids of ``rows`` (bucket, id, n) that have a link.
+def link_in_buckets(spark: SparkSession, scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], admit: Callable[[str, str], str] | None = None, rounds: int = ROUNDS, pivots: int = PIVOTS, listed: int = LISTED) -> DataFrame:
+    """(id, component) of the ids of ``rows`` (bucket, item) that have a link; ``item`` is a struct with ``id``.
 
-    ``verify`` takes pairs (a, b), each once, and returns those that are links. Pairs of ids
-    where 100 * the smaller n is less than ``ratio`` * the larger are no candidates.
+    ``admit`` gives a condition in SQL over two items of one bucket, for pairs that are
+    candidates there; a link must be admitted in at least one bucket that it shares.
+    ``verify`` takes pairs (a, b) of ids, each once, and returns those that are links, as a
+    written table.
     """
-    rows = scratch.cut(rows.select("bucket", "id", "n").distinct(), "rows")
-    labels = scratch.cut(rows.select("id").distinct().withColumn("component", F.col("id")), "labels")
+    labels = None
+    done: list[DataFrame] = []  # tables of the round before, read for the last time by this one
 
     def admitted(pairs: DataFrame) -> DataFrame:
-        """From (a, na, b, nb) the different pairs (a, b)."""
-        if ratio:
-            pairs = pairs.filter(f"100 * least(na, nb) >= {ratio} * greatest(na, nb)")
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        """From items (x, y) the different pairs (a, b)."""
+        pairs = pairs.filter(admit("x", "y")) if admit else pairs
+        return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).filter("a < b").distinct()
 
     for k in range(rounds + 1):
-        held = scratch.cut(rows.join(labels, "id"), "labelled")
-        pivot = F.min_by(F.struct("id", "n", "component"), F.xxhash64("id", F.lit(k))).alias("pivot")
-        buckets = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), pivot)
-        buckets = scratch.cut(buckets.filter("least < most").select("bucket", "size", "pivot"), "buckets")
+        held = rows.withColumn("component", F.col("item.id")) if labels is None else rows.join(labels.withColumnRenamed("id", "_id"), F.col("item.id") == F.col("_id")).drop("_id")
+        held = scratch.cut(held, "labelled")
+        scratch.drop(*done)
+        labels = held.select("item.id", "component").distinct() if labels is None else labels
+        dealt = [F.min_by(F.struct("item", "component"), F.xxhash64("item.id", F.lit(k * pivots + i))) for i in range(pivots)]
+        buckets = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.array_distinct(F.array(*dealt)).alias("pivots"))
+        buckets = scratch.cut(buckets.filter("least < most").select("bucket", "size", "pivots"), "buckets")
         size, pairs_left = buckets.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.expr("size * (size - 1) div 2")), F.lit(0))).first()
         if not size:
             break
         last = k == rounds or pairs_left <= listed * size
         if last:
             live = scratch.cut(held.join(buckets.select("bucket"), "bucket"), "live")
-            classes = scratch.cut(live.select("bucket", "component").distinct(), "classes")
+            classes = live.select("bucket", "component").distinct()
             crossing = classes.withColumnRenamed("component", "c1").join(classes.withColumnRenamed("component", "c2"), "bucket").filter("c1 < c2")
-            one = live.select("bucket", F.col("component").alias("c1"), F.col("id").alias("a"), F.col("n").alias("na"))
-            two = live.select("bucket", F.col("component").alias("c2"), F.col("id").alias("b"), F.col("n").alias("nb"))
-            pairs = crossing.join(one, ["bucket", "c1"]).join(two, ["bucket", "c2"]).select("a", "na", "b", "nb")
+            one = live.select("bucket", F.col("component").alias("c1"), F.col("item").alias("x"))
+            two = live.select("bucket", F.col("component").alias("c2"), F.col("item").alias("y"))
+            pairs = crossing.join(one, ["bucket", "c1"]).join(two, ["bucket", "c2"]).select("x", "y")
         else:
-            live = held.join(buckets.select("bucket", "pivot"), "bucket").filter("id <> pivot.id")
-            pairs = live.filter("component <> pivot.component").selectExpr("id a", "n na", "pivot.id b", "pivot.n nb")
-        links = scratch.cut(verify(scratch.cut(admitted(pairs), "pairs")), "links")
+            met = held.join(buckets.select("bucket", "pivots"), "bucket")
+            pairs = met.select(F.col("item").alias("x"), "component", F.explode("pivots").alias("p")).filter("component <> p.component").select("x", F.col("p.item").alias("y"))
+            rows = met.filter("NOT exists(pivots, p -> p.item.id = item.id)").select("bucket", "item")
+        links = verify(admitted(pairs))
         of = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        met = links.join(of, "a").join(of.withColumnsRenamed({"a": "b", "ca": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        joined = components(scratch, met)
+        joined = components(scratch, links.join(of, "a").join(of.withColumnsRenamed({"a": "b", "ca": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         labels = scratch.cut(labels.join(joined.select(F.col("id").alias("component"), F.col("component").alias("root")), "component", "left").select("id", F.coalesce("root", "component").alias("component")), "labels")
+        scratch.drop(joined)
         if last:
+            scratch.drop(held, buckets, live)
             break
-        rows = scratch.cut(live.select("bucket", "id", "n"), "rows")
-    return labels.filter("id <> component").unionByName(labels.filter("id <> component").select(F.col("component").alias("id"), "component").distinct())
+        done = [held, buckets]
+    linked = labels.filter("id <> component")
+    return linked.unionByName(linked.select(F.col("component").alias("id"), "component").distinct())

@@ -5,7 +5,8 @@ set are one node. Of two sets with Jaccard similarity t or more, the first
 ``n - ceil(t * n) + 1`` shingles under *any* order of all shingles share one. Three orders
 are used: rarest first, and two by different hashes. The first order's prefixes are the
 index that deals candidates, and a candidate must share prefix shingles under the other two
-as well before its sets are fetched and compared exactly.
+as well before its sets are compared exactly. A shared shingle's places in both orders bound
+what the sets can have in common, which leaves most pairs out at once.
 
 The first order puts shingles known to be frequent last, by their number. Which ones are
 known is no matter for the result, since any order is right; so the list is bounded
@@ -24,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import words
 from .common import IdFilter, Scratch, raw_texts, sliced, table
 from .linking import link_in_buckets
 
@@ -33,41 +35,36 @@ PERCENT = 85
 FREQUENT = 1 << 17
 #: Shingles that a task counts together before it passes on those that it met again.
 COUNTED = 1 << 21
-CACHE_WORDS = 400_000
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A bijection of 64-bit numbers that looks random (the finaliser of splitmix64)."""
-    x = x + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = got = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-_WORDS = _Words()
-
-
-def shingles(text: bytes | None, size: int) -> np.ndarray:
-    """The distinct shingles' hashes, ascending; with fewer words than ``size`` all words are one shingle."""
-    held = (text or b"").translate(_LOWER).split()
-    if not held:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, held), np.uint64, len(held))
-    take = min(size, len(h))
-    out = h[: len(h) - take + 1].copy()
-    for i in range(1, take):
-        out = out * _STEP + h[i : len(h) - take + 1 + i]
-    return np.unique(mixed(out, take))
+def shingles(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """Each text's distinct shingles' hashes, ascending; with fewer words than ``size`` all words are one shingle."""
+    out: list[np.ndarray] = []
+    base = np.uint64(words.BASES[0])
+    for group in words.groups([(t or b"").translate(words.FOLD) for t in texts]):
+        if len(group) == 1 and len(group[0]) + 1 > words.PART_BYTES:
+            held = np.concatenate([words.hashes(part, *words.places(part)) for part in words.parts(group[0])])
+            bounds = np.array([0, len(held)])
+        else:
+            data = b" ".join(group)
+            starts, ends = words.places(data)
+            held = words.hashes(data, starts, ends)
+            bounds = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in group)]))
+        whole = held[: max(0, len(held) - size + 1)].copy()
+        for i in range(1, size):
+            whole = whole * base + held[i : i + len(whole)]
+        whole = words.mixed(whole, size)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if b - a >= size:
+                out.append(np.unique(whole[a : b - size + 1]))
+            elif b > a:
+                one = held[a : a + 1]
+                for i in range(a + 1, b):
+                    one = one * base + held[i : i + 1]
+                out.append(words.mixed(one, b - a))
+            else:
+                out.append(np.zeros(0, np.uint64))
+    return out
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -91,17 +88,16 @@ def frequent_shingles(docs: DataFrame, size: int, percent: int, most: int) -> np
             again = n > 1
             return pa.RecordBatch.from_arrays([pa.array(ids[again].view(np.int64)), pa.array(n[again].astype(np.int64))], names=["shingle", "n"])
 
-        for batch in batches:
-            for text in raw_texts(batch.column(1)):
-                found = shingles(text, size)
+        for batch in sliced(batches, 500):
+            for found in shingles(raw_texts(batch.column(1)), size):
                 mark = xxhash.xxh3_64_intdigest(found.tobytes())
                 if mark not in seen:  # copies do not make a shingle frequent
                     seen.add(mark)
                     held.append(found[: prefix_length(len(found), percent)])
                     total += len(held[-1])
-                if total >= COUNTED:
-                    yield counted()
-                    held, seen, total = [], set(), 0
+            if total >= COUNTED:
+                yield counted()
+                held, seen, total = [], set(), 0
         yield counted()
 
     counts = _batches(docs, run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -109,57 +105,60 @@ def frequent_shingles(docs: DataFrame, size: int, percent: int, most: int) -> np
     return top.column(0).to_numpy().astype(np.int64).view(np.uint64)[::-1]
 
 
-PREFIXES = "doc_id long, n long, fp1 long, fp2 long, rare array<long>, second array<int>, third array<int>"
+def _lists(rows: list[np.ndarray], kind) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*rows, np.zeros(0, kind)]).astype(kind, copy=False)))
 
 
 def prefixes(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
-    """Of each row: set size, 128-bit fingerprint of the set, and its prefixes under three orders.
-
-    The other orders' shingles are cut to 32 bits: equal ones stay equal, so no pair is lost.
-    """
+    """Of each row: set size, 128-bit fingerprint of the set, and its prefix under the order of rarity."""
     order = np.argsort(frequent)
     sent = docs.sparkSession.sparkContext.broadcast((frequent[order], order.astype(np.int64) + 1))
 
-    def lists(rows: list[np.ndarray], kind) -> pa.Array:
-        ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*rows, np.zeros(0, kind)]).astype(kind)))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ranks = sent.value
-        for batch in sliced(batches, 1000):
-            sizes, marks, columns = [], [], ([], [], [])
-            for text in raw_texts(batch.column(1)):
-                found = shingles(text, size)
-                sizes.append(len(found))
-                mark = xxhash.xxh3_128_intdigest(found.tobytes())
-                marks.append((mark >> 64, mark & 0xFFFFFFFFFFFFFFFF))
-                p = prefix_length(len(found), percent)
-                rank = np.zeros(len(found), np.int64)
-                if len(known) and len(found):
-                    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                    rank = np.where(known[at] == found, ranks[at], 0)
-                columns[0].append(found[np.argsort(rank, kind="stable")[:p]].view(np.int64))
-                for seed in (1, 2):
-                    keys = mixed(found, seed)
-                    columns[seed].append((np.partition(keys, p - 1)[:p] if p else keys).astype(np.uint32).view(np.int32))
+        for batch in sliced(batches, 500):
+            found = shingles(raw_texts(batch.column(1)), size)
+            flat = np.concatenate([*found, np.zeros(0, np.uint64)])
+            rank = np.zeros(len(flat), np.int64)
+            if len(known) and len(flat):
+                at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+                rank = np.where(known[at] == flat, ranks[at], 0)
+            marks, rare, start = [], [], 0
+            for one in found:
+                mark = xxhash.xxh3_128_intdigest(one.tobytes())
+                marks.append((mark >> 64, mark & words.MASK))
+                own = rank[start : start + len(one)]
+                start += len(one)
+                p = prefix_length(len(one), percent)
+                rare.append((one[np.argsort(own, kind="stable")[:p]] if own.any() else one[:p]).view(np.int64))
             fp = np.array(marks, np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), lists(columns[0], np.int64), lists(columns[1], np.int32), lists(columns[2], np.int32)], names=["doc_id", "n", "fp1", "fp2", "rare", "second", "third"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, found)), pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), _lists(rare, np.int64)], names=["doc_id", "n", "fp1", "fp2", "rare"])
+
+    return _batches(docs, run, "doc_id long, n long, fp1 long, fp2 long, rare array<long>")
 
-    return _batches(docs, run, PREFIXES)
 
+def whole_sets(docs: DataFrame, wanted: IdFilter, size: int, percent: int) -> DataFrame:
+    """(id, shingles, second, third) of the rows whose doc_id passes the filter.
 
-def whole_sets(docs: DataFrame, wanted: IdFilter, size: int) -> DataFrame:
-    """(id, shingles) of the rows whose doc_id passes the filter."""
+    The prefixes under the second and third order are cut to 32 bits: equal shingles stay
+    equal, so no pair is lost.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(wanted.mask(batch.column(2)))
-            for part in sliced([batch], 1000):
-                found = [shingles(x, size).view(np.int64) for x in raw_texts(part.column(1))]
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.zeros(0, np.int64)])))], names=["id", "shingles"])
+            for part in sliced([batch], 500):
+                found = shingles(raw_texts(part.column(1)), size)
+                others: list[list[np.ndarray]] = [[], []]
+                for one in found:
+                    p = prefix_length(len(one), percent)
+                    for seed in (1, 2):
+                        keys = words.mixed(one, seed)
+                        others[seed - 1].append((np.partition(keys, p - 1)[:p] if p else keys).astype(np.uint32).view(np.int32))
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists([x.view(np.int64) for x in found], np.int64), _lists(others[0], np.int32), _lists(others[1], np.int32)], names=["id", "shingles", "second", "third"])
 
-    return docs.select("doc_id", "text", IdFilter.position("doc_id").alias("at")).mapInArrow(run, "id long, shingles array<long>")
+    return docs.select("doc_id", "text", IdFilter.position("doc_id").alias("at")).mapInArrow(run, "id long, shingles array<long>, second array<int>, third array<int>")
 
 
 def ngram_components(spark: SparkSession, docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
@@ -178,23 +177,31 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = SHINGLE_W
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
     # A set's node is its smallest doc_id.
     sets = scratch.cut(named.groupBy(*key).agg(F.min("doc_id").alias("id")), "sets")
-    nodes = named.join(sets, key).filter("doc_id = id").dropDuplicates(["id", *key])
-    index = scratch.cut(nodes.select(F.explode("rare").alias("bucket"), "id", "n"), "index")
-    shared = index.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("bucket")
+    copies = named.select("doc_id", *key).join(sets, key).filter("doc_id <> id").select("doc_id", *key)
+    nodes = named.join(scratch.cut(copies, "copies"), ["doc_id", *key], "left_anti")
+    index = scratch.cut(nodes.select(F.posexplode("rare").alias("place", "bucket"), F.col("doc_id").alias("id"), "n"), "index")
+    shared = index.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("bucket")
     met = scratch.cut(index.join(shared, "bucket"), "met")
     scratch.drop(index)
-    few = scratch.cut(rows.select(F.col("doc_id").alias("id"), "n", "second", "third").join(met.select("id").distinct(), "id", "left_semi"), "orders")
+    def admit(a: str, b: str) -> str:
+        # After the first shingle that two sets share, no more can follow than the shorter rest of either.
+        return f"{100 + percent} * (1 + least({a}.n - 1 - {a}.place, {b}.n - 1 - {b}.place)) >= {percent} * ({a}.n + {b}.n)"
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one, two = (few.select(F.col("id").alias(x), F.col("second").alias(f"{x}2"), F.col("third").alias(f"{x}3")) for x in "ab")
+        pairs = scratch.cut(pairs, "pairs")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        held = scratch.cut(whole_sets(docs, IdFilter.of(ids), size, percent).join(ids, "id", "left_semi"), "whole-sets")
+        one, two = (held.select(F.col("id").alias(x), F.col("second").alias(f"{x}2"), F.col("third").alias(f"{x}3")) for x in "ab")
         kept = scratch.cut(pairs.join(one, "a").join(two, "b").filter("arrays_overlap(a2, b2) AND arrays_overlap(a3, b3)").select("a", "b").distinct(), "candidates")
-        ids = kept.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = scratch.cut(whole_sets(docs, IdFilter.of(ids), size).join(ids, "id", "left_semi"), "whole-sets")
-        one, two = (texts.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+        one, two = (held.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
         common = F.size(F.array_intersect("sa", "sb"))
-        return kept.join(one, "a").join(two, "b").filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
+        links = kept.join(one, "a").join(two, "b").filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
+        links = scratch.cut(links, "links")
+        scratch.drop(pairs, held, kept)
+        return links
 
-    linked = scratch.cut(link_in_buckets(spark, scratch, met, verify, ratio=percent), "linked")
+    linked = scratch.cut(link_in_buckets(spark, scratch, met.select("bucket", F.struct("id", "n", "place").alias("item")), verify, admit), "linked")
+    scratch.drop(met)
     classes = sets.join(linked, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
     return rows.select("doc_id", *key).join(classes, key, "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 

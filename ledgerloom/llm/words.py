@@ -43,8 +43,9 @@ def places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashes(data: bytes, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """Of the words of at most ``PART_BYTES`` of folded text."""
-    up, down = _powers(BASES[which], PART_BYTES), _powers(pow(BASES[which], -1, 1 << 64), PART_BYTES)
+    """Of the words of folded text, which is longer than ``PART_BYTES`` only where one word is."""
+    size = max(PART_BYTES, len(data))
+    up, down = _powers(BASES[which], size), _powers(pow(BASES[which], -1, 1 << 64), size)
     a = np.frombuffer(data, np.uint8).astype(np.uint64)
     sums = np.zeros(len(a) + 1, np.uint64)
     np.cumsum((a + np.uint64(1)) * up[: len(a)], out=sums[1:])
@@ -65,11 +66,13 @@ def groups(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def parts(text: bytes) -> Iterator[bytes]:
-    """A long folded text in parts cut at blanks; a word longer than a part is cut at its end too."""
+    """A long folded text in parts cut at blanks; a word longer than a part makes its part longer."""
     at = 0
     while len(text) - at > PART_BYTES:
-        cut = text.rfind(b" ", at, at + PART_BYTES)
-        cut = at + PART_BYTES if cut <= at else cut
+        cut = text.rfind(b" ", at + 1, at + PART_BYTES)
+        cut = text.find(b" ", at + PART_BYTES) if cut < 0 else cut
+        if cut < 0:
+            break
         yield text[at:cut]
         at = cut
     yield text[at:]

@@ -9,7 +9,7 @@ puts all curvatures in (0, 1], so few steps suffice.
 The model is two numbers for each word bucket and domain, inlined as literal arrays, so
 scoring is one pass without a shuffle. A gradient step is one aggregate over a written table
 of a few numbers a document; the rates are a function of the past residuals, one number for
-each domain and step, and are never stored or collected.
+each domain and step, and are never collected.
 """
 
 from __future__ import annotations
@@ -30,8 +30,10 @@ LABELLED = 20_000
 EVIDENCE = 120
 SMOOTHING = 0.5
 PULL = 1e-3
-STEPS = 40
-TOLERANCE = 1e-4
+#: Gradient steps at most, steps between two writings of the rates, and the residual, relative to a domain's tokens, that ends the fit.
+STEPS = 30
+NESTED = 6
+TOLERANCE = 1e-3
 #: Target shares of tokens in the registered query: domains are read off ``labels``.
 TARGETS = {"clean": 0.9, "junk": 0.08, "toxic": 0.02}
 
@@ -109,27 +111,45 @@ def rate_of(history: list[list[float]], low: float, high: float | None) -> Colum
     return F.aggregate(steps, start, step)
 
 
-def fit_rates(rows: DataFrame, targets: list[float], low: float = 0.0, high: float | None = None, steps: int = STEPS) -> list[list[float]]:
+def _step(rate: Column, residuals: list[float], low: float, high: float | None) -> Column:
+    """One gradient step on written columns p0, p1, ...; it names ``rate`` once, so steps nest."""
+    k = 1 / (1 + PULL)
+    moved = rate * F.lit(k) + F.lit(PULL * k)
+    for i, residual in enumerate(residuals):
+        moved = moved - F.col(f"p{i}") * F.lit(residual * k)
+    moved = F.greatest(F.lit(float(low)), moved)
+    return moved if high is None else F.least(F.lit(float(high)), moved)
+
+
+def fit_rates(scratch: Scratch, rows: DataFrame, targets: list[float], low: float = 0.0, high: float | None = None, steps: int = STEPS) -> list[list[float]]:
     """History for ``rate_of`` from ``rows`` (n_tokens, posteriors): ``targets`` are tokens of each domain.
 
-    A domain without any mass can't be reached and is left out of the fit; a table without
+    A step is one aggregate over the written rates; they are written anew every few steps. A
+    domain without any mass can't be reached and is left out of the fit; a table without
     tokens needs no step.
     """
     k = len(targets)
+    start = rate_of([], low, high).alias("rate")
+    held = scratch.cut(rows.select("n_tokens", *(F.col("posteriors")[i].alias(f"p{i}") for i in range(k)), start), "rates")
 
-    def totals(history: list[list[float]]) -> list[float]:
-        rate = rate_of(history, low, high)
-        weighed = rows.select(*((rate * F.col("n_tokens") * F.col("posteriors")[i]).alias(f"t{i}") for i in range(k)))
-        row = weighed.agg(*(F.sum(f"t{i}") for i in range(k))).first()
-        return [x or 0.0 for x in row]
+    def totals(rate: Column) -> list[float]:
+        weighed = held.select((rate * F.col("n_tokens")).alias("w"), *(f"p{i}" for i in range(k)))
+        return [x or 0.0 for x in weighed.agg(*(F.sum(F.col("w") * F.col(f"p{i}")) for i in range(k))).first()]
 
-    mass = rows.select(*((F.col("n_tokens") * F.col("posteriors")[i]).alias(f"t{i}") for i in range(k))).agg(*(F.sum(f"t{i}") for i in range(k))).first()
-    mass = [x or 0.0 for x in mass]
+    mass = totals(F.lit(1.0))
     whole = sum(mass)
     history: list[list[float]] = []
-    last = None
+    since, last = 0, None
     while whole and len(history) < steps:
-        got = totals(history)
+        rate = F.col("rate")
+        for residuals in history[since:]:
+            rate = _step(rate, residuals, low, high)
+        if len(history) - since == NESTED:
+            old = held
+            held = scratch.cut(held.withColumn("rate", rate), "rates")
+            scratch.drop(old)
+            since, rate = len(history), F.col("rate")
+        got = totals(rate)
         residuals = [(g - t) / m if m > 1e-9 * whole else 0.0 for g, t, m in zip(got, targets, mass)]
         if max(map(abs, residuals)) < TOLERANCE or (last is not None and max(abs(a - b) for a, b in zip(got, last)) < 1e-6 * whole):
             break
@@ -156,7 +176,7 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, weights: Mapp
         i = model.domains.index(anchor)
         held = rows.agg(F.sum(F.col("n_tokens") * F.col("posteriors")[i])).first()[0] or 0.0
         whole = 1.05 * held / shares[i]
-    history = fit_rates(rows, [s * whole for s in shares], low, high)
+    history = fit_rates(scratch, rows, [s * whole for s in shares], low, high)
     return model.with_posteriors(docs.drop("n_tokens", "posteriors", "rate")).withColumn("rate", rate_of(history, low, high)), model
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import language_id as L
 from ledgerloom.llm import mixing as M
 from ledgerloom.llm import quality as Q
+from ledgerloom.llm.common import Scratch
 
 PARTS = {"aa": ["bana", "ra", "to", "ki", "lu"], "bb": ["schr", "icht", "ung", "en", "der"], "cc": ["ção", "ões", "ar", "lhe", "mente"]}
 
@@ -111,7 +112,7 @@ def test_mixing_meets_its_targets(spark):
     shares = (rate * n) @ p / n.sum()
     assert np.allclose(shares, [0.5, 0.3, 0.2], atol=0.01)
     # The same steps in NumPy.
-    history = M.fit_rates(found.select("n_tokens", "posteriors"), [0.5 * n.sum(), 0.3 * n.sum(), 0.2 * n.sum()])
+    history = M.fit_rates(Scratch(spark, "t"), found.select("n_tokens", "posteriors"), [0.5 * n.sum(), 0.3 * n.sum(), 0.2 * n.sum()])
     r = np.ones(len(n))
     for residuals in history:
         r = np.maximum(0, r - (p @ np.array(residuals) + M.PULL * (r - 1)) / (1 + M.PULL))

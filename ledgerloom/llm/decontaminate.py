@@ -13,7 +13,6 @@ Documents are never shuffled for one block; for several, hits are merged by docu
 
 from __future__ import annotations
 
-import hashlib
 import re
 import uuid
 from collections.abc import Iterator

@@ -60,11 +60,14 @@ def components(scratch: Scratch, pairs: DataFrame) -> DataFrame:
 def link_in_buckets(spark: SparkSession, scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], admit: Callable[[str, str], str] | None = None, rounds: int = ROUNDS, pivots: int = PIVOTS, listed: int = LISTED) -> DataFrame:
     """(id, component) of the ids of ``rows`` (bucket, item) that have a link; ``item`` is a struct with ``id``.
 
+    Where items have a ``weight`` the heaviest of a bucket is its first pivot: what has many
+    copies is likely what the others of a group of near copies were made from.
     ``admit`` gives a condition in SQL over two items of one bucket, for pairs that are
     candidates there; a link must be admitted in at least one bucket that it shares.
     ``verify`` takes pairs (a, b) of ids, each once, and returns those that are links, as a
     written table.
     """
+    heavy = -F.col("item.weight") if "weight" in rows.schema["item"].dataType.names else F.lit(0)
     labels = None
     done: list[DataFrame] = []  # tables of the round before, read for the last time by this one
 
@@ -78,7 +81,7 @@ def link_in_buckets(spark: SparkSession, scratch: Scratch, rows: DataFrame, veri
         held = scratch.cut(held, "labelled")
         scratch.drop(*done)
         labels = held.select("item.id", "component").distinct() if labels is None else labels
-        dealt = [F.min_by(F.struct("item", "component"), F.xxhash64("item.id", F.lit(k * pivots + i))) for i in range(pivots)]
+        dealt = [F.min_by(F.struct("item", "component"), F.struct(heavy if i == 0 else F.lit(0), F.xxhash64("item.id", F.lit(k * pivots + i)))) for i in range(pivots)]
         buckets = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.array_distinct(F.array(*dealt)).alias("pivots"))
         buckets = scratch.cut(buckets.filter("least < most").select("bucket", "size", "pivots"), "buckets")
         size, pairs_left = buckets.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.expr("size * (size - 1) div 2")), F.lit(0))).first()

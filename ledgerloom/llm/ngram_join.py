@@ -176,12 +176,13 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = SHINGLE_W
     rows = scratch.cut(prefixes(docs, known, size, percent), "prefixes")
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
     # A set's node is its smallest doc_id.
-    sets = scratch.cut(named.groupBy(*key).agg(F.min("doc_id").alias("id")), "sets")
-    copies = named.select("doc_id", *key).join(sets, key).filter("doc_id <> id").select("doc_id", *key)
+    sets = scratch.cut(named.groupBy(*key).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("weight")), "sets")
+    copies = named.select("doc_id", *key).join(sets.drop("weight"), key).filter("doc_id <> id").select("doc_id", *key)
     nodes = named.join(scratch.cut(copies, "copies"), ["doc_id", *key], "left_anti")
     index = scratch.cut(nodes.select(F.posexplode("rare").alias("place", "bucket"), F.col("doc_id").alias("id"), "n"), "index")
     shared = index.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("bucket")
-    met = scratch.cut(index.join(shared, "bucket"), "met")
+    copied = sets.filter("weight > 1").groupBy("id").agg(F.max("weight").alias("weight"))
+    met = scratch.cut(index.join(shared, "bucket").join(copied, "id", "left").fillna(1, ["weight"]), "met")
     scratch.drop(index)
     def admit(a: str, b: str) -> str:
         # After the first shingle that two sets share, no more can follow than the shorter rest of either.
@@ -200,9 +201,9 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = SHINGLE_W
         scratch.drop(pairs, held, kept)
         return links
 
-    linked = scratch.cut(link_in_buckets(spark, scratch, met.select("bucket", F.struct("id", "n", "place").alias("item")), verify, admit), "linked")
+    linked = scratch.cut(link_in_buckets(spark, scratch, met.select("bucket", F.struct("id", "n", "place", "weight").alias("item")), verify, admit), "linked")
     scratch.drop(met)
-    classes = sets.join(linked, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
+    classes = sets.drop("weight").join(linked, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
     return rows.select("doc_id", *key).join(classes, key, "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 

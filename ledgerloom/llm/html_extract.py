@@ -8,7 +8,7 @@ enclosing element is a token of the template) make the host's template. What is
 left of a page is its slots: runs of text between template tokens. A slot's role follows
 from the template's elements around it: slots of menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments go, and of the rest those in the article's
-element stay. Where pages mark no article, it is the deepest element that holds most of the
+element stay, which is one slot and taken whole. Where pages mark no article, it is the deepest element that holds most of the
 host's slot text outside links.
 
 Copies of a page count once for its host's template, so that an article is never taken for
@@ -185,18 +185,19 @@ class Page:
 
     def extract(self, template: set[int], main: int | None) -> str:
         kept = [s for s in self.segments if not s[1].dropped]
-        if any(s[1].article for s in kept):
+        if any(s[1].article for s in kept):  # the article's element is one slot, taken whole
             sizes = Counter()
             for text, element, _, _ in kept:
                 sizes[element.article] += len(text.strip()) if element.article else 0
             best = max(sizes, key=lambda a: (sizes[a], -a))
-            kept = [s for s in kept if s[1].article == best]
-        elif level := max((s[1].main for s in kept if s[0].strip()), default=0):
+            return _joined([s for s in kept if s[1].article == best])
+        if level := max((s[1].main for s in kept if s[0].strip()), default=0):
             kept = [s for s in kept if s[1].main == level]
         elif main is not None and any(main in s[3] for s in kept):
             kept = [s for s in kept if main in s[3]]
-        slots = [s for s in kept if _digest(" ".join(s[0].split()), s[1].path ^ 0x5BD1E995) not in template]
-        return _joined(slots) or _joined(kept)
+        # A block is template text only where all of it is.
+        own = {block for text, element, block, _ in kept if text.strip() and _digest(" ".join(text.split()), element.path ^ 0x5BD1E995) not in template}
+        return _joined([s for s in kept if s[2] in own]) or _joined(kept)
 
 
 def _joined(segments: list) -> str:

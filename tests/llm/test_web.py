@@ -81,8 +81,8 @@ PARTS = {
     "comments": '<section class="comments"><article class="comment"><p>reader {0}</p></article></section>',
     "footer": "<footer>&copy; {0}</footer>",
 }
-BODY = "<h1>T &amp; {0}</h1><p>One <b>bold{0}</b>word<p>two&nbsp; &lt;three&gt;<br>four<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>"
-TEXT = "T & {0} One bold{0}word two <three> four a b c d"
+BODY = "<h1>T &amp; {0}</h1><p>One <b>bold{0}</b>word<p>two&nbsp; &lt;three{0}&gt;<br>four{0}<ul><li>a{0}<li>b{0}</ul><table><tr><td>c{0}<td>d{0}</table>"
+TEXT = "T & {0} One bold{0}word two <three{0}> four{0} a{0} b{0} c{0} d{0}"
 
 
 def layout(wrap, i):
@@ -100,6 +100,9 @@ def test_extraction_of_known_pages(spark):
     for r in got:
         expected = {90: "", 91: "x y", 92: "", 93: "plain < text é"}.get(r.page_id, TEXT.format(r.page_id))
         assert (r.text, r.n_chars) == (expected, len(expected)), r.page_id
+    same = [(i, f"http://h.org/{i}", f"<article><p>same words<p>own {i}</article>") for i in range(6)]
+    kept = H.extract(spark, spark.createDataFrame(same, "page_id long, url string, html string")).collect()
+    assert {r.text for r in kept} == {f"same words own {i}" for i in range(6)}  # nothing of a marked article is dropped
     assert H.extract(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 

@@ -184,7 +184,9 @@ def apply_rates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Each row of ``docs`` (with ``rate``) floor(rate) times, and once more for a part of the ids that is the rest of the rate."""
     part = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("mixing")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
-    return docs.withColumn("_copies", copies).filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
+    # Written before it is filtered: a filter would be pushed below the scoring, and score each row many times.
+    counted = Scratch(docs.sparkSession, "mixing").cut(docs.withColumn("_copies", copies), "copies")
+    return counted.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,10 @@ enclosing element is a token of the template) make the host's template. What is
 left of a page is its slots: runs of text between template tokens. A slot's role follows
 from the template's elements around it: slots of menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments go, and of the rest those in the article's
-element stay, which is one slot and taken whole. Where pages mark no article, it is the deepest element that holds most of the
-host's slot text outside links.
+element stay. In it an element that holds template text only, so no slot, is a notice or
+advert of the host and goes, whatever it is named; a repeated paragraph or heading between
+slots is the article's own and stays. Where pages mark no article, it is the deepest element
+that holds most of the host's slot text outside links.
 
 Copies of a page count once for its host's template, so that an article is never taken for
 a template because it was published twice.
@@ -47,6 +49,8 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements of running text: alone they are no part of a page's structure.
+FLOW = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup pre blockquote li dt dd caption thead tbody tfoot tr td th figcaption summary".split())
 DROPPED = frozenset("head nav footer aside form menu dialog template noscript svg math canvas object audio video select button script style textarea title xmp iframe noembed noframes datalist fieldset".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead"}, "body": {"head"}}
 SCOPES = frozenset("ul ol dl table article section div main body".split())
@@ -65,10 +69,12 @@ def _signed(x: int) -> int:
 
 
 class _Element:
-    __slots__ = ("name", "path", "dropped", "article", "main", "link", "depth")
+    __slots__ = ("name", "path", "dropped", "article", "main", "link", "depth", "parent", "framed", "chars", "repeated", "gone")
 
-    def __init__(self, name, path, dropped, article, main, link, depth):
+    def __init__(self, name, path, dropped, article, main, link, depth, parent=None, framed=False):
         self.name, self.path, self.dropped, self.article, self.main, self.link, self.depth = name, path, dropped, article, main, link, depth
+        #: Whether it has a class, an id or blocks of its own; its characters, those of the template, and whether it is boilerplate.
+        self.parent, self.framed, self.chars, self.repeated, self.gone = parent, framed, 0, 0, None
 
 
 class Page:
@@ -93,11 +99,12 @@ class Page:
         top = stack[-1]
         names: set[str] = set()
         marks = role = ""
-        hidden = False
+        hidden = framed = False
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
                 names.update(_NAMES.findall(_CAMEL.sub(" ", value).lower()))
+                framed |= bool(value.strip())
                 marks += f".{value}" if not any(c.isdigit() for c in value) else ""
             elif key == "role":
                 role = value.lower().strip()
@@ -113,7 +120,8 @@ class Page:
             self._articles += 1
             article = self._articles
         main = max(top.main, 2 if name == "main" or role == "main" else 1 if name in ("div", "section", "td") and names & MAIN_NAMES else 0)
-        stack.append(_Element(name, path, dropped, article, main, top.link or name == "a", top.depth + 1))
+        top.framed |= name not in INLINE
+        stack.append(_Element(name, path, dropped, article, main, top.link or name == "a", top.depth + 1, top, framed))
         self.tags.append((path, top.path))
 
     def _close_implied(self, names: set[str]) -> None:
@@ -183,14 +191,39 @@ class Page:
                     held[0] += n
         return {p: (n, d) for p, (n, d) in out.items() if n}
 
+    def _weigh(self, kept: list, template: set[int]) -> None:
+        """Counts the text of each element and what of it the template holds."""
+        for text, element, _, _ in kept:
+            if words := text.split():
+                n = sum(map(len, words))
+                known = n if template and _digest(" ".join(words), element.path ^ 0x5BD1E995) in template else 0
+                while element is not None:
+                    element.chars += n
+                    element.repeated += known
+                    element = element.parent
+
+    def _gone(self, element: _Element) -> bool:
+        """Whether the element, or one around it, is boilerplate inside an article by the host's template."""
+        chain = []
+        while element is not None and element.gone is None:
+            chain.append(element)
+            element = element.parent
+        gone = element is not None and element.gone
+        for e in reversed(chain):
+            nested = e.parent is not None and e.parent.article
+            gone = e.gone = gone or bool(nested and e.chars and e.framed and e.name not in FLOW and e.repeated == e.chars)
+        return gone
+
     def extract(self, template: set[int], main: int | None) -> str:
         kept = [s for s in self.segments if not s[1].dropped]
-        if any(s[1].article for s in kept):  # the article's element is one slot, taken whole
+        if any(s[1].article for s in kept):
+            self._weigh(kept, template)
             sizes = Counter()
             for text, element, _, _ in kept:
                 sizes[element.article] += len(text.strip()) if element.article else 0
             best = max(sizes, key=lambda a: (sizes[a], -a))
-            return _joined([s for s in kept if s[1].article == best])
+            kept = [s for s in kept if s[1].article == best]
+            return _joined([s for s in kept if not self._gone(s[1])]) or _joined(kept)
         if level := max((s[1].main for s in kept if s[0].strip()), default=0):
             kept = [s for s in kept if s[1].main == level]
         elif main is not None and any(main in s[3] for s in kept):

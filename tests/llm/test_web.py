@@ -106,6 +106,21 @@ def test_extraction_of_known_pages(spark):
     assert H.extract(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def texts_of(spark, pages):
+    rows = [(i, f"http://h.org/{i}", page) for i, page in enumerate(pages)]
+    out = H.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(out, key=lambda r: r.page_id)]
+
+
+def test_template_marks_boilerplate_inside_an_article(spark):
+    page = '<body><article><h2>Summary</h2><p>own {0}</p><div class="k9"><p>Buy <b>now</b></p></div><section><p>As seen on</p><p>every page</p></section><div>more {0}</div><div>Result</div><p>end {0}</p></article></body>'
+    assert texts_of(spark, [page.format(i) for i in range(6)]) == [f"Summary own {i} more {i} Result end {i}" for i in range(6)]
+    # No template, or nothing beside it: the article stays.
+    assert texts_of(spark, [page.format(1)]) == ["Summary own 1 Buy now As seen on every page more 1 Result end 1"]
+    alike = '<body><article><div class="k9"><p>All the same</p></div></article><footer>{0}</footer></body>'
+    assert texts_of(spark, [alike.format(i) for i in range(6)]) == ["All the same"] * 6
+
+
 def test_template_holds_what_all_pages_share(spark):
     page = "<html><body><div class=c1><p>Welcome to our pages</p><p>Our story of {0} begins</p></div><div class=c2>Same words here</div></body></html>"
     rows = [(f"h.org", page.format(i)) for i in range(6)] + [("copy.org", page.format(1))] * 9

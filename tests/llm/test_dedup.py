@@ -153,6 +153,23 @@ def brute_lines(rows):
     return {(d, n): not x or first[find(x)] == (d, n) for _, d, n, x in lines}
 
 
+def test_lines_with_a_changed_character(spark):
+    size = 5  # fixed here, so that a coarser comparison in the module shows
+    rng = random.Random(8)
+    bases = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rng.randint(61, 250))).strip() + "." for _ in range(120)]
+    rows, expected = [], {}
+    for i, base in enumerate(bases):
+        at = rng.randrange(8, len(base) - 8)
+        copy = base[:at] + "#" + base[at + 1 :]
+        a, b = ({x[k : k + size] for k in range(len(x) - size + 1)} for x in (base, copy))
+        rows += [(2 * i, base), (2 * i + 1, copy)]
+        expected[2 * i + 1] = 100 * len(a & b) < line_dedup.PERCENT * len(a | b)
+    got = {r.doc_id: r.kept for r in line_dedup.line_classes(spark, spark.createDataFrame(rows, DOCS)).collect()}
+    assert sum(not x for x in expected.values()) > 100
+    assert all(got[2 * i] for i in range(len(bases)))
+    assert sum(got[i] != kept for i, kept in expected.items()) <= 2
+
+
 def test_fuzzy_lines(spark):
     rng = random.Random(3)
     lines = []

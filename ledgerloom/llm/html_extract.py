@@ -7,11 +7,11 @@ vectors form an equivalence class. Classes that are frequent, large and nested (
 enclosing element is a token of the template) make the host's template. What is
 left of a page is its slots: runs of text between template tokens. A slot's role follows
 from the template's elements around it: slots of menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments go, and of the rest those in the article's
-element stay. In it an element that holds template text only, so no slot, is a notice or
+notices, adverts, forms and reader comments go, and of the rest those in the page's
+articles stay: the largest, and the others unless more than in it is template text or links. In them an element that holds template text only, so no slot, is a notice or
 advert of the host and goes, whatever it is named; a repeated paragraph or heading between
-slots is the article's own and stays. Where pages mark no article, it is the deepest element
-that holds most of the host's slot text outside links.
+slots is the article's own and stays. Where pages mark no article, the deepest element that
+holds most of the host's slot text outside links stays, and elements named as content with it.
 
 Copies of a page count once for its host's template, so that an article is never taken for
 a template because it was published twice.
@@ -56,6 +56,10 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = frozenset("ul ol dl table article section div main body".split())
 # Words in class and id names, and roles, of elements that are no article text.
 BOILERPLATE = frozenset("ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion promoted sidebar sidebars sidenav menu menus nav navbar navigation breadcrumb breadcrumbs footer foot masthead topbar cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations comment comments commentlist disqus discussion replies respond pagination pager widget widgets toolbar login search skip disclaimer copyright paywall".split())
+#: Those of them that also name sections of a text; there its template text, links and forms decide.
+AMBIGUOUS = frozenset("discussion related recommendations social search copyright disclaimer consent advertising promotion".split())
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 MAIN_NAMES = frozenset("article content main post entry story".split())
 
@@ -69,12 +73,23 @@ def _signed(x: int) -> int:
 
 
 class _Element:
-    __slots__ = ("name", "path", "dropped", "article", "main", "link", "depth", "parent", "framed", "chars", "repeated", "gone")
+    __slots__ = ("name", "path", "dropped", "article", "main", "link", "depth", "parent", "framed", "heading", "doubtful", "hinted", "answers", "chars", "repeated", "linked", "titles", "title_links", "inside", "gone")
 
-    def __init__(self, name, path, dropped, article, main, link, depth, parent=None, framed=False):
+    def __init__(self, name, path, dropped, article, main, link, depth, parent=None, framed=False, doubtful=False):
         self.name, self.path, self.dropped, self.article, self.main, self.link, self.depth = name, path, dropped, article, main, link, depth
-        #: Whether it has a class, an id or blocks of its own; its characters, those of the template, and whether it is boilerplate.
-        self.parent, self.framed, self.chars, self.repeated, self.gone = parent, framed, 0, 0, None
+        #: Whether it has a class, an id or blocks of its own, is in a heading, has an ambiguous name, is in such an element, and holds a form or comments.
+        self.parent, self.framed, self.doubtful, self.answers = parent, framed, doubtful, False
+        self.heading = name in HEADINGS or parent is not None and parent.heading
+        self.hinted = doubtful or parent is not None and parent.hinted
+        #: Its characters, those of the template and in links, of headings and in their links.
+        self.chars = self.repeated = self.linked = self.titles = self.title_links = 0
+        #: Whether it is within the page's main text, and whether it is boilerplate.
+        self.inside, self.gone = False, None
+
+    def marks(self) -> set[str]:
+        """What tells that the element is a list of links, a teaser or the template's."""
+        found = {"template": self.repeated == self.chars, "links": 2 * self.linked >= self.chars, "title": 0 < self.titles == self.title_links, "answers": self.answers}
+        return {k for k, v in found.items() if v}
 
 
 class Page:
@@ -98,12 +113,15 @@ class Page:
             return
         top = stack[-1]
         names: set[str] = set()
+        ids: set[str] = set()
         marks = role = ""
         hidden = framed = False
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
-                names.update(_NAMES.findall(_CAMEL.sub(" ", value).lower()))
+                found = _NAMES.findall(_CAMEL.sub(" ", value).lower())
+                names.update(found)
+                ids.update(found if key == "id" or name == "section" else ())
                 framed |= bool(value.strip())
                 marks += f".{value}" if not any(c.isdigit() for c in value) else ""
             elif key == "role":
@@ -114,14 +132,19 @@ class Page:
                 hidden = True
         path = _digest(name + marks, top.path)
         whole = name in ("html", "body", "article", "main")
-        dropped = top.dropped or name in DROPPED or hidden or role in ROLES or (name == "header" and not top.article) or (not whole and bool(names & BOILERPLATE)) or (name == "article" and bool(names & {"comment", "comments", "ad", "advert", "related", "promo", "teaser"}))
+        words = set() if whole else names & BOILERPLATE
+        doubtful = bool(words) and words <= AMBIGUOUS & ids
+        dropped = top.dropped or name in DROPPED or hidden or role in ROLES or (name == "header" and not top.article) or (bool(words) and not doubtful) or (name == "article" and bool(names & {"comment", "comments", "ad", "advert", "related", "promo", "teaser"}))
         article = top.article
-        if name == "article" and not article and not dropped:
+        if name == "article" and not article and not dropped and not top.hinted:
             self._articles += 1
             article = self._articles
         main = max(top.main, 2 if name == "main" or role == "main" else 1 if name in ("div", "section", "td") and names & MAIN_NAMES else 0)
         top.framed |= name not in INLINE
-        stack.append(_Element(name, path, dropped, article, main, top.link or name == "a", top.depth + 1, top, framed))
+        if top.hinted and (name in ("form", "textarea") or names & COMMENTS):
+            for e in stack:
+                e.answers |= e.doubtful
+        stack.append(_Element(name, path, dropped, article, main, top.link or name == "a", top.depth + 1, top, framed, doubtful))
         self.tags.append((path, top.path))
 
     def _close_implied(self, names: set[str]) -> None:
@@ -184,7 +207,7 @@ class Page:
         """Slot text outside links and dropped elements: (characters, depth) of each enclosing block element."""
         out: dict[int, list[int]] = {}
         for text, element, _, chain in self.segments:
-            if not element.dropped and not element.link:
+            if not element.dropped and not element.hinted and not element.link:
                 n = len(text.strip())
                 for depth, path in enumerate(chain):
                     held = out.setdefault(path, [0, depth])
@@ -192,46 +215,71 @@ class Page:
         return {p: (n, d) for p, (n, d) in out.items() if n}
 
     def _weigh(self, kept: list, template: set[int]) -> None:
-        """Counts the text of each element and what of it the template holds."""
+        """Counts the text of each element, what of it the template holds, and what is in links and headings."""
         for text, element, _, _ in kept:
             if words := text.split():
                 n = sum(map(len, words))
+                link, title = element.link, element.heading
                 known = n if template and _digest(" ".join(words), element.path ^ 0x5BD1E995) in template else 0
                 while element is not None:
                     element.chars += n
                     element.repeated += known
+                    element.linked += n * link
+                    element.titles += (n - known) * title
+                    element.title_links += (n - known) * (title and link)
                     element = element.parent
 
-    def _gone(self, element: _Element) -> bool:
-        """Whether the element, or one around it, is boilerplate inside an article by the host's template."""
+    def _gone(self, element: _Element, main: int | None) -> bool:
+        """Whether the element, or one around it, is boilerplate by the host's template, its links or its forms."""
         chain = []
         while element is not None and element.gone is None:
             chain.append(element)
             element = element.parent
         gone = element is not None and element.gone
         for e in reversed(chain):
-            nested = e.parent is not None and e.parent.article
-            gone = e.gone = gone or bool(nested and e.chars and e.framed and e.name not in FLOW and e.repeated == e.chars)
+            up = e.parent
+            e.inside = up is not None and bool(up.inside or up.article or up.main == 2 or (main and up.path == main))
+            filled = up is not None and up.article and e.framed and e.name not in FLOW and 0 < e.chars == e.repeated
+            gone = e.gone = bool(gone or filled or (e.doubtful and (not e.inside or e.marks())))
         return gone
 
+    def _articles_of(self, kept: list) -> set[int]:
+        """Numbers of the articles that stay: the largest, and those that no mark tells from it."""
+        tops: dict[int, _Element] = {}
+        for _, element, _, _ in kept:
+            if element.article and element.article not in tops:
+                while element.parent.article:
+                    element = element.parent
+                tops[element.article] = element
+        best = max(tops, key=lambda a: (tops[a].chars, -a))
+        return {a for a, e in tops.items() if a == best or e.marks() <= tops[best].marks()}
+
     def extract(self, template: set[int], main: int | None) -> str:
         kept = [s for s in self.segments if not s[1].dropped]
+        self._weigh(kept, template)
         if any(s[1].article for s in kept):
-            self._weigh(kept, template)
-            sizes = Counter()
-            for text, element, _, _ in kept:
-                sizes[element.article] += len(text.strip()) if element.article else 0
-            best = max(sizes, key=lambda a: (sizes[a], -a))
-            kept = [s for s in kept if s[1].article == best]
-            return _joined([s for s in kept if not self._gone(s[1])]) or _joined(kept)
-        if level := max((s[1].main for s in kept if s[0].strip()), default=0):
+            articles = self._articles_of(kept)
+            kept = [s for s in kept if s[1].article in articles]
+            return _joined([s for s in kept if not self._gone(s[1], main)]) or _joined(kept)
+        kept = [s for s in kept if not self._gone(s[1], main)]
+        level = max((s[1].main for s in kept if s[0].strip()), default=0)
+        held = [s for s in kept if main is not None and main in s[3]]
+        if level < 2 and held and not self._whole(held, main):
+            kept = [s for s in kept if s[1].main or main in s[3]]
+        elif level:
             kept = [s for s in kept if s[1].main == level]
-        elif main is not None and any(main in s[3] for s in kept):
-            kept = [s for s in kept if main in s[3]]
         # A block is template text only where all of it is.
         own = {block for text, element, block, _ in kept if text.strip() and _digest(" ".join(text.split()), element.path ^ 0x5BD1E995) not in template}
         return _joined([s for s in kept if s[2] in own]) or _joined(kept)
 
+    def _whole(self, held: list, main: int) -> bool:
+        """Whether the main element is the whole page and elements named as content hold half of it: these tell more."""
+        top = held[0][1]
+        while top.path != main:
+            top = top.parent
+        named = sum(len(s[0].strip()) for s in held if s[1].main)
+        return top.name in ("", "html", "body") and 2 * named >= sum(len(s[0].strip()) for s in held)
+
 
 def _joined(segments: list) -> str:
     blocks: dict[int, list[str]] = {}

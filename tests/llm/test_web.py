@@ -121,6 +121,27 @@ def test_template_marks_boilerplate_inside_an_article(spark):
     assert texts_of(spark, [alike.format(i) for i in range(6)]) == ["All the same"] * 6
 
 
+def test_all_articles_of_a_page_stay_but_teasers(spark):
+    page = '<body><article><h1>Story {0}</h1><p>part one {0} is the longest</p></article><article><p>part two {0}</p></article><article><h3><a href=/{0}>Other {0}</a></h3><p>short summary {0}</p></article><article><a href=/x>more of {0}</a> it</article><article><p>Subscribe today</p></article></body>'
+    assert texts_of(spark, [page.format(i) for i in range(6)]) == [f"Story {i} part one {i} is the longest part two {i}" for i in range(6)]
+    index = "<article><h2><a href=/{0}>First {0}</a></h2><p>a whole story {0}</p></article><article><h2><a href=/y>Second {0}</a></h2><p>another {0}</p></article>"
+    assert texts_of(spark, [index.format(3)]) == ["First 3 a whole story 3 Second 3 another 3"]
+
+
+def test_main_element_outranks_names(spark):
+    page = "<body><div class='post-meta'>by X{0}</div><div class='k7'><p>body {0} of the story, much longer than its author</p></div><div class='sidebar'>s {0}</div></body>"
+    assert texts_of(spark, [page.format(i) for i in range(6)]) == [f"by X{i} body {i} of the story, much longer than its author" for i in range(6)]
+    flat = "<body><div class='post-meta'>by X{0}</div><p>body {0} of the story</p><p>and its end {0}</p></body>"
+    assert texts_of(spark, [flat.format(i) for i in range(6)]) == [f"by X{i} body {i} of the story and its end {i}" for i in range(6)]
+
+
+def test_sections_with_ambiguous_names_stay_in_an_article(spark):
+    page = '<body>{1}<article><p>text {0}</p><section id="related-work"><h2>Related work</h2><p>prior {0} <a href=/x>x</a></p></section><div id="discussion"><h2>Discussion</h2><p>we think {0}</p></div><div id="related"><a href=/y>see {0}</a></div><section class="discussion"><p>{0} wrote</p><form>Reply</form></section><div class="ad">buy {0}</div></article></body>'
+    pages = [page.format(i, '<section id="search">find {0}</section>') for i in range(6)]
+    assert texts_of(spark, pages) == [f"text {i} Related work prior {i} x Discussion we think {i}" for i in range(6)]
+    assert texts_of(spark, pages[:1]) == ["text 0 Related work prior 0 x Discussion we think 0"]
+
+
 def test_template_holds_what_all_pages_share(spark):
     page = "<html><body><div class=c1><p>Welcome to our pages</p><p>Our story of {0} begins</p></div><div class=c2>Same words here</div></body></html>"
     rows = [(f"h.org", page.format(i)) for i in range(6)] + [("copy.org", page.format(1))] * 9

@@ -93,25 +93,24 @@ def _load(key: str, sent: Broadcast, size: int) -> ahocorasick.Automaton | None:
     return _LOADED[key]
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
-    """Items in blocks; the driver holds one block and one fetched partition at a time."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple[object, bytes]], bool]]:
+    """Items in blocks, and whether a block is the last; the driver holds one block and one fetched partition at a time."""
     block: list[tuple[object, bytes]] = []
     held = 0
     for row in benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
         data = row.text.encode()
         if block and held + len(data) > block_bytes:
-            yield block
+            yield block, False
             block, held = [], 0
         block.append((row.item_id, data))
         held += len(data)
-    yield block
+    yield block, True
 
 
 HITS = "{}n_words long, hits array<struct<start: long, stop: long>>, spans array<struct<start: long, stop: long>>, items array<string>"
 
 
-def _scanned(spark: SparkSession, docs: DataFrame, block: list[tuple[object, bytes]], size: int, with_spans: bool) -> DataFrame:
-    sent = spark.sparkContext.broadcast(block)
+def _scanned(docs: DataFrame, sent: Broadcast, size: int, with_spans: bool) -> DataFrame:
     key = uuid.uuid4().hex
     position = docs.columns.index("text")
 
@@ -143,17 +142,18 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     their own. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = None
-    blocks = _blocks(benchmark, block_bytes)
-    first = next(blocks)
-    second = next(blocks, None)
-    if second is None:
-        found = _scanned(spark, docs, first, window, with_spans)
-        merged = found.withColumn("n_hit", F.expr("aggregate(hits, 0L, (acc, x) -> acc + x.stop - x.start)"))
-        return merged.select("doc_id", "n_words", "n_hit", F.array_distinct("items").alias("items"), "spans")
-    scratch = Scratch(spark, "decontaminate")
-    numbered = scratch.cut(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
-    parts = [scratch.cut(_scanned(spark, numbered, block, window, with_spans), "block") for block in (first, second, *blocks)]
+    scratch = parts = None
+    for block, last in _blocks(benchmark, block_bytes):
+        sent = spark.sparkContext.broadcast(block)
+        if parts is None and last:
+            found = _scanned(docs, sent, window, with_spans)
+            merged = found.withColumn("n_hit", F.expr("aggregate(hits, 0L, (acc, x) -> acc + x.stop - x.start)"))
+            return merged.select("doc_id", "n_words", "n_hit", F.array_distinct("items").alias("items"), "spans")
+        if parts is None:
+            scratch, parts = Scratch(spark, "decontaminate"), []
+            docs = scratch.cut(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+        parts.append(scratch.cut(_scanned(docs, sent, window, with_spans), "block"))
+        sent.destroy()  # its result is written
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
@@ -167,7 +167,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no window of the benchmark."""
-    for block in _blocks(benchmark, BLOCK_BYTES):
+    for block, _ in _blocks(benchmark, BLOCK_BYTES):
         docs = _without(docs, spark.sparkContext.broadcast(block), window)
     return docs
 

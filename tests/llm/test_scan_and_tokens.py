@@ -100,6 +100,27 @@ def test_coder_and_checkpoints():
     assert sum(T.frequencies({1: 1, 2: 10**9}).values()) == 1 << T.SCALE_BITS
 
 
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
+    fetched, scanned = [], []
+    blocks, one = D._blocks, D._scanned
+
+    def counted(*args):
+        for block in blocks(*args):
+            fetched.append(1)
+            yield block
+
+    def seen(*args):
+        scanned.append(len(fetched))
+        return one(*args)
+
+    monkeypatch.setattr(D, "_blocks", counted)
+    monkeypatch.setattr(D, "_scanned", seen)
+    bench = spark.createDataFrame([(i, f"word{i} a{i} b{i} c{i}") for i in range(4)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"x word{i} a{i} b{i} c{i} y") for i in range(5)], DOCS)
+    got = {r.doc_id: r.n_hit for r in D.contamination(spark, docs, bench, window=4, block_bytes=1).collect()}
+    assert got == {0: 4, 1: 4, 2: 4, 3: 4, 4: 0} and scanned == [1, 2, 3, 4]
+
+
 def test_a_damaged_block_is_noticed(spark, tmp_path):
     T.write_tokens(spark, spark.createDataFrame([(1, "some words here")], DOCS), str(tmp_path / "t"))
     rows = spark.read.schema(T.BLOCKS_DDL).parquet(str(tmp_path / "t/blocks"))

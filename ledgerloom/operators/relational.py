@@ -63,7 +63,7 @@ def dense_keys(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
 
 
 def dimension_keys(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
-    """As ``dense_keys`` for dimensions, whose rows are few: one ordered window."""
+    """As ``dense_keys`` for dimensions of a bounded number of rows, such as code lists: one ordered window."""
     return df.withColumn(key, F.row_number().over(Window.orderBy(*(F.col(c).asc_nulls_last() for c in order)))).select(key, *df.columns)
 
 

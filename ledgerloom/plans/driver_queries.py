@@ -192,7 +192,7 @@ WITH dim AS (SELECT row_number() OVER (ORDER BY s_suppkey) AS supplier_key, s_su
 SELECT l_orderkey, count(*) AS items, count_if(supplier_key IS NULL) AS unresolved, CAST(sum(coalesce(supplier_key, 0)) AS BIGINT) AS key_sum FROM lineitem LEFT JOIN dim ON s_suppkey = l_suppkey GROUP BY l_orderkey""")
 def q_lookup_miss_zero(spark: SparkSession, d: str) -> DataFrame:
     """A key that the dimension lacks resolves to the unknown member."""
-    dim = R.dimension_keys(table(spark, d, "supplier").filter("s_acctbal > 0").select("s_suppkey"), ["s_suppkey"], "supplier_key")
+    dim = R.dense_keys(table(spark, d, "supplier").filter("s_acctbal > 0").select("s_suppkey"), ["s_suppkey"], "supplier_key")
     found = R.lookup_key(table(spark, d, "lineitem").select("l_orderkey", "l_suppkey"), dim, {"l_suppkey": "s_suppkey"}, "supplier_key")
     return found.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("items"), F.count_if(F.col("supplier_key") == 0).alias("unresolved"), F.sum("supplier_key").cast("bigint").alias("key_sum"))
 

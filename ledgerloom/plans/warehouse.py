@@ -38,7 +38,7 @@ def dim_party(parties: DataFrame, roles: str, pattern: str, key: str, natural: s
     out = out.withColumn("dq_name_conflict", F.col("name_variant_count") > 1)
     for alias, column in attributes.items():
         out = out.join(R.canonical_by_key(rows, [natural], column, alias), natural, "left")
-    dim = R.dimension_keys(out.withColumnRenamed(natural, "source_party_id"), ["source_party_id"], key)
+    dim = R.dense_keys(out.withColumnRenamed(natural, "source_party_id"), ["source_party_id"], key)
     return R.with_unknown(dim, key, {"source_party_id": X.UNKNOWN, next(iter(attributes)): X.UNKNOWN, "name_variant_count": 0, "dq_name_conflict": False})
 
 

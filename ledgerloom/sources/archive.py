@@ -1,7 +1,7 @@
 """Raw archives: ZIP files of CSV members, read as text tables with their source row numbers.
 
-Spark has no ZIP codec. A member is unpacked on the driver, as a stream, to a folder of the
-caller's choice that the executors see; from there on Spark reads it. Encodings are probed
+Spark has no ZIP codec. Members are unpacked by tasks, each as a stream, to a folder of the
+caller's choice; archive and folder are where driver and executors see them. From there on Spark reads them. Encodings are probed
 with an incremental decoder, so that a character cut by the end of the probe is no error.
 """
 
@@ -10,14 +10,19 @@ from __future__ import annotations
 import codecs
 import hashlib
 import io
+import os
 import shutil
+import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path, PurePosixPath
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import exprs as X
+from ledgerloom.session import ship
 
 ROW_NUMBER = "source_row_number"
 PROBE_BYTES = 1 << 16
@@ -57,26 +62,51 @@ def encoding_of(probe: bytes) -> str:
         return "cp1252"
 
 
-def unpack(archive: str | Path, folder: str | Path) -> dict[str, tuple[str, str]]:
-    """Unpacks the CSV members as UTF-8: base name to (path, encoding found). A base name twice is an error."""
-    out: dict[str, tuple[str, str]] = {}
-    Path(folder).mkdir(parents=True, exist_ok=True)
+def members(archive: str | Path) -> dict[str, str]:
+    """Base name to member of the CSV members. A base name twice is an error."""
+    out: dict[str, str] = {}
     with zipfile.ZipFile(archive) as z:
-        for member in sorted(z.infolist(), key=lambda m: m.filename):
-            name = PurePosixPath(member.filename).name
+        for member in sorted(m.filename for m in z.infolist()):
+            name = PurePosixPath(member).name
             if not name.lower().endswith(".csv"):
                 continue
             if name in out:
                 raise ValueError(f"{name} is twice in the archive")
-            with z.open(member) as f:
-                encoding = encoding_of(f.read(PROBE_BYTES))
-            target = Path(folder) / name
-            with z.open(member) as f, open(target, "w", encoding="utf-8", newline="") as to:
-                shutil.copyfileobj(io.TextIOWrapper(f, encoding, newline=""), to)
-            out[name] = (str(target), encoding)
+            out[name] = member
     return out
 
 
+def unpack_member(archive: str, member: str, target: str) -> str:
+    """Unpacks one member as UTF-8 and returns the encoding found. The file appears whole, however often a task is tried."""
+    Path(target).parent.mkdir(parents=True, exist_ok=True)
+    part = f"{target}.{uuid.uuid4().hex}"
+    with zipfile.ZipFile(archive) as z:
+        with z.open(member) as f:
+            encoding = encoding_of(f.read(PROBE_BYTES))
+        with z.open(member) as f, open(part, "w", encoding="utf-8", newline="") as to:
+            shutil.copyfileobj(io.TextIOWrapper(f, encoding, newline=""), to)
+    os.replace(part, target)
+    return encoding
+
+
+def unpack(archive: str | Path, folder: str | Path, spark: SparkSession | None = None) -> dict[str, tuple[str, str]]:
+    """Unpacks the CSV members as UTF-8: base name to (path, encoding found). With ``spark`` each member has a task of its own."""
+    found = [(name, member, str(Path(folder).resolve() / name)) for name, member in members(archive).items()]
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    source = str(Path(archive).resolve())
+    if spark is None or not found:
+        return {name: (target, unpack_member(source, member, target)) for name, member, target in found}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                name, member, target = found[i]
+                yield pa.RecordBatch.from_pydict({"name": [name], "target": [target], "encoding": [unpack_member(source, member, target)]})
+
+    rows = ship(spark).range(0, len(found), 1, len(found)).mapInArrow(run, "name string, target string, encoding string").collect()  # one for each member
+    return {r.name: (r.target, r.encoding) for r in sorted(rows)}
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, missing tokens as null, and ``source_row_number`` from 1 in file order.
 
@@ -89,7 +119,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, archive: str | Path, folder: str | Path) -> dict[str, DataFrame]:
-    return {name: read_csv(spark, path) for name, (path, _) in unpack(archive, folder).items()}
+    return {name: read_csv(spark, path) for name, (path, _) in unpack(archive, folder, spark).items()}
 
 
 def file_url(base: str, source: str, file_format: str, year: int, month: int, language: str | None = None) -> str:

@@ -90,6 +90,23 @@ def test_lookup_null_matches_null_and_miss_is_zero(spark):
     assert rows(R.lookup_key(df, dim, {"m": "m", "d": "d"}, "key")) == [("a", None, 1), ("b", "x", 2), ("b", None, 0)]
 
 
+def test_growing_dimensions_are_not_numbered_in_one_window(spark, monkeypatch):
+    from ledgerloom.plans import driver_queries, warehouse
+
+    def refused(*args):
+        raise AssertionError("all rows meet in one window")
+
+    monkeypatch.setattr(R, "dimension_keys", refused)
+    tables = {"supplier": spark.createDataFrame([(i, float(i % 3)) for i in range(30)], "s_suppkey long, s_acctbal double"), "lineitem": spark.createDataFrame([(i // 2, i) for i in range(40)], "l_orderkey long, l_suppkey long")}
+    monkeypatch.setattr(driver_queries, "table", lambda spark, d, name: tables[name])
+    keys = {s: k for k, s in enumerate((i for i in range(30) if i % 3), 1)}
+    got = {r.l_orderkey: (r["items"], r.unresolved, r.key_sum) for r in driver_queries.q_lookup_miss_zero(spark, "").collect()}
+    assert got == {o: (2, sum(s not in keys for s in (2 * o, 2 * o + 1)), keys.get(2 * o, 0) + keys.get(2 * o + 1, 0)) for o in range(20)}
+    parties = spark.createDataFrame([(f"p{i:02}", "buyer", f"n{i}", "2026-07") for i in range(30)], f"id string, roles string, name string, {warehouse.PERIOD} string")
+    dim = warehouse.dim_party(parties, "roles", "buyer", "party_key", "id", {"name": "name"})
+    assert sorted((r.party_key, r.source_party_id) for r in dim.collect() if r.party_key) == [(i + 1, f"p{i:02}") for i in range(30)]
+
+
 def test_dense_keys_are_ordered_and_gapless(spark):
     df = spark.createDataFrame([(f"n{(i * 37) % 101:03d}",) for i in range(101)] + [(None,)], "n string").repartition(7)
     got = sorted(((r.k, r.n) for r in R.dense_keys(df, ["n"], "k").collect()))

@@ -42,6 +42,20 @@ def test_archive_to_silver(spark, archive, tmp_path):
     assert (m.rows_in, m.rows_kept, m.rows_quarantined, m.duplicate_grain_rows_before, m.duplicate_grain_rows_after, m.classifications_filled) == (4, 3, 1, 1, 0, 2)
 
 
+def test_members_are_unpacked_by_tasks(spark, archive, tmp_path, monkeypatch):
+    here = A.unpack(archive, tmp_path / "here")
+
+    def refused(*args, **kwargs):
+        raise AssertionError("the driver unpacks a member")
+
+    monkeypatch.setattr(zipfile.ZipFile, "open", refused)
+    tables = A.read_archive(spark, archive, tmp_path / "there")
+    assert tables["parties.csv"].count() == 1 and tables["items.csv"].count() == 4
+    for name, (path, encoding) in A.unpack(archive, tmp_path / "there", spark).items():
+        assert open(path, "rb").read() == open(here[name][0], "rb").read() and encoding == here[name][1]
+    assert sorted(x.name for x in (tmp_path / "there").iterdir()) == sorted(here)
+
+
 def test_untypable_cell_raises(spark):
     raw = spark.createDataFrame([("1.5", 1)], f"id string, {A.ROW_NUMBER} long")
     with pytest.raises(Exception, match="is no integer"):

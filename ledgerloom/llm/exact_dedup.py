@@ -3,21 +3,22 @@
 A text is normalised, cut into chunks, and each chunk gets a polynomial hash under two
 primes. Two hashes combine by shifting the left one by the length of the right one,
 ``h(a + b) = h(a) * base ** len(b) + h(b)``, so that chunks of a huge document may be
-hashed apart and in any grouping. Rows are grouped by (fingerprint, length); the members
+hashed apart and in any grouping: those of a text of more than ``LONG_CHUNKS`` chunks are
+spread over tasks, and their hashes meet in an aggregate. Rows are grouped by (fingerprint, length); the members
 of every group of two or more are then compared chunk by chunk: a task compares each chunk
 with the first one it has seen under its (fingerprint, length, chunk number) and passes on
 only chunks that differ, and Spark counts the different contents of each. Where
 fingerprints collide, the group is split by whole text.
 
-Only (doc_id, fingerprint, length, digest) rows and one copy per task of the repeated
-chunks are shuffled. A hot group costs one partial aggregate row per task, and the last
+Only (doc_id, fingerprint, length, digest) rows, the chunks of long texts and one copy per
+task of the repeated chunks are shuffled. A hot group costs one partial aggregate row per task, and the last
 join runs between two written tables, where adaptive execution splits skewed partitions.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -30,6 +31,7 @@ from .common import Scratch, raw_texts, sliced, table
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1442695041)
 CHUNK_BYTES = 1 << 18
+LONG_CHUNKS = 16
 _BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
@@ -70,7 +72,11 @@ class Fingerprints:
 
     def of(self, text: bytes) -> tuple[int, int]:
         """(fingerprint as one signed 64-bit number, length in bytes)."""
-        hashes, length = reduce(self.combine, map(self.chunk, chunks(text, self.size)))
+        return self.whole(map(self.chunk, chunks(text, self.size)))
+
+    def whole(self, parts: Iterable[tuple[tuple[int, ...], int]]) -> tuple[int, int]:
+        """As ``of``, from the hashes of all chunks in order."""
+        hashes, length = reduce(self.combine, parts)
         return reduce(lambda acc, x: acc << 31 | x, hashes), length
 
 
@@ -87,7 +93,7 @@ DIGESTS = "doc_id long, fp long, n_bytes long, text_sha256 string"
 
 
 def digests(docs: DataFrame, primes=PRIMES, bases=BASES, size: int = CHUNK_BYTES, with_text: bool = False) -> DataFrame:
-    """One row per row of ``docs``; ``with_text`` adds the normalised text."""
+    """One row per row of ``docs``; ``with_text`` adds the normalised text, and hashes each text in its row's task."""
 
     def run(batches):
         prints = _fingerprints(primes, bases, size)
@@ -99,7 +105,40 @@ def digests(docs: DataFrame, primes=PRIMES, bases=BASES, size: int = CHUNK_BYTES
                 out["text"] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, DIGESTS + ", text string" * with_text)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if with_text:
+        return docs.mapInArrow(run, DIGESTS + ", text string")
+    long = F.coalesce(F.octet_length("text"), F.lit(0)) > LONG_CHUNKS * size
+    return docs.filter(~long).mapInArrow(run, DIGESTS).unionByName(_digests_by_chunk(docs.filter(long), primes, bases, size))
+
+
+def _digests_by_chunk(docs: DataFrame, primes, bases, size: int) -> DataFrame:
+    """As ``digests``; the chunks of a text are hashed in many tasks."""
+
+    def cut(batches):
+        for batch in sliced(batches, 1):
+            text = normalise(raw_texts(batch.column(2))[0])
+            sha = hashlib.sha256(text).hexdigest()
+            for no, chunk in enumerate(chunks(text, size)):
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([sha]), pa.array([no], pa.int64()), pa.array([chunk], pa.binary())], names=["row", "doc_id", "text_sha256", "no", "chunk"])
+
+    def hashed(batches):
+        prints = _fingerprints(primes, bases, size)
+        for batch in batches:
+            parts = [prints.chunk(x) for x in batch.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array([list(h) for h, _ in parts], pa.list_(pa.int64())), pa.array([n for _, n in parts], pa.int64())], names=["row", "doc_id", "text_sha256", "no", "hashes", "n"])
+
+    def joined(batches):
+        prints = _fingerprints(primes, bases, size)
+        for batch in batches:
+            marks = [prints.whole((tuple(x["hashes"]), x["n"]) for x in parts) for parts in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()), batch.column(1)], names=["doc_id", "fp", "n_bytes", "text_sha256"])
+
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    pieces = numbered.mapInArrow(cut, "row long, doc_id long, text_sha256 string, no long, chunk binary").repartition("row", "no")
+    marks = pieces.mapInArrow(hashed, "row long, doc_id long, text_sha256 string, no long, hashes array<long>, n long")
+    parts = F.sort_array(F.collect_list(F.struct("no", "hashes", "n"))).alias("parts")  # a few numbers for each chunk
+    return marks.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("text_sha256").alias("text_sha256"), parts).select("doc_id", "text_sha256", "parts").mapInArrow(joined, DIGESTS)
 
 
 def _differing_chunks(docs: DataFrame, primes, bases, size: int) -> DataFrame:

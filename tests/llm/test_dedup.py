@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
@@ -123,6 +124,31 @@ def test_exact_dedup(spark, primes, bases, size):
     assert exact_dedup.exact_dedup(spark, spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_chunks_of_a_long_text_are_hashed_in_several_tasks(spark, tmp_path, monkeypatch):
+    plain, log = exact_dedup.Fingerprints.chunk, str(tmp_path)
+
+    class Logged(exact_dedup.Fingerprints):
+        def chunk(self, data):
+            from pyspark import TaskContext
+
+            open(f"{log}/{TaskContext.get().partitionId()}", "w").close()
+            return plain(self, data)
+
+    rows = [(1, "ab  c" * 60), (2, "ab c" * 60), (3, "ab c" * 59 + "ab d"), (4, "short"), (None, "x" * 300), (5, None)]
+    df = spark.createDataFrame(rows, DOCS).coalesce(1)
+    got = sorted(map(tuple, exact_dedup.digests(df, size=8).collect()), key=repr)
+    prints = exact_dedup.Fingerprints(size=8)
+    texts = [(i, exact_dedup.normalise((t or "").encode())) for i, t in rows]
+    assert got == sorted(((i, *prints.of(t), hashlib.sha256(t).hexdigest()) for i, t in texts), key=repr)
+    monkeypatch.setattr(exact_dedup, "_fingerprints", lambda *args: Logged(*args))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sorted(map(tuple, exact_dedup.digests(df.filter("doc_id = 1"), size=8).collect()), key=repr) == got[:1]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list(tmp_path.iterdir())) > 1
+
+
 def test_fingerprints_compose():
     prints = exact_dedup.Fingerprints(size=8)
     text = b"the quick brown fox jumps"

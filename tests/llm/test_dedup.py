@@ -197,7 +197,7 @@ def test_lines_with_a_changed_character(spark):
 
 
 def test_repetitive_lines_of_different_length(spark):
-    lines = [(unit * 400)[:n] for unit in ("* ", "- - ", "ha ha ", "ab", "=") for n in (21, 39, 79, 121, 199, 701)]
+    lines = [(unit * 400)[:n] for unit in ("* ", "- - ", "ha ha ", "ab", "=") for n in (21, 39, 199, 701)]
     got = [r.kept for r in line_dedup.line_classes(spark, spark.createDataFrame(list(enumerate(lines)), DOCS)).orderBy("doc_id").collect()]
     sets = [{x.strip()[i : i + 5] for i in range(len(x.strip()) - 4)} for x in lines]
     assert got == [s not in sets[:i] for i, s in enumerate(sets)]

@@ -115,9 +115,21 @@ class IdFilter:
         return cls(ids.sparkSession.sparkContext.broadcast(bits))
 
     @classmethod
-    def position(cls, column: str) -> Column:
+    def position(cls, column: str | Column) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(cls.BITS))
 
     def mask(self, positions: pa.Array) -> pa.Array:
         at = positions.to_numpy(zero_copy_only=False)
         return pa.array((self.sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+
+def present(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not in the one column of longs of ``ids``; an exact join follows.
+
+    As ``IdFilter`` in DataFrame operations: the bits are at most ``BITS / 64`` rows of words,
+    whatever the number of ids, so that the broadcast has a fixed bound.
+    """
+    split = lambda c: F.struct(F.shiftright(IdFilter.position(F.col(c)), 6).cast("int").alias("word"), IdFilter.position(F.col(c)).bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    words = ids.select(split(ids.columns[0]).alias("_at")).groupBy(F.col("_at.word").alias("_word")).agg(F.expr("bit_or(shiftleft(1L, _at.bit))").alias("_bits"))
+    marked = rows.withColumn("_at", split(column)).join(F.broadcast(words), F.col("_at.word") == F.col("_word"))
+    return marked.filter("shiftrightunsigned(_bits, _at.bit) & 1L = 1L").select(*rows.columns)

@@ -6,26 +6,27 @@ shuffle, and joins two written tables, whose hot nodes adaptive execution splits
 
 ``link_in_buckets`` finds the connected components of the graph whose edges are the pairs
 that share a bucket and pass a check, without listing all pairs of a large bucket. In a
-round every bucket that still holds two components deals a few pivots, each compared with
-the members of other components; the pivots then leave the bucket, since all their pairs
-there are decided. A bucket whose members are all in one component is done: further pairs
-could not change the components. Once the pairs left are no more than a few for each row,
-or the rounds are used up, the rest is listed exactly: members of different components of
-the same bucket. So no bucket is capped and no component can be lost.
+round every bucket deals a pivot, which is compared with the bucket's members of other
+components and then leaves it, since all its pairs there are decided. Then members that can
+have no new link leave as well: a member stays only where the bucket holds sizes that admit
+it outside its own component. Sizes are grouped first, so that this test costs a member one
+comparison for each different size and not for each other member. Once the pairs left are
+no more than a few for each row, or the rounds are used up, the rest is listed exactly:
+members outside a bucket's largest component with all others. So no bucket is capped and no
+component can be lost, and a component of any size is never joined with itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
-#: Rounds with pivots at most, pivots of a bucket in a round, and pairs for each row up to which all are listed at once.
-ROUNDS = 2
-PIVOTS = 4
+#: Rounds with pivots at most, and pairs for each row up to which all are listed at once.
+ROUNDS = 4
 LISTED = 2
 
 
@@ -57,56 +58,67 @@ def components(scratch: Scratch, pairs: DataFrame) -> DataFrame:
     return scratch.cut(edges.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(roots), "components")
 
 
-def link_in_buckets(spark: SparkSession, scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], admit: Callable[[str, str], str] | None = None, rounds: int = ROUNDS, pivots: int = PIVOTS, listed: int = LISTED) -> DataFrame:
-    """(id, component) of the ids of ``rows`` (bucket, item) that have a link; ``item`` is a struct with ``id``.
+def _live(held: DataFrame) -> DataFrame:
+    """The members of each bucket that it may still link with a member of another component."""
+    sizes = held.groupBy("bucket", "n", "most").agg(F.min("component").alias("least_c"), F.max("component").alias("most_c"))
+    sizes = sizes.select("bucket", F.col("n").alias("other_n"), F.col("most").alias("other_most"), "least_c", "most_c")
+    other = (F.col("least_c") != F.col("component")) | (F.col("most_c") != F.col("component"))
+    fits = (F.col("n") <= F.col("other_most")) & (F.col("other_n") <= F.col("most"))
+    return held.alias("h").join(sizes.alias("s"), (F.col("h.bucket") == F.col("s.bucket")) & fits & other, "left_semi")
 
-    Where items have a ``weight`` the heaviest of a bucket is its first pivot: what has many
-    copies is likely what the others of a group of near copies were made from.
-    ``admit`` gives a condition in SQL over two items of one bucket, for pairs that are
-    candidates there; a link must be admitted in at least one bucket that it shares.
-    ``verify`` takes pairs (a, b) of ids, each once, and returns those that are links, as a
-    written table.
-    """
-    heavy = -F.col("item.weight") if "weight" in rows.schema["item"].dataType.names else F.lit(0)
-    labels = None
-    done: list[DataFrame] = []  # tables of the round before, read for the last time by this one
 
-    def admitted(pairs: DataFrame) -> DataFrame:
-        """From items (x, y) the different pairs (a, b)."""
-        pairs = pairs.filter(admit("x", "y")) if admit else pairs
-        return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).filter("a < b").distinct()
+def _dealt(live: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Pairs of each bucket's pivot with the members of other components."""
+    met = live.join(buckets.select("bucket", "pivot"), "bucket")
+    fits = "component <> pivot.component AND n <= pivot.most AND pivot.n <= most"
+    return met.filter(fits).select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
+
+
+def _listed(live: DataFrame, buckets: DataFrame) -> DataFrame:
+    """All pairs of each bucket between different components: those outside the largest with all others."""
+    main = buckets.select("bucket", F.col("largest.component").alias("main"))
+    one = live.join(main, "bucket").filter("component <> main").select("bucket", "main", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "most", "component")))
+    two = live.select(F.col("bucket").alias("y_bucket"), *(F.col(c).alias(f"y_{c}") for c in ("id", "n", "most", "component")))
+    fits = "bucket = y_bucket AND x_component <> y_component AND x_n <= y_most AND y_n <= x_most AND (y_component = main OR x_id < y_id)"
+    return one.join(two, F.expr(fits)).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"))
+
 
+def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS, listed: int = LISTED) -> DataFrame:
+    """(id, component) of the ids of ``rows`` (bucket, id, n, most, weight) that have a link, as a written table.
+
+    ``n`` is an item's size and ``most`` the largest size of an item that it can be linked
+    with through this bucket; a pair is a candidate where both admit each other in a bucket.
+    The heaviest item of a bucket is its first pivot: what has many copies is likely what the
+    others of a group of near copies were made from. ``verify`` takes pairs (a, b) of ids,
+    each once, and returns those that are links, as a written table. An item is in a bucket
+    once.
+    """
+    labels = None
+    live = rows.withColumn("component", F.col("id"))
     for k in range(rounds + 1):
-        held = rows.withColumn("component", F.col("item.id")) if labels is None else rows.join(labels.withColumnRenamed("id", "_id"), F.col("item.id") == F.col("_id")).drop("_id")
-        held = scratch.cut(held, "labelled")
-        scratch.drop(*done)
-        labels = held.select("item.id", "component").distinct() if labels is None else labels
-        dealt = [F.min_by(F.struct("item", "component"), F.struct(heavy if i == 0 else F.lit(0), F.xxhash64("item.id", F.lit(k * pivots + i)))) for i in range(pivots)]
-        buckets = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.array_distinct(F.array(*dealt)).alias("pivots"))
-        buckets = scratch.cut(buckets.filter("least < most").select("bucket", "size", "pivots"), "buckets")
-        size, pairs_left = buckets.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.expr("size * (size - 1) div 2")), F.lit(0))).first()
+        if labels is not None:
+            held = scratch.cut(live.drop("component").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+            before, live = live, scratch.cut(_live(held), "live")
+            scratch.drop(held, before)
+        first = F.struct(-F.col("weight"), F.xxhash64("id", F.lit(k)), "id", "n", "most", "component")
+        classes = live.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("s"), F.min(first).alias("pivot"))
+        buckets = classes.groupBy("bucket").agg(F.sum("s").alias("size"), F.sum(F.col("s") * F.col("s")).alias("squares"), F.max(F.struct("s", "component")).alias("largest"), F.min("pivot").alias("pivot"))
+        buckets = scratch.cut(buckets.filter("size * size > squares"), "buckets")
+        size, pairs_left = buckets.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.expr("(CAST(size AS double) * size - squares) / 2")), F.lit(0.0))).first()
         if not size:
+            scratch.drop(buckets)
             break
         last = k == rounds or pairs_left <= listed * size
+        links = verify((_listed if last else _dealt)(live, buckets).distinct())
+        edges = links if labels is None else links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        was, labels = labels, components(scratch, edges)
+        scratch.drop(links, *([was] if was is not None else []))
         if last:
-            live = scratch.cut(held.join(buckets.select("bucket"), "bucket"), "live")
-            classes = live.select("bucket", "component").distinct()
-            crossing = classes.withColumnRenamed("component", "c1").join(classes.withColumnRenamed("component", "c2"), "bucket").filter("c1 < c2")
-            one = live.select("bucket", F.col("component").alias("c1"), F.col("item").alias("x"))
-            two = live.select("bucket", F.col("component").alias("c2"), F.col("item").alias("y"))
-            pairs = crossing.join(one, ["bucket", "c1"]).join(two, ["bucket", "c2"]).select("x", "y")
-        else:
-            met = held.join(buckets.select("bucket", "pivots"), "bucket")
-            pairs = met.select(F.col("item").alias("x"), "component", F.explode("pivots").alias("p")).filter("component <> p.component").select("x", F.col("p.item").alias("y"))
-            rows = met.filter("NOT exists(pivots, p -> p.item.id = item.id)").select("bucket", "item")
-        links = verify(admitted(pairs))
-        of = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        joined = components(scratch, links.join(of, "a").join(of.withColumnsRenamed({"a": "b", "ca": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        labels = scratch.cut(labels.join(joined.select(F.col("id").alias("component"), F.col("component").alias("root")), "component", "left").select("id", F.coalesce("root", "component").alias("component")), "labels")
-        scratch.drop(joined)
-        if last:
-            scratch.drop(held, buckets, live)
+            scratch.drop(buckets)
             break
-        done = [held, buckets]
-    linked = labels.filter("id <> component")
-    return linked.unionByName(linked.select(F.col("component").alias("id"), "component").distinct())
+        live = live.join(buckets.select("bucket", F.col("pivot.id").alias("_pivot")), "bucket").filter("id <> _pivot").drop("_pivot")
+        live = scratch.cut(live, "undecided")
+        scratch.drop(buckets)
+    if labels is None:
+        labels = scratch.cut(rows.select("id", F.col("id").alias("component")).limit(0), "components")
+    return labels

@@ -5,8 +5,8 @@ set are one node. Of two sets with Jaccard similarity t or more, the first
 ``n - ceil(t * n) + 1`` shingles under *any* order of all shingles share one. Three orders
 are used: rarest first, and two by different hashes. The first order's prefixes are the
 index that deals candidates, and a candidate must share prefix shingles under the other two
-as well before its sets are compared exactly. A shared shingle's places in both orders bound
-what the sets can have in common, which leaves most pairs out at once.
+as well before its sets are fetched and compared exactly. A shared shingle's places in both
+orders bound what the sets can have in common, which leaves most pairs out at once.
 
 The first order puts shingles known to be frequent last, by their number. Which ones are
 known is no matter for the result, since any order is right; so the list is bounded
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words
@@ -110,111 +110,153 @@ def _lists(rows: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*rows, np.zeros(0, kind)]).astype(kind, copy=False)))
 
 
+ROWS = "row long, doc_id long, h1 long, h2 long, n long, fp1 long, fp2 long, rare array<long>, second array<int>, third array<int>"
+
+
+def _set_marks(found: list[np.ndarray]) -> np.ndarray:
+    """128-bit fingerprints of sets, as two signed columns."""
+    marks = [xxhash.xxh3_128_intdigest(one.tobytes()) for one in found]
+    return np.array([(m >> 64, m & words.MASK) for m in marks], np.uint64).reshape(-1, 2).view(np.int64)
+
+
 def prefixes(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
-    """Of each row: set size, 128-bit fingerprint of the set, and its prefix under the order of rarity."""
+    """Of each row: a number, hashes of its text, set size, fingerprint of the set, and its prefixes under three orders.
+
+    The prefixes under the second and third order are cut to 32 bits: equal shingles stay
+    equal, so no pair is lost.
+    """
     order = np.argsort(frequent)
     sent = docs.sparkSession.sparkContext.broadcast((frequent[order], order.astype(np.int64) + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ranks = sent.value
         for batch in sliced(batches, 500):
-            found = shingles(raw_texts(batch.column(1)), size)
+            found = shingles(raw_texts(batch.column(4)), size)
             flat = np.concatenate([*found, np.zeros(0, np.uint64)])
             rank = np.zeros(len(flat), np.int64)
             if len(known) and len(flat):
                 at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
                 rank = np.where(known[at] == flat, ranks[at], 0)
-            marks, rare, start = [], [], 0
+            rare, start = [], 0
+            others: list[list[np.ndarray]] = [[], []]
             for one in found:
-                mark = xxhash.xxh3_128_intdigest(one.tobytes())
-                marks.append((mark >> 64, mark & words.MASK))
                 own = rank[start : start + len(one)]
                 start += len(one)
                 p = prefix_length(len(one), percent)
                 rare.append((one[np.argsort(own, kind="stable")[:p]] if own.any() else one[:p]).view(np.int64))
-            fp = np.array(marks, np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, found)), pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), _lists(rare, np.int64)], names=["doc_id", "n", "fp1", "fp2", "rare"])
+                for seed in (1, 2):
+                    keys = words.mixed(one, seed)
+                    others[seed - 1].append((np.partition(keys, p - 1)[:p] if p else keys).astype(np.uint32).view(np.int32))
+            fp = _set_marks(found)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(list(map(len, found)), pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), _lists(rare, np.int64), *(_lists(x, np.int32) for x in others)], names=["row", "doc_id", "h1", "h2", "n", "fp1", "fp2", "rare", "second", "third"])
 
-    return _batches(docs, run, "doc_id long, n long, fp1 long, fp2 long, rare array<long>")
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "h1", "h2", "text").mapInArrow(run, ROWS)
 
 
-def whole_sets(docs: DataFrame, wanted: IdFilter, size: int, percent: int) -> DataFrame:
-    """(id, shingles, second, third) of the rows whose doc_id passes the filter.
+def postings(nodes: DataFrame, percent: int, wanted: IdFilter) -> DataFrame:
+    """(bucket, id, n, most) of the prefix shingles in the filter: with one at place k in common, sets can't share more than the rest."""
 
-    The prefixes under the second and third order are cut to 32 bits: equal shingles stay
-    equal, so no pair is lost.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 2000):
+            flat = batch.column(2).flatten()
+            kept = np.flatnonzero(wanted.mask(batch.column(3).flatten()))
+            lengths = batch.column(2).value_lengths().to_numpy()
+            of = np.repeat(np.arange(len(lengths)), lengths)[kept]
+            place = kept - np.repeat(np.cumsum(lengths) - lengths, lengths)[kept]
+            n = batch.column(1).to_numpy()[of]
+            yield pa.RecordBatch.from_arrays([flat.take(pa.array(kept)), pa.array(batch.column(0).to_numpy()[of]), pa.array(n), pa.array((100 + percent) * (n - place) // percent - n)], names=["bucket", "id", "n", "most"])
+
+    positions = F.transform("rare", lambda x: IdFilter.position(x))
+    return nodes.select("row", "n", "rare", positions.alias("at")).mapInArrow(run, "bucket long, id long, n long, most long")
+
+
+def whole_sets(docs: DataFrame, wanted: IdFilter, size: int) -> DataFrame:
+    """(doc_id, fp1, fp2, shingles) of the rows whose doc_id passes the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(wanted.mask(batch.column(2)))
-            for part in sliced([batch], 500):
+        for batch in sliced(batches, 2000):
+            for part in sliced([batch.filter(wanted.mask(batch.column(2)))], 200):
                 found = shingles(raw_texts(part.column(1)), size)
-                others: list[list[np.ndarray]] = [[], []]
-                for one in found:
-                    p = prefix_length(len(one), percent)
-                    for seed in (1, 2):
-                        keys = words.mixed(one, seed)
-                        others[seed - 1].append((np.partition(keys, p - 1)[:p] if p else keys).astype(np.uint32).view(np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists([x.view(np.int64) for x in found], np.int64), _lists(others[0], np.int32), _lists(others[1], np.int32)], names=["id", "shingles", "second", "third"])
+                fp = _set_marks(found)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp[:, 0]), pa.array(fp[:, 1]), _lists([x.view(np.int64) for x in found], np.int64)], names=["doc_id", "fp1", "fp2", "shingles"])
 
-    return docs.select("doc_id", "text", IdFilter.position("doc_id").alias("at")).mapInArrow(run, "id long, shingles array<long>, second array<int>, third array<int>")
+    return docs.select("doc_id", "text", IdFilter.position(F.col("doc_id")).alias("at")).mapInArrow(run, "doc_id long, fp1 long, fp2 long, shingles array<long>")
 
 
-def ngram_components(spark: SparkSession, docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per row of ``docs`` (doc_id, text).
-
-    Null and empty texts have no shingles and are linked with nothing: their component is
-    their doc_id. A row without doc_id is linked with nothing and has a null component. Rows
-    that repeat a doc_id stay rows of their own, each judged by its own text. Other columns
-    are ignored; an empty table gives an empty result.
-    """
-    scratch = Scratch(spark, "ngram-join")
+def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent: int) -> DataFrame:
+    """doc_id, h1, h2, n, class, least, members of each row: its text's hashes, its component, that one's least doc_id and number of rows."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = docs.withColumns(text_marks(F.col("text")))
+    rows = scratch.cut(prefixes(marked, frequent_shingles(docs, size, percent, frequent), size, percent), "prefixes")
     key = ["fp1", "fp2", "n"]
-    known = frequent_shingles(docs, size, percent, frequent)
-    rows = scratch.cut(prefixes(docs, known, size, percent), "prefixes")
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
-    # A set's node is its smallest doc_id.
-    sets = scratch.cut(named.groupBy(*key).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("weight")), "sets")
-    copies = named.select("doc_id", *key).join(sets.drop("weight"), key).filter("doc_id <> id").select("doc_id", *key)
-    nodes = named.join(scratch.cut(copies, "copies"), ["doc_id", *key], "left_anti")
-    index = scratch.cut(nodes.select(F.posexplode("rare").alias("place", "bucket"), F.col("doc_id").alias("id"), "n"), "index")
-    shared = index.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("bucket")
-    copied = sets.filter("weight > 1").groupBy("id").agg(F.max("weight").alias("weight"))
-    met = scratch.cut(index.join(shared, "bucket").join(copied, "id", "left").fillna(1, ["weight"]), "met")
-    scratch.drop(index)
-    def admit(a: str, b: str) -> str:
-        # After the first shingle that two sets share, no more can follow than the shorter rest of either.
-        return f"{100 + percent} * (1 + least({a}.n - 1 - {a}.place, {b}.n - 1 - {b}.place)) >= {percent} * ({a}.n + {b}.n)"
+    # A set's node is the number of its first row.
+    sets = scratch.cut(named.groupBy(*key).agg(F.min(F.struct("row", "doc_id")).alias("first"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight")).select(F.col("first.row").alias("id"), F.col("first.doc_id").alias("doc_id"), *key, "least", "weight"), "sets")
+    copies = named.select("row", *key).join(sets.filter("weight > 1").select("id", *key), key).filter("row <> id").select("row")
+    nodes = scratch.cut(named.select("row", "n", "rare", "second", "third").join(scratch.cut(copies, "copies"), "row", "left_anti"), "nodes")
+    shared = nodes.select(F.explode("rare").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("id")
+    shared = scratch.cut(shared, "shared")
+    weights = sets.filter("weight > 1").select("id", "weight")
+    met = postings(nodes, percent, IdFilter.of(shared)).join(shared.withColumnRenamed("id", "bucket"), "bucket")
+    met = scratch.cut(met.join(weights, "id", "left").fillna(1, ["weight"]), "met")
 
     def verify(pairs: DataFrame) -> DataFrame:
+        """Pairs that share prefix shingles under the other two orders as well, and then enough of all shingles."""
         pairs = scratch.cut(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        held = scratch.cut(whole_sets(docs, IdFilter.of(ids), size, percent).join(ids, "id", "left_semi"), "whole-sets")
-        one, two = (held.select(F.col("id").alias(x), F.col("second").alias(f"{x}2"), F.col("third").alias(f"{x}3")) for x in "ab")
-        kept = scratch.cut(pairs.join(one, "a").join(two, "b").filter("arrays_overlap(a2, b2) AND arrays_overlap(a3, b3)").select("a", "b").distinct(), "candidates")
+        one, two = (nodes.select(F.col("row").alias(x), F.col("second").alias(f"{x}2"), F.col("third").alias(f"{x}3")) for x in "ab")
+        kept = scratch.cut(pairs.join(one, "a").join(two, "b").filter("arrays_overlap(a2, b2) AND arrays_overlap(a3, b3)").select("a", "b"), "candidates")
+        ids = kept.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted = scratch.cut(sets.join(ids, "id", "left_semi").select("id", "doc_id", "fp1", "fp2"), "wanted")
+        held = whole_sets(docs, IdFilter.of(wanted.select(F.col("doc_id").alias("id"))), size).join(wanted, ["doc_id", "fp1", "fp2"])
+        held = scratch.cut(held.groupBy("id").agg(F.first("shingles").alias("shingles")), "whole-sets")
         one, two = (held.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
         common = F.size(F.array_intersect("sa", "sb"))
-        links = kept.join(one, "a").join(two, "b").filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
+        links = kept.join(one, "a").join(two, "b").filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
         links = scratch.cut(links, "links")
-        scratch.drop(pairs, held, kept)
+        scratch.drop(pairs, kept, wanted, held)
         return links
 
-    linked = scratch.cut(link_in_buckets(spark, scratch, met.select("bucket", F.struct("id", "n", "place", "weight").alias("item")), verify, admit), "linked")
-    scratch.drop(met)
-    classes = sets.drop("weight").join(linked, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
-    return rows.select("doc_id", *key).join(classes, key, "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    linked = link_in_buckets(scratch, met, verify)
+    scratch.drop(met, nodes, shared)
+    of = sets.join(linked, "id", "left").select(*key, "least", "weight", F.coalesce("component", "id").alias("class"))
+    wide = of.join(linked.select(F.col("component").alias("class")).distinct(), "class", "left_semi").groupBy("class").agg(F.min("least").alias("least_doc"), F.sum("weight").alias("rows"))
+    of = of.join(wide, "class", "left").select(*key, "class", F.coalesce("least_doc", "least").alias("least"), F.coalesce("rows", "weight").alias("members"))
+    of = scratch.cut(of, "classes")
+    return rows.select("row", "doc_id", "h1", "h2", *key).join(of, key, "left").select("doc_id", "h1", "h2", "n", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class"), F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("least"), F.when(F.col("doc_id").isNotNull(), F.col("members")).alias("members"))
+
+
+def text_marks(text: Column) -> dict[str, Column]:
+    """128 bits that tell texts apart."""
+    return {"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)}
+
+
+def ngram_components(spark: SparkSession, docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per row of ``docs`` (doc_id, text).
+
+    Null and empty texts have no shingles and are linked with nothing: their component is
+    their doc_id. A row without doc_id is linked with nothing and has a null component. Rows
+    that repeat a doc_id stay rows of their own, each judged by its own text. A text of any
+    length is one row's work. Other columns are ignored; an empty table gives an empty result.
+    """
+    found = _judged(Scratch(spark, "ngram-join"), docs, size, percent, frequent)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id is the smallest of its component.
+    """The rows of ``docs``, all columns, but for those with a row of a smaller (doc_id, hash of the text) in their component.
 
-    Rows without doc_id stay, as do all rows that repeat a doc_id that stays.
+    Rows without doc_id and texts without words stay. Rows with the same doc_id and the same
+    text are one document: all stay or all go. Rows that share a doc_id only are judged apart.
     """
-    gone = ngram_components(spark, docs, size, percent).filter("component_id <> doc_id").select("doc_id").distinct()
-    gone = Scratch(spark, "ngram-gone").cut(gone, "gone")
-    return docs.join(gone, docs.doc_id == gone.doc_id, "left_anti")
+    scratch = Scratch(spark, "ngram-gone")
+    found = _judged(scratch, docs, size, percent, FREQUENT).filter("members > 1").select("class", F.struct("doc_id", "h1", "h2").alias("mark"))
+    found = scratch.cut(found, "grouped")
+    kept = found.groupBy("class").agg(F.min("mark").alias("first"))
+    gone = found.join(kept, "class").filter("mark <> first").select(*(F.col(f"mark.{c}").alias(f"_gone_{c}") for c in ("doc_id", "h1", "h2"))).distinct()
+    gone = scratch.cut(gone, "gone")
+    marks = text_marks(docs["text"].cast("string"))
+    same = (docs["doc_id"].cast("long") == gone["_gone_doc_id"]) & (marks["h1"] == gone["_gone_h1"]) & (marks["h2"] == gone["_gone_h2"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,23 +58,48 @@ def test_components(spark):
     assert linking.components(Scratch(spark, "t"), spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("rounds,listed", [(2, 2), (2, 0), (0, 0)])
-def test_links_in_buckets_lose_no_component(spark, rounds, listed):
+@pytest.mark.parametrize("rounds,listed,sizes", [(2, 2, 1), (3, 0, 1), (0, 0, 1), (4, 0, 9), (1, 2, 9)])
+def test_links_in_buckets_lose_no_component(spark, rounds, listed, sizes):
     rng = random.Random(rounds + listed)
-    rows = [(b, (i,)) for b in range(12) for i in rng.sample(range(60), 25)]
+    size = {i: rng.randrange(sizes) for i in range(60)}
+    rows = [(b, i, size[i], size[i] + rng.randrange(3), rng.randrange(1, 3)) for b in range(12) for i in rng.sample(range(60), 25)]
     links = {(a, b) for a in range(60) for b in range(a) if (a * 7 + b * 13) % 29 == 0}
-    together = {b: {i for x, (i,) in rows if x == b} for b in range(12)}
+    most = {(b, i): m for b, i, _, m, _ in rows}
     root = {i: i for i in range(60)}
     for _ in range(60):
         for a, b in links:
-            if any({a, b} <= t for t in together.values()):
+            if any((k, a) in most and (k, b) in most and size[a] <= most[k, b] and size[b] <= most[k, a] for k in range(12)):
                 root[a] = root[b] = min(root[a], root[b])
     known = spark.createDataFrame([(min(p), max(p)) for p in links], "a long, b long")
-    out = linking.link_in_buckets(spark, Scratch(spark, "t"), spark.createDataFrame(rows, "bucket long, item struct<id: long>"), lambda pairs: pairs.join(known, ["a", "b"], "left_semi"), rounds=rounds, listed=listed)
+    scratch = Scratch(spark, "t")
+    asked = []
+
+    def verify(pairs):
+        asked.append(pairs.count())
+        return scratch.cut(pairs.join(known, ["a", "b"], "left_semi"), "links")
+
+    out = linking.link_in_buckets(scratch, spark.createDataFrame(rows, "bucket long, id long, n long, most long, weight long"), verify, rounds=rounds, listed=listed)
     got = {r.id: r.component for r in out.collect()}
     assert {i: got.get(i, i) for i in range(60)} == root
 
 
+def test_large_groups_are_not_joined_with_themselves(spark):
+    """A group around one item, and items that share its buckets but nothing else: pairs stay near the number of rows."""
+    n = 400
+    rows = [(b, i, 100, 100 if i < n else 99, 9 if i == 7 else 1) for b in range(3) for i in range(2 * n)]
+    rows += [(b, 2 * n, 100, 100, 1) for b in range(3)]
+    asked = []
+    scratch = Scratch(spark, "t")
+
+    def verify(pairs):
+        asked.append(pairs.count())
+        return scratch.cut(pairs.filter(f"least(a, b) < {n} AND greatest(a, b) < {n}"), "links")
+
+    out = linking.link_in_buckets(scratch, spark.createDataFrame(rows, "bucket long, id long, n long, most long, weight long"), verify)
+    assert {r.id: r.component for r in out.collect()} == dict.fromkeys(range(n), 0)
+    assert sum(asked) <= 3 * n
+
+
 @pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
 def test_ngram_join_against_brute_force(spark, size, percent):
     texts = near_copies(random.Random(percent)) + [None, "", "  \n", "one", "ONE", "One two", "a b c d e f", "A\tb  c d\ne f", "long " + " ".join(f"x{i}" for i in range(20_000))]
@@ -91,6 +118,18 @@ def test_ngram_join_of_odd_rows(spark):
     assert ngram_join.ngram_components(spark, spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_ngram_join_of_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text), (5, text + " more"), (5, "a text of its own"), (5, "a text of its own"), (None, text), (None, "left alone"), (None, None), (9, ""), (7, text)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("h1", F.lit("mine")).withColumn("class", F.lit(1)).repartition(3)
+    got = sorted(((r.doc_id, r.component_id) for r in ngram_join.ngram_components(spark, df).collect()), key=repr)
+    assert got == sorted([(3, 3), (5, 3), (5, 5), (5, 5), (None, None), (None, None), (None, None), (9, 9), (7, 3)], key=repr)
+    kept = ngram_join.one_of_each(spark, df)
+    assert kept.columns == df.columns and {r.h1 for r in kept.collect()} == {"mine"}
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([r for i, r in enumerate(rows) if i not in (1, 8)], key=repr)
+    assert ngram_join.one_of_each(spark, df.limit(0)).count() == 0
+
+
 def test_long_texts_are_hashed_in_parts(monkeypatch):
     text = b" ".join(b"w%d" % (i % 700) for i in range(3000)) + b" " + b"q" * 2500 + b" and more"
     whole = ngram_join.shingles([text, b"a b", None], 4)
@@ -220,5 +259,63 @@ def test_fuzzy_lines(spark):
     wrong = [k for k in got if got[k] != expected[k]]
     assert len(wrong) <= 0.01 * len(got)  # banding finds a pair at the threshold in 993 of 1000 cases
     cut = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark, df).collect()}
+    assert line_dedup.dedup_lines(spark, df).columns == df.columns
     assert cut[90] is None and cut[91] == "" and all(len(cut[i].split("\n")) == sum(got[i, n] for n in range(8)) for i in range(20))
     assert line_dedup.kept_lines(spark, spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_lines_of_repeated_ids(spark):
+    again = "this is a repeated line of text"
+    rows = [(1, again), (7, again + "\na unique first line of the other seven\nsecond"), (7, "one more text\n" + again), (7, "one more text\n" + again), (None, again + "\nmine"), (None, "other\n" + again), (None, None), (8, "")]
+    df = spark.createDataFrame(rows, DOCS).withColumn("dropped", F.lit("x")).repartition(3)
+    cut = line_dedup.dedup_lines(spark, df)
+    assert cut.columns == df.columns
+    expected = [(1, again), (7, "a unique first line of the other seven\nsecond"), (7, "one more text"), (7, "one more text"), (None, "mine"), (None, "other"), (None, None), (8, "")]
+    assert sorted(((r.doc_id, r.text) for r in cut.collect()), key=repr) == sorted(expected, key=repr)
+    counts = line_dedup.kept_lines(spark, df).collect()
+    assert sorted((r.n_lines, r.n_kept) for r in counts) == sorted([(1, 1), (3, 2), (2, 1), (2, 1), (2, 1), (2, 1), (0, 0), (0, 0)])
+
+
+def test_a_text_of_some_megabytes(spark):
+    long = "\n".join(f"line {i} of a text with {i * 7919 % 1000} words and no end {i * i}" for i in range(40_000))
+    df = spark.createDataFrame([(1, long), (2, long + " "), (3, "line 5")], DOCS)
+    got = {r.doc_id: (r.n_lines, r.n_kept) for r in line_dedup.kept_lines(spark, df).collect()}
+    assert got[1][0] == 40_000 and got[2] == (40_000, 0) and got[3] == (1, 1)
+    assert {r.doc_id: r.component_id for r in ngram_join.ngram_components(spark, df).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
+def test_recall_of_lines_by_length(spark):
+    """All links of the table's lines, found by the rarest fifth of each line's shingles, against the classes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    lines = sorted({x.strip(" ").lower() for r in docs.collect() for x in (r.text or "").split("\n")} - {""})
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+    counts = Counter(g for s in sets for g in s)
+    held: dict[str, list[int]] = {}
+    links: dict[str, list] = {}
+    for i, s in enumerate(sets):
+        prefix = sorted(s, key=lambda g: (counts[g], g))[: len(s) - -(-len(s) * 4 // 5) + 1]
+        for j in {j for g in prefix for j in held.get(g, ())}:
+            if 5 * len(s & sets[j]) >= 4 * len(s | sets[j]):
+                links.setdefault("short" if len(lines[i]) < 68 else "long", []).append((i, j))
+        for g in prefix:
+            held.setdefault(g, []).append(i)
+    ids = {r.norm: r.id for r in spark.createDataFrame([(x,) for x in lines], "norm string").selectExpr("norm", "xxhash64(norm) AS id").collect()}
+    of = {r.line_id: r.class_id for r in line_dedup.line_classes(spark, docs).select("line_id", "class_id").distinct().collect()}
+    assert sum(map(len, links.values())) > 100
+    for found in links.values():
+        assert sum(of[ids[lines[i]]] == of[ids[lines[j]]] for i, j in found) >= 0.99 * len(found)
+    root = list(range(len(lines)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in (x for found in links.values() for x in found):
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    truth: dict[int, int] = {}
+    assert all(truth.setdefault(of[ids[x]], find(i)) == find(i) for i, x in enumerate(lines))

@@ -83,28 +83,47 @@ def _listed(live: DataFrame, buckets: DataFrame) -> DataFrame:
     return one.join(two, F.expr(fits)).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"))
 
 
-def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS, listed: int = LISTED) -> DataFrame:
+def _buckets(scratch: Scratch, live: DataFrame, k: int) -> tuple[DataFrame, int, float]:
+    """Buckets of two components or more with their largest one and a pivot; their rows, and pairs between components."""
+    first = F.struct(-F.col("weight"), F.xxhash64("id", F.lit(k)), "id", "n", "most", "component")
+    classes = live.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("s"), F.min(first).alias("pivot"))
+    buckets = classes.groupBy("bucket").agg(F.sum("s").alias("size"), F.sum(F.col("s") * F.col("s")).alias("squares"), F.max(F.struct("s", "component")).alias("largest"), F.min("pivot").alias("pivot"))
+    buckets = scratch.cut(buckets.filter("size * size > squares"), "buckets")
+    return buckets, *buckets.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.expr("(CAST(size AS double) * size - squares) / 2")), F.lit(0.0))).first()
+
+
+def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], again: Callable[[DataFrame], DataFrame] | None = None, rounds: int = ROUNDS, listed: int = LISTED) -> DataFrame:
     """(id, component) of the ids of ``rows`` (bucket, id, n, most, weight) that have a link, as a written table.
 
     ``n`` is an item's size and ``most`` the largest size of an item that it can be linked
     with through this bucket; a pair is a candidate where both admit each other in a bucket.
-    The heaviest item of a bucket is its first pivot: what has many copies is likely what the
-    others of a group of near copies were made from. ``verify`` takes pairs (a, b) of ids,
-    each once, and returns those that are links, as a written table. An item is in a bucket
-    once.
+    An item is in a bucket once. The heaviest item of a bucket is its first pivot: what has
+    many copies is likely what the others of a group of near copies were made from.
+    ``verify`` takes pairs (a, b) of ids, each once, and returns those that are links, as a
+    written table. ``again`` takes the items (id, weight) that are undecided after the first
+    pivots and returns other rows for them, in which all their candidates meet: an index that
+    is too dear for all items, but tells more of fewer.
     """
     labels = None
     live = rows.withColumn("component", F.col("id"))
+
+    def narrowed(rows: DataFrame) -> DataFrame:
+        held = scratch.cut(rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+        left = scratch.cut(_live(held), "live")
+        scratch.drop(held)
+        return left
+
     for k in range(rounds + 1):
         if labels is not None:
-            held = scratch.cut(live.drop("component").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
-            before, live = live, scratch.cut(_live(held), "live")
-            scratch.drop(held, before)
-        first = F.struct(-F.col("weight"), F.xxhash64("id", F.lit(k)), "id", "n", "most", "component")
-        classes = live.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("s"), F.min(first).alias("pivot"))
-        buckets = classes.groupBy("bucket").agg(F.sum("s").alias("size"), F.sum(F.col("s") * F.col("s")).alias("squares"), F.max(F.struct("s", "component")).alias("largest"), F.min("pivot").alias("pivot"))
-        buckets = scratch.cut(buckets.filter("size * size > squares"), "buckets")
-        size, pairs_left = buckets.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.expr("(CAST(size AS double) * size - squares) / 2")), F.lit(0.0))).first()
+            before, live = live, narrowed(live.drop("component"))
+            scratch.drop(before)
+        buckets, size, pairs_left = _buckets(scratch, live, k)
+        if k and again is not None and pairs_left > listed * size:
+            scratch.drop(buckets)
+            before, live = live, narrowed(again(scratch.cut(live.select("id", "weight").distinct(), "items")))
+            scratch.drop(before)
+            again = None
+            buckets, size, pairs_left = _buckets(scratch, live, k)
         if not size:
             scratch.drop(buckets)
             break

@@ -10,7 +10,8 @@ orders bound what the sets can have in common, which leaves most pairs out at on
 
 The first order puts shingles known to be frequent last, by their number. Which ones are
 known is no matter for the result, since any order is right; so the list is bounded
-(``FREQUENT``) and can be broadcast at any size of the input.
+(``FREQUENT``) and can be broadcast at any size of the input. Documents that are undecided
+after a first round are indexed again under their shingles' exact rarity among them.
 
 Candidates of large groups are not all listed: see ``linking``.
 """
@@ -75,8 +76,8 @@ def _batches(docs: DataFrame, run, schema: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def frequent_shingles(docs: DataFrame, size: int, percent: int, most: int) -> np.ndarray:
-    """Frequent shingles, the less frequent first: those met most often in prefixes, over all documents."""
+def frequent_shingles(docs: DataFrame, size: int, most: int) -> np.ndarray:
+    """Frequent shingles, the less frequent first, over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -93,7 +94,7 @@ def frequent_shingles(docs: DataFrame, size: int, percent: int, most: int) -> np
                 mark = xxhash.xxh3_64_intdigest(found.tobytes())
                 if mark not in seen:  # copies do not make a shingle frequent
                     seen.add(mark)
-                    held.append(found[: prefix_length(len(found), percent)])
+                    held.append(found)
                     total += len(held[-1])
             if total >= COUNTED:
                 yield counted()
@@ -187,7 +188,7 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
     """doc_id, h1, h2, n, class, least, members of each row: its text's hashes, its component, that one's least doc_id and number of rows."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = docs.withColumns(text_marks(F.col("text")))
-    rows = scratch.cut(prefixes(marked, frequent_shingles(docs, size, percent, frequent), size, percent), "prefixes")
+    rows = scratch.cut(prefixes(marked, frequent_shingles(docs, size, frequent), size, percent), "prefixes")
     key = ["fp1", "fp2", "n"]
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
     # A set's node is the number of its first row.
@@ -200,23 +201,42 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
     met = postings(nodes, percent, IdFilter.of(shared)).join(shared.withColumnRenamed("id", "bucket"), "bucket")
     met = scratch.cut(met.join(weights, "id", "left").fillna(1, ["weight"]), "met")
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = scratch.cut(sets.join(ids, "id", "left_semi").select("id", "doc_id", "fp1", "fp2"), "wanted")
+        held = whole_sets(docs, IdFilter.of(wanted.select(F.col("doc_id").alias("id"))), size).join(wanted, ["doc_id", "fp1", "fp2"])
+        held = scratch.cut(held.groupBy("id").agg(F.first("shingles").alias("shingles")), "whole-sets")
+        scratch.drop(wanted)
+        return held
+
+    def by_exact_rarity(items: DataFrame) -> DataFrame:
+        """Postings of the items' sets, their shingles ordered by the number of these items that have them; those of one item alone come first."""
+        held = sets_of(items.select("id"))
+        each = held.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("bucket"))
+        common = scratch.cut(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1"), "common")
+        ranked = each.join(common, "bucket").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("nodes", "bucket"))).alias("common"))  # of one document
+        ranked = ranked.withColumn("own", F.col("n") - F.size("common"))
+        first = F.expr(f"slice(common, 1, greatest(0, n - (n * {percent} + 99) div 100 + 1 - own))")
+        placed = ranked.select("id", "n", "own", F.posexplode(first).alias("at", "shingle"))
+        most = F.expr(f"CAST({100 + percent} * (n - own - at) div {percent} - n AS bigint)")
+        out = placed.select(F.col("shingle.bucket").alias("bucket"), "id", F.col("n").cast("long").alias("n"), most.alias("most")).join(items, "id")
+        out = scratch.cut(out.select("bucket", "id", "n", "most", "weight"), "met-again")
+        scratch.drop(held, common)
+        return out
+
     def verify(pairs: DataFrame) -> DataFrame:
         """Pairs that share prefix shingles under the other two orders as well, and then enough of all shingles."""
         pairs = scratch.cut(pairs, "pairs")
         one, two = (nodes.select(F.col("row").alias(x), F.col("second").alias(f"{x}2"), F.col("third").alias(f"{x}3")) for x in "ab")
         kept = scratch.cut(pairs.join(one, "a").join(two, "b").filter("arrays_overlap(a2, b2) AND arrays_overlap(a3, b3)").select("a", "b"), "candidates")
-        ids = kept.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        wanted = scratch.cut(sets.join(ids, "id", "left_semi").select("id", "doc_id", "fp1", "fp2"), "wanted")
-        held = whole_sets(docs, IdFilter.of(wanted.select(F.col("doc_id").alias("id"))), size).join(wanted, ["doc_id", "fp1", "fp2"])
-        held = scratch.cut(held.groupBy("id").agg(F.first("shingles").alias("shingles")), "whole-sets")
+        held = sets_of(kept.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         one, two = (held.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
         common = F.size(F.array_intersect("sa", "sb"))
         links = kept.join(one, "a").join(two, "b").filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
         links = scratch.cut(links, "links")
-        scratch.drop(pairs, kept, wanted, held)
+        scratch.drop(pairs, kept, held)
         return links
 
-    linked = link_in_buckets(scratch, met, verify)
+    linked = link_in_buckets(scratch, met, verify, by_exact_rarity)
     scratch.drop(met, nodes, shared)
     of = sets.join(linked, "id", "left").select(*key, "least", "weight", F.coalesce("component", "id").alias("class"))
     wide = of.join(linked.select(F.col("component").alias("class")).distinct(), "class", "left_semi").groupBy("class").agg(F.min("least").alias("least_doc"), F.sum("weight").alias("rows"))

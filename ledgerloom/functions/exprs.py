@@ -63,7 +63,10 @@ def strict_boolean(c: Column) -> Column:
 
 
 def parsed_timestamp(c: Column, formats: Iterable[str] = ("yyyyMMdd", "dd/MM/yyyy")) -> Column:
-    """ISO 8601 first, then the listed formats; text without a zone is in the session's (UTC)."""
+    """ISO 8601 first, then the listed formats; text without a zone is in the session's (UTC).
+
+    A text such as 01/07/2026 is read day first, as its publisher writes dates.
+    """
     return F.coalesce(F.try_to_timestamp(c), *(F.try_to_timestamp(c, F.lit(f)) for f in formats))
 
 
@@ -151,10 +154,10 @@ def folded(values: pd.Series) -> pd.Series:
 
 
 def snake_name(name: str) -> str:
-    """Flattened path to a column name: list markers go, camel case splits, other signs become one underscore."""
-    text = re.sub(r"/\d+(?=/|$)", "", name)
-    text = re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", text)
-    text = re.sub(r"[^0-9A-Za-z]+", "_", text).strip("_").lower()
+    """Flattened path to a column name: the first place of a list goes, a capital after a small letter or digit begins a word, other signs separate words."""
+    parts = [x for i, x in enumerate(name.split("/")) if x != "0" or i in (0, name.count("/"))]
+    words = [w for part in parts for w in re.findall(r"[0-9A-Za-z]+", part)]
+    text = "_".join(re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", w) for w in words).lower()
     if not text:
         raise ValueError(f"no name is left of {name!r}")
     return text

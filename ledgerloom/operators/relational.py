@@ -1,8 +1,8 @@
 """Relational building blocks: guarded joins, lookups, canonical values, keys, grains and orphans.
 
-DataFrames in, DataFrames out, without actions. Joins carry no broadcast hints: the sides that
-are dimensions are small by their statistics, and adaptive execution broadcasts them when
-they are.
+DataFrames in, DataFrames out; only ``dense_keys`` runs jobs of its own. Joins carry no
+broadcast hints but on a row for each partition: the sides that are dimensions are small by
+their statistics, and adaptive execution broadcasts them when they are.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import exprs as X
+from ledgerloom.sources.scratch import written
 
 
 def asserted_unique(df: DataFrame, keys: Sequence[str], message: str) -> DataFrame:
@@ -51,20 +52,28 @@ def canonical_by_key(df: DataFrame, keys: Sequence[str], value: str, alias: str,
 def dense_keys(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     """Surrogate keys 1..n in the order of the columns, nulls last, without one task for all rows.
 
-    Rows are range-partitioned and sorted, then numbered within their partition; the counts
-    of the partitions, one row for each, give the offsets.
+    Rows are sorted over ranges and written once, each with its range and its place in it;
+    the counts of the ranges, one row for each, give the offsets. Both read the same written
+    rows, so that a row's range can't change between them. Rows equal in ``order`` get keys
+    in no fixed order.
     """
-    sort = [F.col(c).asc_nulls_last() for c in order]
-    parted = df.repartitionByRange(*sort).withColumn("_part", F.spark_partition_id())
-    numbered = parted.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*sort)))
-    sizes = numbered.groupBy("_part").agg(F.max("_row").alias("_size"))
-    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return numbered.join(offsets.select("_part", "_offset"), "_part").select((F.col("_offset") + F.col("_row")).cast("bigint").alias(key), *df.columns)
+    spark = df.sparkSession
+    parted = df.repartitionByRange(*(F.col(c).asc_nulls_last() for c in order)).sortWithinPartitions(*(F.col(c).asc_nulls_last() for c in order))
+    # The number counts the rows of a partition in its low 33 bits, after the partition's number.
+    numbered = written(parted.withColumn("_numbered", F.monotonically_increasing_id()))
+    part, row = F.shiftright("_numbered", 33), F.col("_numbered").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    sizes = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size")).collect()  # a row for each partition
+    offsets, total = [], 0
+    for size in sorted(sizes):
+        offsets.append((size._part, total))
+        total += size._size
+    held = spark.createDataFrame(offsets, "_part long, _offset long")
+    return numbered.join(F.broadcast(held), part == F.col("_part")).select((F.col("_offset") + row).cast("bigint").alias(key), *df.columns)
 
 
 def dimension_keys(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
-    """As ``dense_keys`` for dimensions of a bounded number of rows, such as code lists: one ordered window."""
-    return df.withColumn(key, F.row_number().over(Window.orderBy(*(F.col(c).asc_nulls_last() for c in order)))).select(key, *df.columns)
+    """As ``dense_keys`` with keys of 32 bits, for dimensions."""
+    return dense_keys(df, order, key).withColumn(key, F.col(key).cast("int"))
 
 
 def with_unknown(dim: DataFrame, key: str, values: Mapping[str, object]) -> DataFrame:
@@ -104,10 +113,10 @@ def exact_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def split_duplicates(df: DataFrame, columns: Sequence[str], order: str) -> tuple[DataFrame, DataFrame]:
-    """(first row of each group of equal ones, the others). Only the smallest ``order`` of each group meets in one row."""
+    """(first row of each group of equal ones, the others). Only the smallest ``order`` of each group meets in one row; a null is the last."""
     first = df.groupBy(*columns).agg(F.min(order).alias("_first"))
     side = first.select("_first", *(F.col(c).alias(f"_d{i}") for i, c in enumerate(columns)))
-    condition = df[order] == side["_first"]
+    condition = df[order].eqNullSafe(side["_first"])
     for i, c in enumerate(columns):
         condition = condition & df[c].eqNullSafe(side[f"_d{i}"])
     return df.join(side, condition, "left_semi"), df.join(side, condition, "left_anti")

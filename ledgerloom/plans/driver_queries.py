@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import exprs as X
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import relational as R
+from ledgerloom.plans import process as P
+from ledgerloom.plans import validation as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -345,7 +347,7 @@ def q_row_reconciliation(spark: SparkSession, d: str) -> DataFrame:
     return R.reconciled(counts, expected, ["table_name"], ["n"])
 
 
-@query("SELECT 2 AS dimensions, CAST(abs(1 - 1) + abs(0 - 1) AS BIGINT) AS deviations FROM (SELECT 1)")
+@query("WITH w AS (SELECT row_number() OVER (ORDER BY n_name) AS k FROM nation UNION ALL SELECT 0), b AS (SELECT row_number() OVER (ORDER BY r_name) AS k FROM region) SELECT 2 AS dimensions, CAST((SELECT abs(count_if(k = 0) - 1) FROM w) + (SELECT abs(count_if(k = 0) - 1) FROM b) AS BIGINT) AS deviations")
 def q_unknown_members(spark: SparkSession, d: str) -> DataFrame:
     """Every dimension has exactly one member 0; the second one here lacks it."""
     whole = R.with_unknown(R.dimension_keys(table(spark, d, "nation").select("n_name"), ["n_name"], "k"), "k", {"n_name": X.UNKNOWN})
@@ -374,3 +376,126 @@ def q_gate_status(spark: SparkSession, d: str) -> DataFrame:
         {"id": "DQ-GRAIN-001", "type": "candidate_grains", "grains": {"lineitem": ["l_orderkey", "l_linenumber"]}, "threshold": none, "severity": "info"},
     ]
     return Q.roll_up(Q.evaluate(spark, tables, catalog))
+
+
+_SPEC = P.Process("o_orderkey", "o_custkey", "o_orderstatus", "priority", "o_orderdate", "amount", "currency_code", "item_amount", "declared", dates={"record_date_key": "o_orderdate"})
+
+
+def _processes(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as processes of one period: a customer buys, and the status and priority are the method."""
+    return orders_with_currency(spark, d).select("o_orderkey", "o_custkey", "o_orderstatus", priority().alias("priority"), "o_orderdate", money("o_totalprice").alias("amount"), "currency_code", F.lit(2).alias("declared"), F.lit("2026-07").alias("source_period"))
+
+
+def _context(spark: SparkSession, d: str) -> DataFrame:
+    processes = _processes(spark, d)
+    dim = P.dim_process(processes.filter("o_orderkey % 10 <> 0"), "o_orderkey", {})
+    buyers = R.dimension_keys(table(spark, d, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("source_party_id")), ["source_party_id"], "buyer_key")
+    methods = R.dimension_keys(processes.select(F.col("o_orderstatus").alias("method"), P.known_method("priority").alias("details")).distinct(), ["method", "details"], "method_key")
+    return P.process_context(processes, _SPEC, dim, buyers, methods)
+
+
+#: DuckDB twin of ``_context``; dates are local, five hours behind UTC.
+_CTX = f"""{_OC}, pr AS (SELECT *, o_orderstatus AS m, coalesce(nullif(o_orderpriority, '4-NOT SPECIFIED'), '__UNKNOWN__') AS de FROM oc),
+dp AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY CAST(o_orderkey AS VARCHAR)) AS process_key FROM orders WHERE o_orderkey % 10 <> 0),
+db AS (SELECT c_custkey AS k, row_number() OVER (ORDER BY c_custkey) AS buyer_key FROM customer WHERE c_acctbal >= 0),
+dm AS (SELECT m, de, row_number() OVER (ORDER BY m, de) AS method_key FROM (SELECT DISTINCT m, de FROM pr)),
+ctx AS (SELECT o_orderkey, CAST(coalesce(process_key, 0) AS INTEGER) AS process_key, CAST(coalesce(buyer_key, 0) AS INTEGER) AS buyer_key, CAST(coalesce(method_key, 0) AS INTEGER) AS method_key,
+       CAST(strftime(CAST(o_orderdate AS TIMESTAMP) - INTERVAL 5 HOUR, '%Y%m%d') AS INTEGER) AS published_date_key
+       FROM pr LEFT JOIN dp ON dp.k = o_orderkey LEFT JOIN db ON db.k = o_custkey LEFT JOIN dm USING (m, de))"""
+
+
+@query(f"WITH {_CTX} SELECT * FROM ctx")
+def q_process_context(spark: SparkSession, d: str) -> DataFrame:
+    """The keys that facts of lower grains inherit from their process."""
+    return _context(spark, d)
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY CAST(o_orderkey AS VARCHAR)) AS INTEGER) AS process_key, CAST(o_orderkey AS VARCHAR) AS natural_id, o_orderstatus AS status, '2026-07' AS first_period, '2026-07' AS last_period FROM orders WHERE o_orderkey % 10 <> 0 UNION ALL SELECT 0, '__UNKNOWN__', NULL, NULL, NULL")
+def q_dim_process(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each process, and the unknown member."""
+    return P.dim_process(_processes(spark, d).filter("o_orderkey % 10 <> 0"), "o_orderkey", {"status": "o_orderstatus"})
+
+
+@query(f"""
+WITH {_CTX}, s AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS item_sum, count(*) AS n, count(DISTINCT l_suppkey) AS t FROM lineitem GROUP BY l_orderkey)
+SELECT row_number() OVER (ORDER BY o_orderkey) AS process_fact_key, o_orderkey, process_key, buyer_key, method_key, published_date_key, published_date_key AS record_date_key, CASE currency_code WHEN 'PEN' THEN 1 WHEN 'USD' THEN 2 ELSE 0 END AS currency_key, CAST(o_totalprice AS DECIMAL(18,4)) AS amount, CAST(item_sum AS DECIMAL(18,4)) AS item_sum, coalesce(n, 0) AS item_count, CAST(CAST(o_totalprice AS DECIMAL(18,4)) - item_sum AS DECIMAL(18,4)) AS header_item_difference,
+       coalesce(abs(CAST(o_totalprice AS DECIMAL(18,4)) - item_sum) <= 0.01, false) AS is_reconciled, 2 AS tenderer_count_declared, coalesce(t, 0) AS tenderer_count_observed, coalesce(t, 0) = 2 AS dq_tenderer_count_matches, CAST(o_totalprice AS DECIMAL(18,4)) = 0 AS dq_value_is_zero, 1 AS process_count
+FROM pr JOIN ctx USING (o_orderkey) LEFT JOIN s ON l_orderkey = o_orderkey""")
+def q_fact_process(spark: SparkSession, d: str) -> DataFrame:
+    """The process fact: keys, amounts, declared and observed tenderers, header against items."""
+    items = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), money("l_extendedprice").alias("item_amount"), "l_suppkey")
+    currencies = spark.createDataFrame([(1, "PEN"), (2, "USD")], "currency_key int, code string")
+    fact = P.fact_process(_processes(spark, d), items, items.select("o_orderkey", "l_suppkey").distinct(), _context(spark, d), currencies, _SPEC)
+    return fact.withColumns({c: money(c) for c in ("amount", "item_sum", "header_item_difference")})
+
+
+@query("""
+WITH dim AS (SELECT row_number() OVER (ORDER BY scheme, code) AS k, * FROM (SELECT DISTINCT 'BRAND' AS scheme, p_brand AS code FROM part WHERE p_size > 5 UNION SELECT DISTINCT 'TYPE', p_type FROM part WHERE p_size > 10))
+SELECT p_partkey, CAST(coalesce(a.k, 0) AS INTEGER) AS category_key, CAST(coalesce(b.k, 0) AS INTEGER) AS standard_category_key, b.k IS NULL AS dq_standard_category_missing
+FROM part LEFT JOIN dim a ON a.scheme = 'BRAND' AND a.code = p_brand LEFT JOIN dim b ON b.scheme = 'TYPE' AND b.code = p_type AND p_partkey % 3 <> 0""")
+def q_category_keys(spark: SparkSession, d: str) -> DataFrame:
+    """An item's own category and the standard one of its additional classification; a third of the items has none."""
+    parts = table(spark, d, "part")
+    known = parts.filter("p_size > 5").select(F.lit("BRAND").alias("scheme"), F.col("p_brand").alias("code")).union(parts.filter("p_size > 10").select(F.lit("TYPE"), F.col("p_type"))).distinct()
+    dim = R.dimension_keys(known, ["scheme", "code"], "category_key")
+    items = parts.select("p_partkey", F.lit("BRAND").alias("own_scheme"), F.col("p_brand").alias("own_code"))
+    more = parts.filter("p_partkey % 3 <> 0").select("p_partkey", F.lit("TYPE").alias("more_scheme"), F.col("p_type").alias("more_code"))
+    out = P.category_keys(items, more, dim, ["p_partkey"], ("own_scheme", "own_code"), ("more_scheme", "more_code"))
+    return out.select("p_partkey", "category_key", "standard_category_key", "dq_standard_category_missing")
+
+
+@query(f"""
+WITH {_OC}, r AS (SELECT *, CASE WHEN o_orderkey % 7 = 0 AND currency_code = 'PEN' THEN 2 WHEN currency_code = 'PEN' THEN 1 WHEN currency_code = 'USD' THEN CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE 3.75 END END AS rate FROM oc)
+SELECT 'WH-HOME' AS rule_id, 'FAIL' AS status, (SELECT count(*) FROM r WHERE currency_code = 'PEN' AND rate <> 1) AS violations
+UNION ALL SELECT 'WH-POSITIVE', 'FAIL', (SELECT count(*) FROM r WHERE rate <= 0) UNION ALL SELECT 'WH-INVENTED', 'FAIL', (SELECT count(*) FROM r WHERE rate IS NULL AND o_orderkey % 13 = 0)
+UNION ALL SELECT 'WH-PRODUCT', CASE WHEN (SELECT count(*) FROM r WHERE rate IS NOT NULL AND o_orderkey % 17 = 0) > 0 THEN 'FAIL' ELSE 'PASS' END, (SELECT count(*) FROM r WHERE rate IS NOT NULL AND o_orderkey % 17 = 0)""")
+def q_conversion_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Seeded faults of rates and conversions, each counted by its rule."""
+    rate = F.when((F.col("currency_code") == "PEN") & (F.col("o_orderkey") % 7 == 0), 2.0).when(F.col("currency_code") == "PEN", 1.0).when(F.col("currency_code") == "USD", F.when(F.col("o_orderkey") % 11 == 0, -1.0).otherwise(3.75)).cast("decimal(18,14)")
+    fact = orders_with_currency(spark, d).select("o_orderkey", "currency_code", money("o_totalprice").alias("amount"), rate.alias("rate"))
+    right = X.converted(F.col("amount"), F.col("rate"))
+    stored = F.when(F.col("rate").isNull() & (F.col("o_orderkey") % 13 == 0), F.col("amount")).when(F.col("o_orderkey") % 17 == 0, right + 1).otherwise(right).cast(X.MONEY)
+    found = V.conversion_rules(fact.withColumn("amount_pen", stored), "WH", "amount", "rate", "amount_pen", "currency_code")
+    return V.classified(found).select("rule_id", "status", "violations")
+
+
+@query("""
+WITH s AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS i FROM lineitem GROUP BY l_orderkey), j AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,4)) AS h, i FROM orders LEFT JOIN s ON l_orderkey = o_orderkey),
+r AS (SELECT 'critical' AS severity, (SELECT count(*) FROM j WHERE k % 19 = 0) AS v UNION ALL SELECT 'critical', 0 UNION ALL SELECT 'warning', (SELECT count(*) FROM j WHERE abs(h - i) > 0.01))
+SELECT count(*) AS rules, count_if(v = 0) AS passed, count_if(v > 0 AND severity = 'warning') AS warned, count_if(v > 0 AND severity <> 'warning') AS failed, CASE WHEN count_if(v > 0 AND severity <> 'warning') > 0 THEN 'FAIL' WHEN count_if(v > 0) > 0 THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END AS status FROM r""")
+def q_warehouse_status(spark: SparkSession, d: str) -> DataFrame:
+    """Rules over headers and items rolled up; stored differences of some orders are wrong on purpose."""
+    fact = q_header_item_reconcile(spark, d)
+    wrong = F.when(F.col("o_orderkey") % 19 == 0, F.coalesce(F.col("header_item_difference"), F.lit(0)) + 1).otherwise(F.col("header_item_difference"))
+    return V.overall(V.reconciliation_rules(fact.withColumn("header_item_difference", wrong), "WH", "header_amount", "item_sum", "header_item_difference", "is_reconciled"))
+
+
+@query(f"""
+WITH {_OC}, a AS (SELECT currency_code, CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS total FROM oc GROUP BY currency_code), b AS (SELECT currency_code, CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS total FROM oc WHERE o_orderstatus <> 'P' OR currency_code <> 'EUR' GROUP BY currency_code)
+SELECT currency_code, a.total AS raw_total, b.total AS typed_total, a.total AS stage_total, CASE WHEN a.total = b.total THEN 'PASS' ELSE 'FAIL' END AS status FROM a LEFT JOIN b USING (currency_code)""")
+def q_layer_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Control totals of three layers for each currency; the typed layer lacks some rows on purpose."""
+    rows = orders_with_currency(spark, d).select("currency_code", "o_orderstatus", money("o_totalprice").alias("amount"))
+    total = lambda df: R.currency_totals(df, "currency_code", "amount").withColumnRenamed("total_amount", "total")
+    layers = {"raw": total(rows), "typed": total(rows.filter("o_orderstatus <> 'P' OR currency_code <> 'EUR'")), "stage": total(rows)}
+    return V.reconciled_layers(layers, ["currency_code"], "total", ["raw", "typed", "stage"])
+
+
+@query(f"WITH {_OC} SELECT currency_code, count(*) AS n_rows, count_if(nullif(o_orderpriority, '4-NOT SPECIFIED') IS NOT NULL) AS flagged, round(count_if(nullif(o_orderpriority, '4-NOT SPECIFIED') IS NOT NULL) * 100.0 / count(*), 4) AS coverage_pct FROM oc GROUP BY currency_code")
+def q_flag_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return V.flag_coverage(orders_with_currency(spark, d).withColumn("known", priority().isNotNull()), ["currency_code"], "known")
+
+
+@query("SELECT CASE WHEN coalesce(n, 0) = 0 THEN '0' WHEN n = 1 THEN '1' ELSE '>1' END AS children, count(*) AS parents FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey GROUP BY 1")
+def q_participation(spark: SparkSession, d: str) -> DataFrame:
+    """Customers with no order, with one and with several."""
+    return V.participation(table(spark, d, "customer").select(F.col("c_custkey").alias("k")), table(spark, d, "orders").select(F.col("o_custkey").alias("k")), ["k"])
+
+
+@query("SELECT source, count(*) AS rows_in, count_if(k = 1) AS rows_kept, count_if(k > 1) AS rows_quarantined, 'PASS' AS status FROM (SELECT source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) GROUP BY source")
+def q_rows_conserved(spark: SparkSession, d: str) -> DataFrame:
+    """Each source's rows are kept or in quarantine; none is lost."""
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    kept, others = R.split_duplicates(docs, ["text"], "doc_id")
+    n = lambda df: df.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return V.conserved(n(docs), n(kept), n(others), ["source"])

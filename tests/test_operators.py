@@ -49,6 +49,8 @@ def test_conversion_never_invents_a_rate(spark):
 
 def test_snake_names():
     assert X.snake_name("compiledRelease/tender/items/0/totalValue/amount") == "compiled_release_tender_items_total_value_amount"
+    assert X.snake_name("x/0/a") == "x_a" and X.snake_name("x/1/a") == "x_1_a" and X.snake_name("x/10/0") == "x_10_0"
+    assert X.snake_name("buyerRUC/amount_PEN") == "buyer_ruc_amount_pen" and X.snake_name("date2Published") == "date2_published"
     with pytest.raises(ValueError):
         X.snake_names(["some/value", "some_value"])
     with pytest.raises(ValueError):
@@ -180,3 +182,26 @@ def test_profiles(spark):
     assert rows(Q.column_profile(df, ["k", "v"])) == [("k", 4, 0, 4, 2, 0.0), ("v", 4, 1, 3, 2, 25.0)]
     assert rows(Q.key_profile(df, ["v"])) == [("v", 4, 1, 2, 1, False)]
     assert rows(Q.table_profile(df)) == [(4, 2, 1, 0, 1)]
+
+
+def test_dense_keys_keep_every_row_of_a_wide_table(spark, tmp_path):
+    n = 120_000
+    wide = spark.range(n, numPartitions=7).select(F.when(F.col("id") % 50_000 != 0, F.pmod(F.xxhash64("id"), F.lit(1 << 40))).alias("k"), "id", *(F.sha2(F.concat(F.lit(i), F.col("id").cast("string")), 256).alias(f"c{i}") for i in range(6)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        R.dense_keys(wide, ["k", "id"], "key").write.parquet(str(tmp_path / "keys"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    got = spark.read.parquet(str(tmp_path / "keys"))
+    assert got.agg(F.count(F.lit(1)), F.count_distinct("key"), F.min("key"), F.max("key"), F.count_distinct("id")).first() == (n, n, 1, n, n)
+    head = [r.k for r in got.orderBy("key").limit(500).select("k").collect()]
+    assert head == sorted(head) and all(r.k is None for r in got.filter(f"key > {n - 3}").collect())
+    assert R.dense_keys(wide.limit(0), ["k"], "key").count() == 0
+
+
+def test_split_duplicates_with_null_order(spark):
+    df = spark.createDataFrame([("a", None), ("a", 2), ("b", None), ("c", 1), ("c", 3)], "x string, n int")
+    first, others = R.split_duplicates(df, ["x"], "n")
+    assert rows(first) == [("a", 2), ("b", None), ("c", 1)]
+    assert rows(others) == [("a", None), ("c", 3)]

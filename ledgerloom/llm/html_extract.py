@@ -22,7 +22,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -41,7 +41,8 @@ MAIN_SHARE = 0.7
 #: Templates are broadcast up to so many tokens in all; beyond, pages are joined with them by host.
 BROADCAST_TOKENS = 1 << 20
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+# A quoted value is bounded, so that quotes without an end cost no scan of the whole page for each tag.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]{0,20000}"|'[^']{0,20000}')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAMES = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -97,9 +98,10 @@ class Page:
 
     def __init__(self, source: str | None):
         self.tags: list[tuple[int, int]] = []
-        #: (text, enclosing element, number of the block, chain of enclosing paths)
-        self.segments: list[tuple[str, _Element, int, tuple[int, ...]]] = []
+        #: (text, enclosing element, number of the block)
+        self.segments: list[tuple[str, _Element, int]] = []
         self._block = self._articles = 0
+        self._found: dict[_Element, bool] = {}
         self._stack = [_Element("", 0, False, 0, 0, False, 0)]
         self._read(source or "")
 
@@ -170,13 +172,17 @@ class Page:
 
     def _text(self, text: str) -> None:
         if text:
-            self.segments.append((text, self._stack[-1], self._block, tuple(e.path for e in self._stack)))
+            self.segments.append((text, self._stack[-1], self._block))
 
     def _read(self, source: str) -> None:
         at, lower = 0, None
-        while m := _TAG.search(source, at):
+        end_of_tags = source.rfind(">") + 1  # behind it no tag can end, and looking for one would scan the rest for each
+        while m := _TAG.search(source, at, end_of_tags):
             self._text(source[at : m.start()])
             at = m.end()
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(source)
+                break
             name = (m[2] or m[5] or "").lower()
             if not name:
                 continue
@@ -191,13 +197,13 @@ class Page:
                 at = len(source) if end < 0 else end
             elif attributes.endswith("/") and name in ("svg", "path"):
                 self._close(name)
-        self._text(source[at:])
+        self._text(source[at:].partition("<!--")[0])
 
     def tokens(self) -> dict[int, tuple[int, int, bool]]:
         """Token: (count, token of the enclosing element, whether it is text)."""
         counts = Counter(path for path, _ in self.tags)
         out = {path: (counts[path], parent, False) for path, parent in self.tags}
-        texts = Counter((e.path, " ".join(t.split())) for t, e, _, _ in self.segments)
+        texts = Counter((e.path, " ".join(t.split())) for t, e, _ in self.segments)
         for (path, text), n in texts.items():
             if text:
                 out[_digest(text, path ^ 0x5BD1E995)] = (n, path, True)
@@ -205,29 +211,44 @@ class Page:
 
     def masses(self) -> dict[int, tuple[int, int]]:
         """Slot text outside links and dropped elements: (characters, depth) of each enclosing block element."""
-        out: dict[int, list[int]] = {}
-        for text, element, _, chain in self.segments:
+        own: Counter[_Element] = Counter()
+        for text, element, _ in self.segments:
             if not element.dropped and not element.hinted and not element.link:
-                n = len(text.strip())
-                for depth, path in enumerate(chain):
-                    held = out.setdefault(path, [0, depth])
-                    held[0] += n
+                own[element] += len(text.strip())
+        out: dict[int, list[int]] = {}
+        for element in _inner_first(own):
+            out.setdefault(element.path, [0, element.depth])[0] += own[element]
+            if element.parent is not None:
+                own[element.parent] += own[element]
         return {p: (n, d) for p, (n, d) in out.items() if n}
 
+    def _within(self, element: _Element | None, main: int) -> bool:
+        """Whether the element or one around it has the path; what is found is kept, so that no element is asked twice."""
+        chain = []
+        while element is not None and element not in self._found and element.path != main:
+            chain.append(element)
+            element = element.parent
+        found = element is not None and (element.path == main or self._found.get(element, False))
+        self._found.update(dict.fromkeys(chain, found))
+        return found
+
     def _weigh(self, kept: list, template: set[int]) -> None:
         """Counts the text of each element, what of it the template holds, and what is in links and headings."""
-        for text, element, _, _ in kept:
+        held: set[_Element] = set()
+        for text, element, _ in kept:
             if words := text.split():
                 n = sum(map(len, words))
-                link, title = element.link, element.heading
                 known = n if template and _digest(" ".join(words), element.path ^ 0x5BD1E995) in template else 0
-                while element is not None:
-                    element.chars += n
-                    element.repeated += known
-                    element.linked += n * link
-                    element.titles += (n - known) * title
-                    element.title_links += (n - known) * (title and link)
-                    element = element.parent
+                held.add(element)
+                element.chars += n
+                element.repeated += known
+                element.linked += n * element.link
+                element.titles += (n - known) * element.heading
+                element.title_links += (n - known) * (element.heading and element.link)
+        for element in _inner_first(held):
+            if (up := element.parent) is not None:
+                for field in ("chars", "repeated", "linked", "titles", "title_links"):
+                    setattr(up, field, getattr(up, field) + getattr(element, field))
 
     def _gone(self, element: _Element, main: int | None) -> bool:
         """Whether the element, or one around it, is boilerplate by the host's template, its links or its forms."""
@@ -246,7 +267,7 @@ class Page:
     def _articles_of(self, kept: list) -> set[int]:
         """Numbers of the articles that stay: the largest, and those that no mark tells from it."""
         tops: dict[int, _Element] = {}
-        for _, element, _, _ in kept:
+        for _, element, _ in kept:
             if element.article and element.article not in tops:
                 while element.parent.article:
                     element = element.parent
@@ -263,13 +284,13 @@ class Page:
             return _joined([s for s in kept if not self._gone(s[1], main)]) or _joined(kept)
         kept = [s for s in kept if not self._gone(s[1], main)]
         level = max((s[1].main for s in kept if s[0].strip()), default=0)
-        held = [s for s in kept if main is not None and main in s[3]]
+        held = [s for s in kept if main is not None and self._within(s[1], main)]
         if level < 2 and held and not self._whole(held, main):
-            kept = [s for s in kept if s[1].main or main in s[3]]
+            kept = [s for s in kept if s[1].main or self._within(s[1], main)]
         elif level:
             kept = [s for s in kept if s[1].main == level]
         # A block is template text only where all of it is.
-        own = {block for text, element, block, _ in kept if text.strip() and _digest(" ".join(text.split()), element.path ^ 0x5BD1E995) not in template}
+        own = {block for text, element, block in kept if text.strip() and _digest(" ".join(text.split()), element.path ^ 0x5BD1E995) not in template}
         return _joined([s for s in kept if s[2] in own]) or _joined(kept)
 
     def _whole(self, held: list, main: int) -> bool:
@@ -281,9 +302,21 @@ class Page:
         return top.name in ("", "html", "body") and 2 * named >= sum(len(s[0].strip()) for s in held)
 
 
+def _inner_first(elements: Iterable[_Element]) -> Iterator[_Element]:
+    """The elements and all around them, each once and before the one around it."""
+    levels: dict[int, set[_Element]] = {}
+    for element in elements:
+        levels.setdefault(element.depth, set()).add(element)
+    for depth in range(max(levels, default=-1), -1, -1):
+        for element in levels.get(depth, ()):
+            if element.parent is not None:
+                levels.setdefault(depth - 1, set()).add(element.parent)
+            yield element
+
+
 def _joined(segments: list) -> str:
     blocks: dict[int, list[str]] = {}
-    for text, _, block, _ in segments:
+    for text, _, block in segments:
         blocks.setdefault(block, []).append(text)
     return " ".join(x for x in (" ".join(entities.unescape("".join(b)).split()) for b in blocks.values()) if x)
 

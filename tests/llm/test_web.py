@@ -159,3 +159,13 @@ def test_broken_markup():
     assert H.Page("</div></p>a</b>b").extract(set(), None) == "a b" or H.Page("</div></p>a</b>b").extract(set(), None) == "ab"
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert H.Page(deep).extract(set(), None) == "x"
+
+
+def test_deep_and_unclosed_pages_take_linear_time():
+    import time
+
+    for source in ("<div>x" * 30_000, "<p title='x>y " * 30_001, '<a href="' * 30_001 + "<div title=\"'" * 5_000):
+        began = time.process_time()
+        page = H.Page(source)
+        page.tokens(), page.masses(), page.extract(set(), None)
+        assert time.process_time() - began < 20

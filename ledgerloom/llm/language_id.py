@@ -1,7 +1,7 @@
 """Language ID by multilingual mixture inference.
 
-Each language is a multinomial over byte trigrams of lower-cased letters, counted by the
-tasks and summed by Spark. A text is taken as a mixture of languages: expectation
+Each language is a multinomial over byte trigrams of lower-cased letters and other signs
+outside ASCII, counted by the tasks and summed by Spark. A text is taken as a mixture of languages: expectation
 maximisation fits the shares for the language set of every size (the strongest of the
 mixture of all), and the set with the best penalised likelihood is selected. EM runs on a
 batch of texts at once, over the distinct trigrams of each.
@@ -30,15 +30,20 @@ EM_STEPS = 10
 PENALTY = 3.0
 BATCH_TEXTS = 256
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD_SIGN = re.compile(r"[^\W\d_]")
 _CLASS = np.zeros(256, np.int64)
 _CLASS[97:123] = np.arange(1, 27)
 _CLASS[0x80:0xC0] = np.arange(27, 91)
 _CLASS[0xC0:0x100] = [91] * 16 + [92] * 8 + [93] * 8 + [94] * 16 + [95] * 16
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of a Unicode category of letters; number signs such as one half are not."""
+    return any(m[0].isalpha() for m in _WORD_SIGN.finditer(text))
+
+
 def grams(text: str) -> np.ndarray:
-    """Codes of the trigrams around each letter byte; a text's ends count as no letters."""
+    """Codes of the trigrams around each ASCII letter and each byte of a sign outside ASCII; a text's ends count as no letters."""
     c = _CLASS[np.frombuffer(f" {text.lower()} ".encode("utf-8", "replace"), np.uint8)]
     mid = c[1:-1]
     return ((c[:-2] * CLASSES + mid) * CLASSES + c[2:])[mid > 0]
@@ -91,7 +96,7 @@ class Model:
             return out
         found, counts, places = [], [], []
         for i, text in enumerate(texts):
-            if text and _LETTER.search(text):
+            if text and has_letter(text):
                 ids, n = np.unique(grams(text), return_counts=True)
                 if len(ids):
                     found.append(ids)

@@ -142,3 +142,9 @@ def test_label_domains(spark):
     rows = [(1, 1, 0), (2, 0, 0), (3, 1, 1), (4, None, 0), (None, 1, 0), (1, 1, 0)]
     got = M.label_domains(spark.createDataFrame(rows, "doc_id long, quality int, toxic int")).collect()
     assert {(r.doc_id, r.domain) for r in got} == {(1, "clean"), (2, "junk"), (3, "toxic")}
+
+
+def test_number_signs_are_no_letters():
+    assert [L.has_letter(x) for x in ("½", "²³", "Ⅷ", "_ 12 ٣", "x½", "ß", "語", "")] == [False, False, False, False, True, True, True, False]
+    model = L.Model(["de"], np.zeros((L.GRAMS, 1), np.float32))
+    assert [m[0] for m in model.mixtures(["½", "²³", "Ⅷ", None, "", "a"])] == ["und"] * 5 + ["de"]

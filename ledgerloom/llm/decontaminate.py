@@ -107,6 +107,13 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple
     yield block, True
 
 
+PAIRS_DDL = "array<struct<start: bigint, stop: bigint>>"
+
+
+def _as_pairs(rows: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": a, "stop": b} for a, b in r] for r in rows], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
+
+
 HITS = "{}n_words long, hits array<struct<start: long, stop: long>>, spans array<struct<start: long, stop: long>>, items array<string>"
 
 
@@ -119,12 +126,10 @@ def _scanned(docs: DataFrame, sent: Broadcast, size: int, with_spans: bool) -> D
         for batch in batches:
             texts = raw_texts(batch.column(position))
             got = [scan(found, x) for x in texts]
-            pairs = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-            as_rows = lambda rows: pa.array([[{"start": a, "stop": b} for a, b in r] for r in rows], pairs)
             extra = [
                 pa.array([g[0] for g in got], pa.int64()),
-                as_rows([g[1] for g in got]),
-                as_rows([spans(t, g[1]) if with_spans and g[1] else [] for t, g in zip(texts, got)]),
+                _as_pairs([g[1] for g in got]),
+                _as_pairs([spans(t, g[1]) if with_spans and g[1] else [] for t, g in zip(texts, got)]),
                 pa.array([sorted(names[i] for i in g[2]) for g in got], pa.list_(pa.string())),
             ]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if i != position), *extra], names=[*(c for c in batch.schema.names if c != "text"), "n_words", "hits", "spans", "items"])
@@ -142,7 +147,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     their own. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scratch = parts = None
+    scratch = parts = texts = None
     for block, last in _blocks(benchmark, block_bytes):
         sent = spark.sparkContext.broadcast(block)
         if parts is None and last:
@@ -151,18 +156,26 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
             return merged.select("doc_id", "n_words", "n_hit", F.array_distinct("items").alias("items"), "spans")
         if parts is None:
             scratch, parts = Scratch(spark, "decontaminate"), []
-            docs = scratch.cut(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
-        parts.append(scratch.cut(_scanned(docs, sent, window, with_spans), "block"))
+            texts = docs = scratch.cut(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+        parts.append(scratch.cut(_scanned(docs, sent, window, False), "block"))
         sent.destroy()  # its result is written
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     all_of = lambda c: F.array_sort(F.flatten(F.collect_list(c)))  # noqa: E731  one row for each block
-    one = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), all_of("hits").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), all_of("spans").alias("spans"))
-    # Overlapping ranges of different blocks become one; a run of words hit by two blocks is one span.
-    merge = "aggregate({0}, cast(array() as array<struct<start: bigint, stop: bigint>>), (acc, x) -> CASE WHEN size(acc) > 0 AND x.start <= element_at(acc, -1).stop THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'stop', greatest(element_at(acc, -1).stop, x.stop)))) ELSE concat(acc, array(named_struct('start', x.start, 'stop', x.stop))) END)"
-    one = one.withColumn("hits", F.expr(merge.format("hits"))).withColumn("spans", F.expr(merge.format("spans")))
-    return one.select("doc_id", "n_words", F.expr("aggregate(hits, 0L, (acc, x) -> acc + x.stop - x.start)").alias("n_hit"), "items", "spans")
+    one = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), all_of("hits").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    # Ranges of different blocks that overlap or touch become one before they are mapped to the text.
+    merge = "aggregate(hits, cast(array() as array<struct<start: bigint, stop: bigint>>), (acc, x) -> CASE WHEN size(acc) > 0 AND x.start <= element_at(acc, -1).stop THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'stop', greatest(element_at(acc, -1).stop, x.stop)))) ELSE concat(acc, array(named_struct('start', x.start, 'stop', x.stop))) END)"
+    one = scratch.cut(one.withColumn("hits", F.expr(merge)), "merged")
+    placed = texts.select("row", "text").join(one.filter("size(hits) > 0").select("row", "hits"), "row") if with_spans else texts.select("row", "text").limit(0).withColumn("hits", F.lit(None).cast(PAIRS_DDL))
+    out = one.join(placed.mapInArrow(_placed, f"row long, spans {PAIRS_DDL}"), "row", "left").withColumn("spans", F.coalesce("spans", F.expr(f"CAST(array() AS {PAIRS_DDL})")))
+    return out.select("doc_id", "n_words", F.expr("aggregate(hits, 0L, (acc, x) -> acc + x.stop - x.start)").alias("n_hit"), "items", "spans")
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [spans(t, [(x["start"], x["stop"]) for x in hits]) for t, hits in zip(raw_texts(batch.column(1)), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), _as_pairs(found)], names=["row", "spans"])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

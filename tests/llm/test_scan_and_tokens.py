@@ -128,3 +128,11 @@ def test_a_damaged_block_is_noticed(spark, tmp_path):
     spark.read.parquet(str(tmp_path / "t/table")).write.parquet(str(tmp_path / "b/table"))
     with pytest.raises(Exception, match="checksum"):
         T.read_pieces(spark, str(tmp_path / "b")).collect()
+
+
+def test_spans_do_not_depend_on_blocks(spark):
+    docs = spark.createDataFrame([(1, "a b -- c d x a b"), (1, "c d"), (None, "É a b c"), (2, None)], "doc_id long, text string").withColumn("hits", F.lit(1))
+    items = spark.createDataFrame([(1, "a b"), (2, "c d"), (3, "b c d")], "item_id long, text string")
+    found = [D.contamination(spark, docs, items, window=2, block_bytes=n).collect() for n in (1 << 20, 4)]
+    one, many = (sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r.items), tuple(map(tuple, r.spans))) for r in rows), key=repr) for rows in found)
+    assert one == many and (1, 7, 6, ("1", "2", "3"), ((0, 10), (13, 16))) in one

@@ -10,9 +10,11 @@ with the first one it has seen under its (fingerprint, length, chunk number) and
 only chunks that differ, and Spark counts the different contents of each. Where
 fingerprints collide, the group is split by whole text.
 
-Only (doc_id, fingerprint, length, digest) rows, the chunks of long texts and one copy per
-task of the repeated chunks are shuffled. A hot group costs one partial aggregate row per task, and the last
-join runs between two written tables, where adaptive execution splits skewed partitions.
+Shuffled are (doc_id, fingerprint, length, digest) rows, the chunks of long texts, the texts
+whose fingerprint repeats (a bounded bitmap leaves most others behind; beyond what it can tell
+apart, more texts reach the exact join) and one copy per task of the repeated chunks. A hot
+group costs one partial aggregate row per task, and the last join runs between two written
+tables, where adaptive execution splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, raw_texts, sliced, table
+from .common import Scratch, present, raw_texts, sliced, table
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1442695041)
@@ -175,7 +177,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, primes=PRIMES, bases=BASES
     key = ["fp", "n_bytes"]
     groups = scratch.cut(rows.groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"), "groups")
     repeated = rows.join(groups, key, "left_semi").select("doc_id").distinct()
-    texts = docs.join(repeated, docs.doc_id.eqNullSafe(repeated.doc_id), "left_semi")
+    repeated = scratch.cut(repeated, "repeated")
+    texts = present(docs, "doc_id", repeated).alias("d").join(repeated.alias("r"), F.expr("d.doc_id <=> r.doc_id"), "left_semi")
     differing = scratch.cut(_differing_chunks(texts, primes, bases, size).distinct().groupBy(*key, "chunk_no").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1").select(*key).distinct(), "collisions")
     plain = rows
     split = None

@@ -34,6 +34,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SCALE_BITS = 20
 LANES = 4096
+#: Ids of a written file, on average, beyond which there are more files.
+PART_IDS = 1 << 26
 BLOCK_TOKENS = 1 << 20
 #: Coder steps between checkpoints.
 CHECKPOINT_STEPS = 64
@@ -353,9 +355,10 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, tokenizer_path
     scratch = Scratch(spark, "token-output")
     found = scratch.cut(tokenised(docs, tokenizer_path or public_tokenizers.path(TOKENIZER), end_id), "tokens")
     counts = found.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n"))  # at most one row for each id of the vocabulary
-    freq = frequencies({r.id: r.n for r in counts.collect()})
+    counted = {r.id: r.n for r in counts.collect()}
+    freq = frequencies(counted)
     spark.createDataFrame([(i, f) for i, f in sorted(freq.items())], "id int, freq long").coalesce(1).write.mode("overwrite").parquet(f"{path}/table")
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(counted.values()) // PART_IDS + 1)
     ordered = found.filter("kind = 0").select("doc_id", "ids").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
     encoded(ordered, spark.sparkContext.broadcast(freq), block_tokens).write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
     scratch.drop(found)

@@ -9,7 +9,6 @@ execution may split their skewed partitions.
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -18,30 +17,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import delete, shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see; one of our own only where the session names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is None:
-        return
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 class Scratch:
     """Written intermediate tables of one operator run.
 
@@ -57,7 +39,7 @@ class Scratch:
 
     def _end(self) -> None:
         try:
-            _delete(self.spark, self.root)
+            delete(self.spark, self.root)
         except Exception:  # the session has ended before the process
             return
 
@@ -77,7 +59,7 @@ class Scratch:
 
     def drop(self, *frames: DataFrame) -> None:
         for frame in frames:
-            _delete(self.spark, frame._scratch_path)
+            delete(self.spark, frame._scratch_path)
 
 
 def raw_texts(column: pa.Array) -> list[bytes | None]:

@@ -120,7 +120,7 @@ def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFra
         buckets, size, pairs_left = _buckets(scratch, live, k)
         if k and again is not None and pairs_left > listed * size:
             scratch.drop(buckets)
-            before, live = live, narrowed(again(scratch.cut(live.select("id", "weight").distinct(), "items")))
+            before, live = live, narrowed(again(scratch.cut(live.groupBy("id").agg(F.max("weight").alias("weight")), "items")))
             scratch.drop(before)
             again = None
             buckets, size, pairs_left = _buckets(scratch, live, k)
@@ -141,3 +141,23 @@ def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFra
     if labels is None:
         labels = scratch.cut(rows.select("id", F.col("id").alias("component")).limit(0), "components")
     return labels
+
+
+def by_exact_rarity(scratch: Scratch, held: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """Rows for ``link_in_buckets`` in which all pairs of ``items`` (id, weight) with a Jaccard similarity of ``percent`` meet.
+
+    ``held`` (id, shingles) is a written table of their sets. Shingles are ordered by the
+    number of these items that have them; those of one item alone come first and make no
+    bucket, so that items with too much of their own meet nobody.
+    """
+    each = held.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("bucket"))
+    common = scratch.cut(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1"), "common")
+    ranked = each.join(common, "bucket").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("nodes", "bucket"))).alias("common"))  # of one item
+    ranked = ranked.withColumn("own", F.col("n") - F.size("common"))
+    first = F.expr(f"slice(common, 1, greatest(0, n - (n * {percent} + 99) div 100 + 1 - own))")
+    placed = ranked.select("id", "n", "own", F.posexplode(first).alias("at", "shingle"))
+    most = F.expr(f"CAST({100 + percent} * (n - own - at) div {percent} - n AS bigint)")
+    out = placed.select(F.col("shingle.bucket").alias("bucket"), "id", F.col("n").cast("long").alias("n"), most.alias("most")).join(items, "id")
+    out = scratch.cut(out.select("bucket", "id", "n", "most", "weight"), "met-again")
+    scratch.drop(held, common)
+    return out

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import words
 from .common import IdFilter, Scratch, raw_texts, sliced, table
-from .linking import link_in_buckets
+from .linking import by_exact_rarity, link_in_buckets
 
 SHINGLE_WORDS = 4
 PERCENT = 85
@@ -208,21 +208,6 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
         scratch.drop(wanted)
         return held
 
-    def by_exact_rarity(items: DataFrame) -> DataFrame:
-        """Postings of the items' sets, their shingles ordered by the number of these items that have them; those of one item alone come first."""
-        held = sets_of(items.select("id"))
-        each = held.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("bucket"))
-        common = scratch.cut(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1"), "common")
-        ranked = each.join(common, "bucket").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("nodes", "bucket"))).alias("common"))  # of one document
-        ranked = ranked.withColumn("own", F.col("n") - F.size("common"))
-        first = F.expr(f"slice(common, 1, greatest(0, n - (n * {percent} + 99) div 100 + 1 - own))")
-        placed = ranked.select("id", "n", "own", F.posexplode(first).alias("at", "shingle"))
-        most = F.expr(f"CAST({100 + percent} * (n - own - at) div {percent} - n AS bigint)")
-        out = placed.select(F.col("shingle.bucket").alias("bucket"), "id", F.col("n").cast("long").alias("n"), most.alias("most")).join(items, "id")
-        out = scratch.cut(out.select("bucket", "id", "n", "most", "weight"), "met-again")
-        scratch.drop(held, common)
-        return out
-
     def verify(pairs: DataFrame) -> DataFrame:
         """Pairs that share prefix shingles under the other two orders as well, and then enough of all shingles."""
         pairs = scratch.cut(pairs, "pairs")
@@ -236,7 +221,7 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
         scratch.drop(pairs, kept, held)
         return links
 
-    linked = link_in_buckets(scratch, met, verify, by_exact_rarity)
+    linked = link_in_buckets(scratch, met, verify, lambda items: by_exact_rarity(scratch, sets_of(items.select("id")), items, percent))
     scratch.drop(met, nodes, shared)
     of = sets.join(linked, "id", "left").select(*key, "least", "weight", F.coalesce("component", "id").alias("class"))
     wide = of.join(linked.select(F.col("component").alias("class")).distinct(), "class", "left_semi").groupBy("class").agg(F.min("least").alias("least_doc"), F.sum("weight").alias("rows"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -49,3 +50,29 @@ def test_queries_keep_every_row(spark, name):
     table, key = ("pages", "page_id") if name in ("op1_url_filter", "op6_html_extract") else ("documents", "doc_id")
     got = __spark_entry__.queries()[name](spark, SF).select(key)
     assert sorted(got.collect()) == sorted(spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect())
+
+
+def test_stages_keep_the_columns_of_the_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", *(F.lit(c).alias(c) for c in ("score", "shares", "lang_pred", "rate", "n_tokens", "posteriors", "_copies", "h1", "class", "n_words")))
+    extra = [(None, None), (None, "one text without an id that stays"), (7, "a text of its own under a repeated id")]
+    rows = spark.createDataFrame(extra, "doc_id long, text string").select("doc_id", "text", F.lit("en").alias("lang"), *(F.lit(c).alias(c) for c in docs.columns[3:]))
+    kept = docs.unionByName(rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = Scratch(spark, "test").cut(stage(spark, kept, SF), name)
+        assert kept.columns == docs.columns
+    assert all(r[c] == c for r in kept.collect() for c in docs.columns[3:])
+    texts = {r.text for r in kept.collect()}
+    assert None not in texts and {t for _, t in extra[1:]} <= texts
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        assert stage(spark, docs, SF).count() == 0
+
+
+def test_run_is_its_stages(spark):
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    rows = sorted((r.start, r.n_tokens) for r in got.collect())
+    assert rows[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(rows, rows[1:]))

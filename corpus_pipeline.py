@@ -1,8 +1,14 @@
 """From raw documents to token files: five stages over the training-data operators.
 
 Each stage works on all rows that the one before it kept and its decisions take effect. All
-but the last return the columns of the documents they were given; the last returns the
-digests read back from the written token files.
+but the last return the columns of the documents they were given, whatever their names; the
+last returns the digests read back from the written token files.
+
+In every stage rows that repeat a doc_id are judged apart, each by its own text, and repeated
+rows alike; an empty table gives an empty one; texts are processed whole at any length. Null
+and empty texts, and texts without a letter, are rejected by the first stage; a later stage
+that meets them keeps them. Rows without doc_id are judged like others, but take part in no
+near-duplicate group. Ties go to the smaller doc_id.
 """
 
 from __future__ import annotations
@@ -10,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import Scratch, table
 from ledgerloom.llm.decontaminate import decontaminate
@@ -25,10 +32,28 @@ LEAST_SHARE = 0.35
 DOMAIN_SHARES = {"clean": 0.93, "junk": 0.05, "toxic": 0.02}
 
 
+#: Columns that the operators read; all others pass under private names, so that none clashes with what an operator adds.
+READ = ("doc_id", "text", "lang")
+
+
+def _private(docs: DataFrame) -> dict[str, str]:
+    return {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in READ}
+
+
+def _aside(docs: DataFrame) -> DataFrame:
+    return docs.withColumnsRenamed(_private(docs))
+
+
+def _back(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names."""
+    names = _private(docs)
+    return found.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter, null texts, and mixtures in which no language holds its share."""
-    found = identify(docs, learned(docs))
-    return found.filter((found.lang_pred != UNKNOWN) & (found.score >= LEAST_SHARE)).select(*docs.columns)
+    found = identify(_aside(docs), learned(docs))
+    return _back(found.filter((found.lang_pred != UNKNOWN) & (found.score >= LEAST_SHARE)), docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +68,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rates between 0 and 1 bring junk and toxic text down to their shares; clean text has rate 1 and stays."""
-    found, _ = mix(spark, docs, label_domains(table(spark, sf_dir, "labels")), DOMAIN_SHARES, anchor="clean", high=1.0)
-    return apply_rates(found).select(*docs.columns)
+    found, _ = mix(spark, _aside(docs), label_domains(table(spark, sf_dir, "labels")), DOMAIN_SHARES, anchor="clean", high=1.0)
+    return _back(apply_rates(found), docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

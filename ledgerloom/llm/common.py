@@ -105,13 +105,31 @@ class IdFilter:
         return pa.array((self.sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
 
 
-def present(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose ``column`` is not in the one column of longs of ``ids``; an exact join follows.
+def _marked(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``_present_bits``, the word of a bitmap of ``ids`` that the column falls in, and ``_present_at``, its place.
 
     As ``IdFilter`` in DataFrame operations: the bits are at most ``BITS / 64`` rows of words,
     whatever the number of ids, so that the broadcast has a fixed bound.
     """
     split = lambda c: F.struct(F.shiftright(IdFilter.position(F.col(c)), 6).cast("int").alias("word"), IdFilter.position(F.col(c)).bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-    words = ids.select(split(ids.columns[0]).alias("_at")).groupBy(F.col("_at.word").alias("_word")).agg(F.expr("bit_or(shiftleft(1L, _at.bit))").alias("_bits"))
-    marked = rows.withColumn("_at", split(column)).join(F.broadcast(words), F.col("_at.word") == F.col("_word"))
-    return marked.filter("shiftrightunsigned(_bits, _at.bit) & 1L = 1L").select(*rows.columns)
+    words = ids.select(split(ids.columns[0]).alias("_present_at")).groupBy(F.col("_present_at.word").alias("_present_word")).agg(F.expr("bit_or(shiftleft(1L, _present_at.bit))").alias("_present_bits"))
+    return rows.withColumn("_present_at", split(column)).join(F.broadcast(words), F.col("_present_at.word") == F.col("_present_word"), "left")
+
+
+_BIT = "shiftrightunsigned(coalesce(_present_bits, 0L), _present_at.bit) & 1L"
+
+
+def present(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not in the one column of longs of ``ids``; an exact join follows."""
+    return _marked(rows, column, ids).filter(f"{_BIT} = 1L").select(*rows.columns)
+
+
+def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` is not in the one column of longs of ``ids``, a written table; most rows are told without a shuffle."""
+    maybe = present(rows, column, ids).join(ids.select(F.col(ids.columns[0]).alias("_present_id")), F.col(column) == F.col("_present_id"), "left_anti")
+    return absent(rows, column, ids).unionByName(maybe)
+
+
+def absent(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows that ``present`` leaves out."""
+    return _marked(rows, column, ids).filter(f"{_BIT} = 0L").select(*rows.columns)

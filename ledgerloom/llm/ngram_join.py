@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words
-from .common import IdFilter, Scratch, raw_texts, sliced, table
+from .common import IdFilter, Scratch, absent, present, raw_texts, sliced, table, without
 from .linking import by_exact_rarity, link_in_buckets
 
 SHINGLE_WORDS = 4
@@ -194,7 +194,7 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
     # A set's node is the number of its first row.
     sets = scratch.cut(named.groupBy(*key).agg(F.min(F.struct("row", "doc_id")).alias("first"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight")).select(F.col("first.row").alias("id"), F.col("first.doc_id").alias("doc_id"), *key, "least", "weight"), "sets")
     copies = named.select("row", *key).join(sets.filter("weight > 1").select("id", *key), key).filter("row <> id").select("row")
-    nodes = scratch.cut(named.select("row", "n", "rare", "second", "third").join(scratch.cut(copies, "copies"), "row", "left_anti"), "nodes")
+    nodes = scratch.cut(without(named.select("row", "n", "rare", "second", "third"), "row", scratch.cut(copies, "copies")), "nodes")
     shared = nodes.select(F.explode("rare").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("id")
     shared = scratch.cut(shared, "shared")
     weights = sets.filter("weight > 1").select("id", "weight")
@@ -211,14 +211,16 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
     def verify(pairs: DataFrame) -> DataFrame:
         """Pairs that share prefix shingles under the other two orders as well, and then enough of all shingles."""
         pairs = scratch.cut(pairs, "pairs")
-        one, two = (nodes.select(F.col("row").alias(x), F.col("second").alias(f"{x}2"), F.col("third").alias(f"{x}3")) for x in "ab")
+        asked = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
+        some = present(nodes.select("row", "second", "third"), "row", asked)
+        one, two = (some.select(F.col("row").alias(x), F.col("second").alias(f"{x}2"), F.col("third").alias(f"{x}3")) for x in "ab")
         kept = scratch.cut(pairs.join(one, "a").join(two, "b").filter("arrays_overlap(a2, b2) AND arrays_overlap(a3, b3)").select("a", "b"), "candidates")
         held = sets_of(kept.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         one, two = (held.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
         common = F.size(F.array_intersect("sa", "sb"))
         links = kept.join(one, "a").join(two, "b").filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
         links = scratch.cut(links, "links")
-        scratch.drop(pairs, kept, held)
+        scratch.drop(pairs, asked, kept, held)
         return links
 
     linked = link_in_buckets(scratch, met, verify, lambda items: by_exact_rarity(scratch, sets_of(items.select("id")), items, percent))
@@ -259,9 +261,12 @@ def one_of_each(spark: SparkSession, docs: DataFrame, size: int = 5, percent: in
     kept = found.groupBy("class").agg(F.min("mark").alias("first"))
     gone = found.join(kept, "class").filter("mark <> first").select(*(F.col(f"mark.{c}").alias(f"_gone_{c}") for c in ("doc_id", "h1", "h2"))).distinct()
     gone = scratch.cut(gone, "gone")
-    marks = text_marks(docs["text"].cast("string"))
-    same = (docs["doc_id"].cast("long") == gone["_gone_doc_id"]) & (marks["h1"] == gone["_gone_h1"]) & (marks["h2"] == gone["_gone_h2"])
-    return docs.join(gone, same, "left_anti")
+    keyed = docs.withColumn("_gone_key", F.col("doc_id").cast("long"))
+    ids = gone.select("_gone_doc_id")
+    maybe = present(keyed, "_gone_key", ids)
+    marks = text_marks(maybe["text"].cast("string"))
+    same = (maybe["_gone_key"] == gone["_gone_doc_id"]) & (marks["h1"] == gone["_gone_h1"]) & (marks["h2"] == gone["_gone_h2"])
+    return absent(keyed, "_gone_key", ids).unionByName(maybe.join(gone, same, "left_anti")).select(*docs.columns)
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,12 +124,6 @@ def present(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return _marked(rows, column, ids).filter(f"{_BIT} = 1L").select(*rows.columns)
 
 
-def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """``rows`` whose ``column`` is not in the one column of longs of ``ids``, a written table; most rows are told without a shuffle."""
-    maybe = present(rows, column, ids).join(ids.select(F.col(ids.columns[0]).alias("_present_id")), F.col(column) == F.col("_present_id"), "left_anti")
-    return absent(rows, column, ids).unionByName(maybe)
-
-
 def absent(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """The rows that ``present`` leaves out."""
     return _marked(rows, column, ids).filter(f"{_BIT} = 0L").select(*rows.columns)

@@ -83,10 +83,16 @@ def _listed(live: DataFrame, buckets: DataFrame) -> DataFrame:
     return one.join(two, F.expr(fits)).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"))
 
 
-def _buckets(scratch: Scratch, live: DataFrame, k: int) -> tuple[DataFrame, int, float]:
-    """Buckets of two components or more with their largest one and a pivot; their rows, and pairs between components."""
+def _buckets(scratch: Scratch, live: DataFrame, k: int, alone: bool) -> tuple[DataFrame, int, float]:
+    """Buckets of two components or more with their largest one and a pivot; their rows, and pairs between components.
+
+    ``alone``: no two rows of a bucket have a component in common, so that they need no grouping by it.
+    """
     first = F.struct(-F.col("weight"), F.xxhash64("id", F.lit(k)), "id", "n", "most", "component")
-    classes = live.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("s"), F.min(first).alias("pivot"))
+    if alone:
+        classes = live.select("bucket", "component", F.lit(1).cast("long").alias("s"), first.alias("pivot"))
+    else:
+        classes = live.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("s"), F.min(first).alias("pivot"))
     buckets = classes.groupBy("bucket").agg(F.sum("s").alias("size"), F.sum(F.col("s") * F.col("s")).alias("squares"), F.max(F.struct("s", "component")).alias("largest"), F.min("pivot").alias("pivot"))
     buckets = scratch.cut(buckets.filter("size * size > squares"), "buckets")
     return buckets, *buckets.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.expr("(CAST(size AS double) * size - squares) / 2")), F.lit(0.0))).first()
@@ -117,13 +123,13 @@ def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFra
         if labels is not None:
             before, live = live, narrowed(live.drop("component"))
             scratch.drop(before)
-        buckets, size, pairs_left = _buckets(scratch, live, k)
+        buckets, size, pairs_left = _buckets(scratch, live, k, alone=labels is None)
         if k and again is not None and pairs_left > listed * size:
             scratch.drop(buckets)
             before, live = live, narrowed(again(scratch.cut(live.groupBy("id").agg(F.max("weight").alias("weight")), "items")))
             scratch.drop(before)
             again = None
-            buckets, size, pairs_left = _buckets(scratch, live, k)
+            buckets, size, pairs_left = _buckets(scratch, live, k, alone=False)
         if not size:
             scratch.drop(buckets)
             break

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words
-from .common import IdFilter, Scratch, absent, present, raw_texts, sliced, table, without
+from .common import IdFilter, Scratch, absent, present, raw_texts, sliced, table
 from .linking import by_exact_rarity, link_in_buckets
 
 SHINGLE_WORDS = 4
@@ -155,7 +155,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) ->
 
 
 def postings(nodes: DataFrame, percent: int, wanted: IdFilter) -> DataFrame:
-    """(bucket, id, n, most) of the prefix shingles in the filter: with one at place k in common, sets can't share more than the rest."""
+    """(bucket, id, n, most, weight) of the prefix shingles in the filter: with one at place k in common, sets can't share more than the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2000):
@@ -165,10 +165,10 @@ def postings(nodes: DataFrame, percent: int, wanted: IdFilter) -> DataFrame:
             of = np.repeat(np.arange(len(lengths)), lengths)[kept]
             place = kept - np.repeat(np.cumsum(lengths) - lengths, lengths)[kept]
             n = batch.column(1).to_numpy()[of]
-            yield pa.RecordBatch.from_arrays([flat.take(pa.array(kept)), pa.array(batch.column(0).to_numpy()[of]), pa.array(n), pa.array((100 + percent) * (n - place) // percent - n)], names=["bucket", "id", "n", "most"])
+            yield pa.RecordBatch.from_arrays([flat.take(pa.array(kept)), pa.array(batch.column(0).to_numpy()[of]), pa.array(n), pa.array((100 + percent) * (n - place) // percent - n), batch.column(4).take(pa.array(of))], names=["bucket", "id", "n", "most", "weight"])
 
     positions = F.transform("rare", lambda x: IdFilter.position(x))
-    return nodes.select("row", "n", "rare", positions.alias("at")).mapInArrow(run, "bucket long, id long, n long, most long")
+    return nodes.select("row", "n", "rare", positions.alias("at"), "weight").mapInArrow(run, "bucket long, id long, n long, most long, weight long")
 
 
 def whole_sets(docs: DataFrame, wanted: IdFilter, size: int) -> DataFrame:
@@ -193,18 +193,23 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
     # A set's node is the number of its first row.
     sets = scratch.cut(named.groupBy(*key).agg(F.min(F.struct("row", "doc_id")).alias("first"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight")).select(F.col("first.row").alias("id"), F.col("first.doc_id").alias("doc_id"), *key, "least", "weight"), "sets")
-    copies = named.select("row", *key).join(sets.filter("weight > 1").select("id", *key), key).filter("row <> id").select("row")
-    nodes = scratch.cut(without(named.select("row", "n", "rare", "second", "third"), "row", scratch.cut(copies, "copies")), "nodes")
+    # Rows of repeated sets: the first has its set's weight, the others are copies and have 0. The rest is told from them without a shuffle.
+    again = named.select("row", *key).join(sets.filter("weight > 1").select("id", *key, "weight"), key)
+    again = scratch.cut(again.select("row", F.when(F.col("row") == F.col("id"), F.col("weight")).otherwise(0).alias("weight")), "repeated")
+    wide, rowids = named.select("row", "n", "rare", "second", "third"), again.select("row")
+    weighed = present(wide, "row", rowids).join(again, "row", "left").withColumn("weight", F.coalesce("weight", F.lit(1).cast("long"))).filter("weight > 0")
+    nodes = scratch.cut(absent(wide, "row", rowids).withColumn("weight", F.lit(1).cast("long")).unionByName(weighed), "nodes")
     shared = nodes.select(F.explode("rare").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("id")
     shared = scratch.cut(shared, "shared")
-    weights = sets.filter("weight > 1").select("id", "weight")
-    met = postings(nodes, percent, IdFilter.of(shared)).join(shared.withColumnRenamed("id", "bucket"), "bucket")
-    met = scratch.cut(met.join(weights, "id", "left").fillna(1, ["weight"]), "met")
+    met = scratch.cut(postings(nodes, percent, IdFilter.of(shared)).join(shared.withColumnRenamed("id", "bucket"), "bucket"), "met")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = scratch.cut(sets.join(ids, "id", "left_semi").select("id", "doc_id", "fp1", "fp2"), "wanted")
-        held = whole_sets(docs, IdFilter.of(wanted.select(F.col("doc_id").alias("id"))), size).join(wanted, ["doc_id", "fp1", "fp2"])
-        held = scratch.cut(held.groupBy("id").agg(F.first("shingles").alias("shingles")), "whole-sets")
+        mark = ["doc_id", "fp1", "fp2"]
+        wanted = scratch.cut(sets.join(ids, "id", "left_semi").select("id", *mark), "wanted")
+        held = whole_sets(docs, IdFilter.of(wanted.select(F.col("doc_id").alias("id"))), size).join(wanted, mark)
+        # A mark has one id; grouped by the join's own key, the sets are not shuffled again.
+        held = held.groupBy(*mark).agg(F.first("id").alias("id"), F.first("shingles").alias("shingles")).select("id", "shingles")
+        held = scratch.cut(held, "whole-sets")
         scratch.drop(wanted)
         return held
 

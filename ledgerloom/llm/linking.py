@@ -6,12 +6,12 @@ shuffle, and joins two written tables, whose hot nodes adaptive execution splits
 
 ``link_in_buckets`` finds the connected components of the graph whose edges are the pairs
 that share a bucket and pass a check, without listing all pairs of a large bucket. In a
-round every bucket deals a pivot, which is compared with the bucket's members of other
-components and then leaves it, since all its pairs there are decided. Then members that can
-have no new link leave as well: a member stays only where the bucket holds sizes that admit
+round a bucket with few pairs for its rows lists them and is done. Any other deals a pivot,
+which is compared with the bucket's members of other components and then leaves it, since all
+its pairs there are decided. Then members that can have no new link leave as well: a member stays only where the bucket holds sizes that admit
 it outside its own component. Sizes are grouped first, so that this test costs a member one
 comparison for each different size and not for each other member. Once the pairs left are
-no more than a few for each row, or the rounds are used up, the rest is listed exactly:
+no more than a few for each row of the first round, or the rounds are used up, the rest is listed exactly:
 members outside a bucket's largest component with all others. So no bucket is capped and no
 component can be lost, and a component of any size is never joined with itself.
 """
@@ -23,9 +23,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, present
 
-#: Rounds with pivots at most, and pairs for each row up to which all are listed at once.
+#: Rounds with pivots at most, and pairs for each row up to which a bucket, or all at once, are listed.
 ROUNDS = 4
 LISTED = 2
 
@@ -124,7 +124,8 @@ def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFra
             before, live = live, narrowed(live.drop("component"))
             scratch.drop(before)
         buckets, size, pairs_left = _buckets(scratch, live, k, alone=labels is None)
-        if k and again is not None and pairs_left > listed * size:
+        most = size * listed if labels is None else most
+        if k and again is not None and pairs_left > most:
             scratch.drop(buckets)
             before, live = live, narrowed(again(scratch.cut(live.groupBy("id").agg(F.max("weight").alias("weight")), "items")))
             scratch.drop(before)
@@ -133,16 +134,22 @@ def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFra
         if not size:
             scratch.drop(buckets)
             break
-        last = k == rounds or pairs_left <= listed * size
-        links = verify((_listed if last else _dealt)(live, buckets).distinct())
+        last = k == rounds or pairs_left <= most
+        small = F.expr(f"CAST(size AS double) * size - squares <= {2 * listed} * size")
+        if last:
+            pairs = _listed(live, buckets)
+        else:
+            large = buckets.filter(~small)
+            pairs = _listed(live, buckets.filter(small)).unionByName(_dealt(present(live, "bucket", large.select("bucket")), large))
+        links = verify(pairs.distinct())
         edges = links if labels is None else links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
         was, labels = labels, components(scratch, edges)
         scratch.drop(links, *([was] if was is not None else []))
         if last:
             scratch.drop(buckets)
             break
-        live = live.join(buckets.select("bucket", F.col("pivot.id").alias("_pivot")), "bucket").filter("id <> _pivot").drop("_pivot")
-        live = scratch.cut(live, "undecided")
+        left = present(live, "bucket", large.select("bucket")).join(large.select("bucket", F.col("pivot.id").alias("_pivot")), "bucket")
+        live = scratch.cut(left.filter("id <> _pivot").drop("_pivot"), "undecided")
         scratch.drop(buckets)
     if labels is None:
         labels = scratch.cut(rows.select("id", F.col("id").alias("component")).limit(0), "components")

@@ -3,10 +3,13 @@
 A document is the set of its distinct word shingles, as 64-bit hashes; documents of one
 set are one node. Of two sets with Jaccard similarity t or more, the first
 ``n - ceil(t * n) + 1`` shingles under *any* order of all shingles share one. Three orders
-are used: rarest first, and two by different hashes. The first order's prefixes are the
-index that deals candidates, and a candidate must share prefix shingles under the other two
-as well before its sets are fetched and compared exactly. A shared shingle's places in both
-orders bound what the sets can have in common, which leaves most pairs out at once.
+are used: rarest first, and by hash, ascending and descending. The first order's prefixes
+are the index that deals candidates, and a candidate must share prefix shingles under the
+other two as well before its sets are fetched and compared exactly. A shared shingle's places
+in both orders bound what the sets can have in common, which leaves most pairs out at once.
+A set's prefix also tells what it lacks: a hash below its last one that it does not hold. The
+shingles that each set of a candidate has and the other lacks under the two hash orders must
+not outnumber those that the sizes of both leave it beside the common ones.
 
 The first order puts shingles known to be frequent last, by their number. Which ones are
 known is no matter for the result, since any order is right; so the list is bounded
@@ -123,8 +126,8 @@ def _set_marks(found: list[np.ndarray]) -> np.ndarray:
 def prefixes(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
     """Of each row: a number, hashes of its text, set size, fingerprint of the set, and its prefixes under three orders.
 
-    The prefixes under the second and third order are cut to 32 bits: equal shingles stay
-    equal, so no pair is lost.
+    The prefixes under the second and third order, the least and the greatest hashes, are cut
+    to their first 31 bits: equal shingles stay equal and order is kept, so no pair is lost.
     """
     order = np.argsort(frequent)
     sent = docs.sparkSession.sparkContext.broadcast((frequent[order], order.astype(np.int64) + 1))
@@ -145,9 +148,9 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) ->
                 start += len(one)
                 p = prefix_length(len(one), percent)
                 rare.append((one[np.argsort(own, kind="stable")[:p]] if own.any() else one[:p]).view(np.int64))
-                for seed in (1, 2):
-                    keys = words.mixed(one, seed)
-                    others[seed - 1].append((np.partition(keys, p - 1)[:p] if p else keys).astype(np.uint32).view(np.int32))
+                keys = (words.mixed(one, 1) >> np.uint64(33)).astype(np.int32)
+                others[0].append(np.partition(keys, p - 1)[:p] if p else keys)
+                others[1].append(np.partition(keys, len(keys) - p)[len(keys) - p :] if p else keys)
             fp = _set_marks(found)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(list(map(len, found)), pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), _lists(rare, np.int64), *(_lists(x, np.int32) for x in others)], names=["row", "doc_id", "h1", "h2", "n", "fp1", "fp2", "rare", "second", "third"])
 
@@ -171,6 +174,22 @@ def postings(nodes: DataFrame, percent: int, wanted: IdFilter) -> DataFrame:
     return nodes.select("row", "n", "rare", positions.alias("at"), "weight").mapInArrow(run, "bucket long, id long, n long, most long, weight long")
 
 
+def lacking(pairs: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` without those in which a set has more shingles that the other lacks than a Jaccard similarity of ``percent`` admits.
+
+    For x of a and b: its size n_x, its least and greatest hashes least_x and most_x, and the
+    last of each, up_to_x and down_to_x. What lies before a set's last hash is known whole.
+    """
+    common = f"({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent}"
+    below, above = (f"array_except(filter({{x}}, v -> v {sign} {{last}}), {{y}})" for sign in "<>")
+    own = "size(array_union({}, {})) <= n_{} - {}"
+    for x, y in ("ab", "ba"):
+        one = below.format(x=f"least_{x}", y=f"least_{y}", last=f"up_to_{y}")
+        two = above.format(x=f"most_{x}", y=f"most_{y}", last=f"down_to_{y}")
+        pairs = pairs.filter(own.format(one, two, x, common))
+    return pairs
+
+
 def whole_sets(docs: DataFrame, wanted: IdFilter, size: int) -> DataFrame:
     """(doc_id, fp1, fp2, shingles) of the rows whose doc_id passes the filter."""
 
@@ -214,12 +233,14 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
         return held
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """Pairs that share prefix shingles under the other two orders as well, and then enough of all shingles."""
+        """Pairs that share prefix shingles under the other two orders as well, lack few of each other's, and share enough of all."""
         pairs = scratch.cut(pairs, "pairs")
         asked = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
-        some = present(nodes.select("row", "second", "third"), "row", asked)
-        one, two = (some.select(F.col("row").alias(x), F.col("second").alias(f"{x}2"), F.col("third").alias(f"{x}3")) for x in "ab")
-        kept = scratch.cut(pairs.join(one, "a").join(two, "b").filter("arrays_overlap(a2, b2) AND arrays_overlap(a3, b3)").select("a", "b"), "candidates")
+        some = present(nodes.select("row", "n", "second", "third"), "row", asked).select("*", F.array_max("second").alias("up_to"), F.array_min("third").alias("down_to"))
+        names = {"row": "", "n": "n_", "second": "least_", "third": "most_", "up_to": "up_to_", "down_to": "down_to_"}
+        one, two = (some.select(*(F.col(c).alias(f"{name}{x}") for c, name in names.items())) for x in "ab")
+        met = pairs.join(one, "a").join(two, "b").filter("arrays_overlap(least_a, least_b) AND arrays_overlap(most_a, most_b)")
+        kept = scratch.cut(lacking(met, percent).select("a", "b"), "candidates")
         held = sets_of(kept.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         one, two = (held.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
         common = F.size(F.array_intersect("sa", "sb"))

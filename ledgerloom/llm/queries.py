@@ -16,6 +16,7 @@ from .line_dedup import op2_fuzzy_lines
 from .mixing import op7_mixing
 from .ngram_join import OP5_SQL, op5_ngram_join
 from .quality import op10_quality
+from .suffix_dedup import op12_suffix_dedup
 from .token_output import op9_token_output
 from .url_filter import OP1_SQL, op1_url_filter
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_output": op9_token_output,
     "op10_quality": op10_quality,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "pipeline": pipeline,
 }
 

@@ -11,6 +11,7 @@ from corpus_pipeline import run as pipeline
 from .decontaminate import OP3_SQL, op3_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .fim import OP13_SQL, op13_fill_in_middle
+from .hard_negatives import OP11_SQL, op11_hard_negatives
 from .html_extract import op6_html_extract
 from .language_id import op8_language_id
 from .line_dedup import op2_fuzzy_lines
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_output": op9_token_output,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_suffix_dedup": op12_suffix_dedup,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
@@ -42,5 +44,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op5_ngram_join": OP5_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }

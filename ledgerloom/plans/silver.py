@@ -70,23 +70,21 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def transform(raw: DataFrame, contract: Contract, rule: str = "DQ-DUP-001") -> Result:
-    """``raw`` has text columns and ``source_row_number``. Cells that can't be typed raise when the plan runs.
-
-    Lineage columns come last: the contract's, then the row number and the load time.
-    """
+def _trimmed(raw: DataFrame) -> tuple[DataFrame, Column]:
+    """``raw`` with trimmed cells, and how many cells of a raw row that changes."""
     columns = [c for c in raw.columns if c != ROW_NUMBER]
-    names = X.snake_names(columns)
-    trimmed = raw.select(*(X.u_trim(_q(c)).alias(c) for c in columns), ROW_NUMBER)
     changed = reduce(lambda a, b: a + b, (F.coalesce((_q(c) != X.u_trim(_q(c))).cast("long"), F.lit(0)) for c in columns), F.lit(0).cast("long"))
-    kept, rejected = R.split_duplicates(trimmed, columns, ROW_NUMBER) if contract.quarantine_duplicates else (trimmed, trimmed.limit(0))
+    return raw.select(*(X.u_trim(_q(c)).alias(c) for c in columns), ROW_NUMBER), changed
+
+
+def _treated(kept: DataFrame, contract: Contract) -> tuple[DataFrame, dict[str, Column]]:
+    """``kept`` with filled classifications, and the flags of the treatments."""
     flags: dict[str, Column] = {}
-    filled = kept
     if part := contract.classification:
         cells = (part.code, part.description, part.scheme)
-        filled = filled.withColumn("_missing", X.any_null(map(_q, cells)))
+        kept = kept.withColumn("_missing", X.any_null(map(_q, cells)))
         for cell, token in zip(cells, X.UNCLASSIFIED):
-            filled = filled.withColumn(cell, F.coalesce(_q(cell), F.lit(token)))
+            kept = kept.withColumn(cell, F.coalesce(_q(cell), F.lit(token)))
         flags["dq_classification_was_missing"] = F.col("_missing")
     if contract.identifier:
         scheme, identifier, name = contract.identifier
@@ -95,18 +93,42 @@ def transform(raw: DataFrame, contract: Contract, rule: str = "DQ-DUP-001") -> R
         flags[contract.zero_flag[1]] = X.is_zero(_q(contract.zero_flag[0]).try_cast(X.MONEY))
     if contract.present_flag:
         flags[contract.present_flag[1]] = _q(contract.present_flag[0]).isNotNull()
+    return kept, flags
+
+
+def _typed(column: str, contract: Contract, name: str) -> Column:
+    """The cell in its kind; the plan raises where that can't be done."""
+    kind = contract.kind(column)
+    value = X.STRICT[kind](_q(column))
+    if kind != "string":
+        wrong = _q(column).isNotNull() & (_q(column) != "") & value.isNull()
+        value = F.when(wrong, F.raise_error(F.concat(F.lit(f"{column} is no {kind}: "), _q(column))).cast(KINDS[kind])).otherwise(value)
+    return value.cast(KINDS[kind]).alias(name)
+
 
-    def typed(column: str) -> Column:
-        kind = contract.kind(column)
-        value = X.STRICT[kind](_q(column))
-        if kind != "string":
-            wrong = _q(column).isNotNull() & (_q(column) != "") & value.isNull()
-            value = F.when(wrong, F.raise_error(F.concat(F.lit(f"{column} is no {kind}: "), _q(column))).cast(KINDS[kind])).otherwise(value)
-        return value.cast(KINDS[kind]).alias(names[column])
-
-    lineage = [*(F.lit(v).alias(k) for k, v in contract.lineage.items()), F.col(ROW_NUMBER), F.current_timestamp().alias("loaded_at_utc")]
-    silver = filled.select(*map(typed, columns), *(c.alias(n) for n, c in flags.items()), *lineage)
-    quarantine = rejected.select(*(_q(c).alias(names[c]) for c in columns), F.lit(rule).alias("rule_id"), F.lit("exact duplicate").alias("reason"), *lineage)
+def _lineage(contract: Contract, loaded: Column) -> list[Column]:
+    return [*(F.lit(v).alias(k) for k, v in contract.lineage.items()), F.col(ROW_NUMBER), loaded.alias("loaded_at_utc")]
+
+
+def _outputs(kept: DataFrame, rejected: DataFrame, contract: Contract, rule: str, loaded: Column) -> tuple[DataFrame, DataFrame]:
+    columns = [c for c in kept.columns if c != ROW_NUMBER]
+    names = X.snake_names(columns)
+    filled, flags = _treated(kept, contract)
+    lineage = _lineage(contract, loaded)
+    silver = filled.select(*(_typed(c, contract, names[c]) for c in columns), *(c.alias(n) for n, c in flags.items()), *lineage)
+    return silver, rejected.select(*(_q(c).alias(names[c]) for c in columns), F.lit(rule).alias("rule_id"), F.lit("exact duplicate").alias("reason"), *lineage)
+
+
+def transform(raw: DataFrame, contract: Contract, rule: str = "DQ-DUP-001") -> Result:
+    """``raw`` has text columns and ``source_row_number``. Cells that can't be typed raise when the plan runs.
+
+    Lineage columns come last: the contract's, then the row number and the load time.
+    """
+    columns = [c for c in raw.columns if c != ROW_NUMBER]
+    trimmed, changed = _trimmed(raw)
+    kept, rejected = R.split_duplicates(trimmed, columns, ROW_NUMBER) if contract.quarantine_duplicates else (trimmed, trimmed.limit(0))
+    silver, quarantine = _outputs(kept, rejected, contract, rule, F.current_timestamp())
+    filled, _ = _treated(kept, contract)
     before = R.grain_metrics(trimmed, list(contract.grain)) if contract.grain else None
     counts = raw.agg(F.count(F.lit(1)).alias("rows_in"), F.coalesce(F.sum(changed), F.lit(0)).alias("trimmed_cells"))
     after = filled.agg(F.count(F.lit(1)).alias("rows_kept"), F.count_if(F.col("_missing") if contract.classification else F.lit(False)).alias("classifications_filled"))

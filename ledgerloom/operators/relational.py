@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import exprs as X
@@ -17,9 +17,16 @@ from ledgerloom.sources.scratch import written
 
 
 def asserted_unique(df: DataFrame, keys: Sequence[str], message: str) -> DataFrame:
-    """``df`` whose evaluation raises if a key occurs twice; nulls are equal to each other."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return df.withColumn("_n", n).filter(F.coalesce(F.assert_true(F.col("_n") == 1, message).isNull(), F.lit(True))).drop("_n")
+    """``df`` whose evaluation raises if a key occurs twice; nulls are equal to each other.
+
+    An aggregate with partial sums: a key of very many rows, such as null, is counted by each
+    task before it meets in one row, and the result is dealt by the keys for the join after it.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    held = [F.any_value(F.struct(*(F.col(f"`{c}`") for c in rest))).alias("_row")] if rest else []
+    one = df.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(F.count(F.lit(1)).alias("_n"), *held)
+    one = one.filter(F.coalesce(F.assert_true(F.col("_n") == 1, message).isNull(), F.lit(True)))
+    return one.select(*(F.col("_row").getField(c).alias(c) if c in rest else F.col(f"`{c}`") for c in df.columns))
 
 
 def join_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], kind: str = "left") -> DataFrame:
@@ -32,8 +39,12 @@ def join_one_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], kind
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, on: Mapping[str, str], key: str, alias: str | None = None) -> DataFrame:
-    """Adds the dimension's surrogate key: columns of ``df`` (keys of ``on``) equal those of ``dim``, null equals null, a miss is 0."""
+    """Adds the dimension's surrogate key: columns of ``df`` (keys of ``on``) equal those of ``dim``, null equals null, a miss is 0.
+
+    The dimension has each natural key once, or the query raises, so that no row of ``df`` is multiplied.
+    """
     side = dim.select(F.col(key).alias("_key"), *(F.col(d).alias(f"_on{i}") for i, d in enumerate(on.values())))
+    side = asserted_unique(side, [f"_on{i}" for i in range(len(on))], f"a dimension repeats {', '.join(on.values())}")
     condition = None
     for i, c in enumerate(on):
         one = df[c].eqNullSafe(side[f"_on{i}"])
@@ -49,6 +60,21 @@ def canonical_by_key(df: DataFrame, keys: Sequence[str], value: str, alias: str,
     return counts.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), "_text", value)).alias(alias))
 
 
+def canonical_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
+    """The keys with the canonical value of each column (result name: column), as ``canonical_by_key`` finds it.
+
+    All columns go through one grouping as (keys, column, value), whatever their number. Keys
+    with a null are left out; a column without a value is null.
+    """
+    types = dict(df.dtypes)
+    cells = F.array(*(F.struct(F.lit(alias).alias("_name"), F.col(c).cast("string").alias("_value")) for alias, c in values.items()))
+    long = df.dropna(subset=list(keys)).select(*keys, F.explode(cells).alias("_cell")).select(*keys, "_cell._name", "_cell._value")
+    counts = long.groupBy(*keys, "_name", "_value").agg(F.count(F.lit(1)).alias("_n")).withColumn("_text", X.folded("_value"))
+    first = F.min_by("_value", F.when(F.col("_value").isNotNull(), F.struct(-F.col("_n"), "_text", "_value")))
+    each = counts.groupBy(*keys, "_name").agg(first.alias("_value"))
+    return each.groupBy(*keys).agg(*(F.max(F.when(F.col("_name") == alias, F.col("_value"))).cast(types[c]).alias(alias) for alias, c in values.items()))
+
+
 def dense_keys(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     """Surrogate keys 1..n in the order of the columns, nulls last, without one task for all rows.
 
@@ -113,13 +139,23 @@ def exact_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def split_duplicates(df: DataFrame, columns: Sequence[str], order: str) -> tuple[DataFrame, DataFrame]:
-    """(first row of each group of equal ones, the others). Only the smallest ``order`` of each group meets in one row; a null is the last."""
-    first = df.groupBy(*columns).agg(F.min(order).alias("_first"))
-    side = first.select("_first", *(F.col(c).alias(f"_d{i}") for i, c in enumerate(columns)))
-    condition = df[order].eqNullSafe(side["_first"])
+    """(first row of each group of equal ones, the others): exactly one row of each group is the first.
+
+    The first has the smallest ``order``, a null being the last; of rows with one order the
+    smallest by their other columns comes first, and of fully equal rows one. Rows are counted
+    before they are compared, so that a group of very many copies is one row for each task.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    q = lambda c: F.col(f"`{c}`")
+    place = F.struct(q(order).isNull().alias("_last"), q(order).alias("_order"), *(q(c).alias(f"_c{i}") for i, c in enumerate(rest)))
+    counted = df.groupBy(*map(q, df.columns)).agg(F.count(F.lit(1)).alias("_n")).withColumn("_place", place)
+    first = counted.groupBy(*(q(c).alias(f"_d{i}") for i, c in enumerate(columns))).agg(F.min("_place").alias("_first"))
+    condition = F.lit(True)
     for i, c in enumerate(columns):
-        condition = condition & df[c].eqNullSafe(side[f"_d{i}"])
-    return df.join(side, condition, "left_semi"), df.join(side, condition, "left_anti")
+        condition = condition & counted[f"`{c}`"].eqNullSafe(first[f"_d{i}"])
+    both = counted.join(first, condition).withColumn("_is_first", F.col("_place").eqNullSafe(F.col("_first")))
+    others = both.withColumn("_n", F.col("_n") - F.col("_is_first").cast("int")).filter("_n > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))))
+    return both.filter("_is_first").select(*map(q, df.columns)), others.select(*map(q, df.columns))
 
 
 def child_sums(parent: DataFrame, child: DataFrame, keys: Sequence[str], header: str, amount: str) -> DataFrame:
@@ -153,11 +189,14 @@ def rate_coverage(parents: DataFrame, rates: DataFrame, keys: Sequence[str], cur
 
 
 def reconciled(actual: DataFrame, expected: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Two-sided comparison on ``keys``: actual and expected values, and PASS or FAIL; a side without a row fails."""
-    a = actual.select(*keys, *(F.col(v).alias(f"actual_{v}") for v in values), F.lit(True).alias("_a"))
-    e = expected.select(*keys, *(F.col(v).alias(f"expected_{v}") for v in values), F.lit(True).alias("_e"))
-    same: Column = F.col("_a").isNotNull() & F.col("_e").isNotNull()
+    """Two-sided comparison on ``keys``, where null equals null: actual and expected values, and PASS or FAIL; a side without a row fails."""
+    a = actual.select(*(F.col(k).alias(f"_a_{k}") for k in keys), *(F.col(v).alias(f"actual_{v}") for v in values), F.lit(True).alias("_a"))
+    e = expected.select(*(F.col(k).alias(f"_e_{k}") for k in keys), *(F.col(v).alias(f"expected_{v}") for v in values), F.lit(True).alias("_e"))
+    condition, same = F.lit(True), F.col("_a").isNotNull() & F.col("_e").isNotNull()
+    for k in keys:
+        condition = condition & a[f"_a_{k}"].eqNullSafe(e[f"_e_{k}"])
     for v in values:
         same = same & F.col(f"actual_{v}").eqNullSafe(F.col(f"expected_{v}"))
-    out = a.join(e, list(keys), "full").withColumn("status", F.when(same, "PASS").otherwise("FAIL"))
-    return out.drop("_a", "_e")
+    out = a.join(e, condition, "full").withColumn("status", F.when(same, "PASS").otherwise("FAIL"))
+    sides = [F.coalesce(f"_a_{k}", f"_e_{k}").alias(k) for k in keys]
+    return out.select(*sides, *(f"actual_{v}" for v in values), *(f"expected_{v}" for v in values), "status")

@@ -448,14 +448,17 @@ def q_category_keys(spark: SparkSession, d: str) -> DataFrame:
 WITH {_OC}, r AS (SELECT *, CASE WHEN o_orderkey % 7 = 0 AND currency_code = 'PEN' THEN 2 WHEN currency_code = 'PEN' THEN 1 WHEN currency_code = 'USD' THEN CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE 3.75 END END AS rate FROM oc)
 SELECT 'WH-HOME' AS rule_id, 'FAIL' AS status, (SELECT count(*) FROM r WHERE currency_code = 'PEN' AND rate <> 1) AS violations
 UNION ALL SELECT 'WH-POSITIVE', 'FAIL', (SELECT count(*) FROM r WHERE rate <= 0) UNION ALL SELECT 'WH-INVENTED', 'FAIL', (SELECT count(*) FROM r WHERE rate IS NULL AND o_orderkey % 13 = 0)
-UNION ALL SELECT 'WH-PRODUCT', CASE WHEN (SELECT count(*) FROM r WHERE rate IS NOT NULL AND o_orderkey % 17 = 0) > 0 THEN 'FAIL' ELSE 'PASS' END, (SELECT count(*) FROM r WHERE rate IS NOT NULL AND o_orderkey % 17 = 0)""")
+UNION ALL SELECT 'WH-ABSENT', 'FAIL', (SELECT count(*) FROM r WHERE rate IS NOT NULL AND o_orderkey % 9 = 0)
+UNION ALL SELECT 'WH-PRODUCT', 'FAIL', (SELECT count(*) FROM r WHERE rate IS NOT NULL AND o_orderkey % 17 = 0 AND o_orderkey % 9 <> 0)
+UNION ALL SELECT 'WH-FLAG', 'FAIL', (SELECT count(*) FROM r WHERE (rate IS NOT NULL) <> (rate IS NOT NULL AND o_orderkey % 9 <> 0 OR rate IS NULL AND o_orderkey % 13 = 0))""")
 def q_conversion_rules(spark: SparkSession, d: str) -> DataFrame:
     """Seeded faults of rates and conversions, each counted by its rule."""
     rate = F.when((F.col("currency_code") == "PEN") & (F.col("o_orderkey") % 7 == 0), 2.0).when(F.col("currency_code") == "PEN", 1.0).when(F.col("currency_code") == "USD", F.when(F.col("o_orderkey") % 11 == 0, -1.0).otherwise(3.75)).cast("decimal(18,14)")
     fact = orders_with_currency(spark, d).select("o_orderkey", "currency_code", money("o_totalprice").alias("amount"), rate.alias("rate"))
     right = X.converted(F.col("amount"), F.col("rate"))
-    stored = F.when(F.col("rate").isNull() & (F.col("o_orderkey") % 13 == 0), F.col("amount")).when(F.col("o_orderkey") % 17 == 0, right + 1).otherwise(right).cast(X.MONEY)
-    found = V.conversion_rules(fact.withColumn("amount_pen", stored), "WH", "amount", "rate", "amount_pen", "currency_code")
+    stored = F.when(F.col("rate").isNull() & (F.col("o_orderkey") % 13 == 0), F.col("amount")).when(F.col("o_orderkey") % 9 == 0, None).when(F.col("o_orderkey") % 17 == 0, right + 1).otherwise(right).cast(X.MONEY)
+    stored = fact.withColumn("amount_pen", stored).withColumn("available", F.col("amount_pen").isNotNull())
+    found = V.conversion_rules(stored, "WH", "amount", "rate", "amount_pen", "currency_code", "available")
     return V.classified(found).select("rule_id", "status", "violations")
 
 

@@ -177,25 +177,3 @@ def roll_up(results: DataFrame) -> DataFrame:
     warning = F.count_if(~F.col("passed") & (F.col("severity") == "warning"))
     status = F.when(blocking > 0, "BLOCKED").when(warning > 0, "PASS_WITH_WARNINGS").otherwise("PASS")
     return results.agg(F.count(F.lit(1)).alias("rules"), F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"), status.alias("status"))
-
-
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: rows, nulls, non-nulls, exact distinct values and the percentage of nulls; one aggregate for all columns."""
-    names = list(columns or df.columns)
-    row = df.agg(F.count(F.lit(1)).alias("n"), *(x for i, c in enumerate(names) for x in (F.count(c).alias(f"c{i}"), F.count_distinct(c).alias(f"d{i}"))))
-    entries = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col("n").alias("n_rows"), (F.col("n") - F.col(f"c{i}")).alias("null_count"), F.col(f"c{i}").alias("non_null_count"), F.col(f"d{i}").alias("distinct_count")) for i, c in enumerate(names)))
-    return row.select(F.inline(entries)).withColumn("null_pct", X.percentage(F.col("null_count"), F.col("n_rows")))
-
-
-def key_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per candidate key: nulls, distinct values, repeated non-null values, and whether it is unique and complete."""
-    found = column_profile(df, columns)
-    repeated = F.col("non_null_count") - F.col("distinct_count")
-    return found.select("column_name", "n_rows", "null_count", "distinct_count", repeated.alias("duplicate_count"), ((repeated == 0) & (F.col("null_count") == 0)).alias("is_unique_and_complete"))
-
-
-def table_profile(df: DataFrame) -> DataFrame:
-    """One row: rows, columns, null cells, rows beyond the first of equal ones, rows without any value."""
-    nulls = reduce(lambda a, b: a + b, (F.col(c).isNull().cast("int") for c in df.columns))
-    cells = df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"), F.coalesce(F.sum(nulls), F.lit(0)).alias("null_cells"), F.count_if(nulls == len(df.columns)).alias("empty_rows"))
-    return cells.join(R.exact_duplicates(df).select("additional_rows"))  # both sides are one row

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exprs as X
 from ledgerloom.operators import quality as Q
+from ledgerloom.operators import profile as PF
 from ledgerloom.operators import relational as R
 from ledgerloom.plans import process as P
 from ledgerloom.plans import validation as V
@@ -300,12 +301,12 @@ _PROFILE = "SELECT '{0}' AS column_name, count(*) AS n_rows, count(*) - count({0
 @query(" UNION ALL ".join(_PROFILE.format(c, _O) for c in ("o_custkey", "o_orderstatus", "priority")))
 def q_column_profile(spark: SparkSession, d: str) -> DataFrame:
     """Nulls and distinct values of columns, in one pass."""
-    return Q.column_profile(_orders(spark, d), ["o_custkey", "o_orderstatus", "priority"])
+    return PF.column_profile(_orders(spark, d), ["o_custkey", "o_orderstatus", "priority"])
 
 
 @query("SELECT 'c_custkey' AS column_name, count(*) AS n_rows, count(*) - count(c_custkey) AS null_count, count(DISTINCT c_custkey) AS distinct_count, count(c_custkey) - count(DISTINCT c_custkey) AS duplicate_count, count(*) = count(DISTINCT c_custkey) AS is_unique_and_complete FROM customer UNION ALL SELECT 'c_nationkey', count(*), count(*) - count(c_nationkey), count(DISTINCT c_nationkey), count(c_nationkey) - count(DISTINCT c_nationkey), count(*) = count(DISTINCT c_nationkey) FROM customer")
 def q_key_profile(spark: SparkSession, d: str) -> DataFrame:
-    return Q.key_profile(table(spark, d, "customer"), ["c_custkey", "c_nationkey"])
+    return PF.key_profile(table(spark, d, "customer"), ["c_custkey", "c_nationkey"])
 
 
 @query("""

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import exprs as X
 from ledgerloom.session import ship
 
-ROW_NUMBER = "source_row_number"
+from .split_csv import ROW_NUMBER, read_split_csv
+
 PROBE_BYTES = 1 << 16
 
 
@@ -119,7 +120,10 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, archive: str | Path, folder: str | Path) -> dict[str, DataFrame]:
-    return {name: read_csv(spark, path) for name, (path, _) in unpack(archive, folder, spark).items()}
+    """The members as text tables. Files of more than one split are read by many tasks, with the same rows and numbers."""
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    held = unpack(archive, folder, spark)
+    return {name: (read_split_csv if os.path.getsize(path) > split else read_csv)(spark, path) for name, (path, _) in held.items()}
 
 
 def file_url(base: str, source: str, file_format: str, year: int, month: int, language: str | None = None) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exprs as X
 from ledgerloom.operators import quality as Q
+from ledgerloom.operators import profile as PF
 from ledgerloom.operators import relational as R
 
 
@@ -179,9 +180,9 @@ def test_thresholds_lint_and_roll_up(spark):
 
 def test_profiles(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (2, "b")], "k int, v string")
-    assert rows(Q.column_profile(df, ["k", "v"])) == [("k", 4, 0, 4, 2, 0.0), ("v", 4, 1, 3, 2, 25.0)]
-    assert rows(Q.key_profile(df, ["v"])) == [("v", 4, 1, 2, 1, False)]
-    assert rows(Q.table_profile(df)) == [(4, 2, 1, 0, 1)]
+    assert rows(PF.column_profile(df, ["k", "v"])) == [("k", 4, 0, 4, 2, 0.0), ("v", 4, 1, 3, 2, 25.0)]
+    assert rows(PF.key_profile(df, ["v"])) == [("v", 4, 1, 2, 1, False)]
+    assert rows(PF.table_profile(df)) == [(4, 2, 1, 0, 1)]
 
 
 def test_dense_keys_keep_every_row_of_a_wide_table(spark, tmp_path):

@@ -9,6 +9,7 @@ execution may split their skewed partitions.
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -62,6 +63,12 @@ class Scratch:
             delete(self.spark, frame._scratch_path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of ended jobs now; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def raw_texts(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()

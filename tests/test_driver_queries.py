@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from ledgerloom.plans import warehouse_queries  # noqa: F401
 from ledgerloom.plans.driver_queries import QUERIES, SQL
 
 from .oracle import THERE, assert_matches

@@ -58,12 +58,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays: five-word shingles, similarity of 0.8 or more."""
-    return one_of_each(spark, docs, size=5, percent=80)
+    return _back(one_of_each(spark, _aside(docs), size=5, percent=80), docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten words in a row of a benchmark item, or all words of a shorter one, go."""
-    return decontaminate(spark, docs, table(spark, sf_dir, "benchmark"))
+    return _back(decontaminate(spark, _aside(docs), table(spark, sf_dir, "benchmark")), docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

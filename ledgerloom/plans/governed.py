@@ -72,7 +72,7 @@ def relations(tables: Mapping[str, DataFrame]) -> dict[str, tuple[str, str, dict
 
 
 def references(tables: Mapping[str, DataFrame], links: Mapping[str, tuple[str, str, Mapping[str, str]]]) -> DataFrame:
-    """relation, rows_evaluated, orphans: for each relation (child, parent, child column to parent column).
+    """relation, rows_evaluated, orphans (rows), orphan_keys (different ones): for each relation (child, parent, child column to parent column).
 
     Rows with a null in the key are not evaluated. Every table is read once, as owner of keys
     and as child; its pairs are counted by each task before they meet, so a key of very many rows is a row for each task.
@@ -92,9 +92,9 @@ def references(tables: Mapping[str, DataFrame], links: Mapping[str, tuple[str, s
     counted = reduce(DataFrame.unionByName, parts).groupBy("key_set", "relation", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     # A row for each relation at most meets under a key.
     each = counted.groupBy("key_set", "a", "b").agg(F.max(F.col("relation").isNull()).alias("owned"), F.collect_list(F.when(F.col("relation").isNotNull(), F.struct("relation", "n"))).alias("held"))
-    rows = each.select("owned", F.explode("held").alias("h")).groupBy("h.relation").agg(F.sum("h.n").alias("rows_evaluated"), F.sum(F.when(F.col("owned"), 0).otherwise(F.col("h.n"))).alias("orphans"))
+    rows = each.select("owned", F.explode("held").alias("h")).groupBy("h.relation").agg(F.sum("h.n").alias("rows_evaluated"), F.sum(F.when(F.col("owned"), 0).otherwise(F.col("h.n"))).alias("orphans"), F.count_if(~F.col("owned")).alias("orphan_keys"))
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame([(r,) for r in links], "relation string").join(rows, "relation", "left").fillna(0, ["rows_evaluated", "orphans"])
+    return spark.createDataFrame([(r,) for r in links], "relation string").join(rows, "relation", "left").fillna(0, ["rows_evaluated", "orphans", "orphan_keys"])
 
 
 def predicates(tables: Mapping[str, DataFrame], checks: Mapping[str, tuple[str, str]]) -> DataFrame:

@@ -15,6 +15,7 @@ from ledgerloom.operators import profile as PF
 from ledgerloom.operators import relational as R
 from ledgerloom.plans import build as B
 from ledgerloom.plans import governed as G
+from ledgerloom.plans import model as M
 from ledgerloom.plans import silver as S
 from ledgerloom.plans import silver_run as SR
 from ledgerloom.plans import validation as V
@@ -179,7 +180,7 @@ _LINKS = {
 _KEPT = {"orders": "o_orderkey % 10 <> 0", "part": "p_size > 5", "supplier": "s_acctbal >= 0", "customer": "c_acctbal >= 0", "nation": "n_regionkey <> 0", "lineitem": "l_quantity > 1"}
 
 
-@query("WITH " + ", ".join(f"k_{t} AS (SELECT * FROM {t} WHERE {c})" for t, c in _KEPT.items()) + " " + " UNION ALL ".join(f"SELECT '{name}' AS relation, count(*) AS rows_evaluated, count_if(p IS NULL) AS orphans FROM k_{child} LEFT JOIN (SELECT {pk} AS p FROM k_{parent}) ON p = {ck}" for name, (child, parent, keys) in _LINKS.items() for ck, pk in keys.items()))
+@query("WITH " + ", ".join(f"k_{t} AS (SELECT * FROM {t} WHERE {c})" for t, c in _KEPT.items()) + " " + " UNION ALL ".join(f"SELECT '{name}' AS relation, count(*) AS rows_evaluated, count_if(p IS NULL) AS orphans, count(DISTINCT CASE WHEN p IS NULL THEN {ck} END) AS orphan_keys FROM k_{child} LEFT JOIN (SELECT {pk} AS p FROM k_{parent}) ON p = {ck}" for name, (child, parent, keys) in _LINKS.items() for ck, pk in keys.items()))
 def q_references(spark: SparkSession, d: str) -> DataFrame:
     """Six foreign keys in one pass over six tables, each of which lacks some rows."""
     return G.references({t: table(spark, d, t).filter(c) for t, c in _KEPT.items()}, _LINKS)
@@ -227,3 +228,22 @@ def q_typed_profile(spark: SparkSession, d: str) -> DataFrame:
     """The narrowest type that all values of a text column have."""
     texts = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("a"), F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("b"), F.col("c_mktsegment").alias("c"), (F.col("c_acctbal") < 0).cast("string").alias("d"))
     return PF.column_profile(texts, typed=True).select("column_name", "inferred_type", "n_rows", "distinct_count")
+
+
+@query(f"""
+WITH {_DIMS}, sup AS (SELECT l_orderkey AS k, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY l_orderkey), h AS (SELECT amount, item_sum FROM aw LEFT JOIN sums ON s_key = o_orderkey), f AS (SELECT amount, item_sum FROM aw LEFT JOIN sums ON s_key = o_orderkey WHERE o_orderstatus = 'F')
+SELECT 'amounts' AS metric_group, 'award' AS subject, 'comparable_rows' AS metric, CAST((SELECT count_if(amount IS NOT NULL AND item_sum IS NOT NULL) FROM h) AS DECIMAL(38,4)) AS value UNION ALL SELECT 'amounts', 'award', 'mismatches_over_0_01', (SELECT count_if(abs(amount - item_sum) > 0.01) FROM h)
+UNION ALL SELECT 'amounts', 'contract', 'mismatches_over_0_01', (SELECT count_if(abs(amount - item_sum) > 0.01) FROM f) UNION ALL SELECT 'attribution', 'award', 'with_one_supplier', (SELECT count_if(n = 1) FROM aw JOIN sup ON k = o_orderkey) UNION ALL SELECT 'attribution', 'award', 'without_supplier', (SELECT count(*) FROM aw ANTI JOIN sup ON k = o_orderkey)
+UNION ALL SELECT 'rates', 'award', 'without_rate', (SELECT count_if(currency_code = 'EUR' OR currency_code = 'USD' AND o_orderkey % 5 = 0) FROM aw) UNION ALL SELECT 'references', 'contract_to_award', 'orphan_keys', 0
+UNION ALL SELECT 'grain', 'fact_award', 'duplicate_grain_rows', 0""")
+def q_model_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Some metrics of the model's fit to its typed tables."""
+    wanted = [("amounts", "award", "comparable_rows"), ("amounts", "award", "mismatches_over_0_01"), ("amounts", "contract", "mismatches_over_0_01"), ("attribution", "award", "with_one_supplier"), ("attribution", "award", "without_supplier"), ("rates", "award", "without_rate"), ("references", "contract_to_award", "orphan_keys"), ("grain", "fact_award", "duplicate_grain_rows")]
+    only = spark.createDataFrame(wanted, "metric_group string, subject string, metric string")
+    return M.metrics(_silver(spark, d)).join(only, ["metric_group", "subject", "metric"], "left_semi")
+
+
+@query("SELECT * FROM (VALUES ('DM-GRAIN-001', 'PASS'), ('DM-REF-001', 'FAIL'), ('DM-CAT-001', 'PASS'), ('DM-SUP-001', 'PASS'), ('DM-AMT-001', 'FAIL'), ('DM-RATE-001', 'PASS')) AS t(gate_id, status)")
+def q_model_gates(spark: SparkSession, d: str) -> DataFrame:
+    """The model's six gates: some parties are missing here, and some orders have no items to compare with."""
+    return M.gates(M.metrics(_silver(spark, d))).select("gate_id", "status")

@@ -25,3 +25,11 @@ def spark(tmp_path_factory) -> SparkSession:
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
+
+
+@pytest.fixture(scope="session")
+def built(spark, tmp_path_factory):
+    """The warehouse of the synthetic archive, built once."""
+    from .test_build import make
+
+    return make(spark, tmp_path_factory.mktemp("warehouse"))

@@ -7,8 +7,6 @@ import io
 import zipfile
 from decimal import Decimal
 
-import pytest
-
 from ledgerloom.operators import relational as R
 from ledgerloom.plans import build as B
 from ledgerloom.plans import ocds
@@ -81,9 +79,8 @@ def text(rows):
     return out.getvalue()
 
 
-@pytest.fixture(scope="module")
-def built(spark, tmp_path_factory):
-    folder = tmp_path_factory.mktemp("warehouse")
+def make(spark, folder):
+    """(archive run, typed tables, warehouse, failed checks), for the fixture that the tests share."""
     with zipfile.ZipFile(folder / "raw.zip", "w") as z:
         for name, rows in TABLES.items():
             z.writestr(name, text(rows))

@@ -12,8 +12,6 @@ from ledgerloom.plans import build as B
 from ledgerloom.plans import governed as G
 from ledgerloom.plans import validation as V
 
-from .test_build import built  # noqa: F401
-
 AUDIT = "layer string, table_name string, status string, rows long, physical_rows long"
 
 
@@ -23,7 +21,7 @@ def audit(spark, silver, warehouse):
 
 
 @pytest.fixture(scope="module")
-def whole(spark, built):  # noqa: F811
+def whole(spark, built):
     run, silver, warehouse, _ = built
     return silver, warehouse, {"ingestion_run_id": run.run_id, "source_period": "2026-07"}, audit(spark, silver, warehouse)
 

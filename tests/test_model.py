@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from ledgerloom.plans import build as B
 from ledgerloom.plans import model as M
 
-from .test_build import built  # noqa: F401
-
 CATALOG = {"award": {"ocid", "award_id", "amount"}, "award_supplier": {"ocid", "supplier"}}
 MODEL = {
     "model": {"architecture": "fact_constellation", "unknown_surrogate_key": 0},
@@ -58,7 +56,7 @@ def test_readers(tmp_path):
             M.source_period(text)
 
 
-def test_metrics_and_gates(built):  # noqa: F811
+def test_metrics_and_gates(built):
     silver = built[1]
     found = M.metrics(silver)
     got = {(r.metric_group, r.subject, r.metric): int(r.value) for r in found.collect()}

@@ -155,12 +155,10 @@ def folded(values: pd.Series) -> pd.Series:
 
 def snake_name(name: str) -> str:
     """Flattened path to a column name: the first place of a list goes, a capital after a small letter or digit begins a word, other signs separate words."""
-    parts = [x for i, x in enumerate(name.split("/")) if x != "0" or i in (0, name.count("/"))]
-    words = [w for part in parts for w in re.findall(r"[0-9A-Za-z]+", part)]
-    text = "_".join(re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", w) for w in words).lower()
-    if not text:
+    words = re.findall(r"[0-9A-Za-z]+", re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.replace("/0/", "/")))
+    if not words:
         raise ValueError(f"no name is left of {name!r}")
-    return text
+    return "_".join(words).lower()
 
 
 def snake_names(names: Iterable[str]) -> dict[str, str]:

@@ -50,6 +50,7 @@ def test_conversion_never_invents_a_rate(spark):
 
 def test_snake_names():
     assert X.snake_name("compiledRelease/tender/items/0/totalValue/amount") == "compiled_release_tender_items_total_value_amount"
+    assert X.snake_name("a/0/0/b") == "a_0_b"
     assert X.snake_name("x/0/a") == "x_a" and X.snake_name("x/1/a") == "x_1_a" and X.snake_name("x/10/0") == "x_10_0"
     assert X.snake_name("buyerRUC/amount_PEN") == "buyer_ruc_amount_pen" and X.snake_name("date2Published") == "date2_published"
     with pytest.raises(ValueError):

@@ -41,9 +41,10 @@ MAIN_SHARE = 0.7
 #: Templates are broadcast up to so many tokens in all; beyond, pages are joined with them by host.
 BROADCAST_TOKENS = 1 << 20
 
-# A quoted value is bounded, so that quotes without an end cost no scan of the whole page for each tag.
+# A quoted value is bounded here, so that quotes without an end cost no scan of the whole page for each tag; ``_Ends`` reads the tags with longer ones.
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]{0,20000}"|'[^']{0,20000}')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_SIGN = re.compile(r"[\"'>]")
 _NAMES = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 # Elements of HTML by their kind.
@@ -52,7 +53,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements of running text: alone they are no part of a page's structure.
 FLOW = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup pre blockquote li dt dd caption thead tbody tfoot tr td th figcaption summary".split())
-DROPPED = frozenset("head nav footer aside form menu dialog template noscript svg math canvas object audio video select button script style textarea title xmp iframe noembed noframes datalist fieldset".split())
+DROPPED = frozenset("head nav footer aside form menu dialog template noscript svg canvas object audio video select button script style textarea title xmp iframe noembed noframes datalist fieldset".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead"}, "body": {"head"}}
 SCOPES = frozenset("ul ol dl table article section div main body".split())
 # Words in class and id names, and roles, of elements that are no article text.
@@ -93,6 +94,33 @@ class _Element:
         return {k for k, v in found.items() if v}
 
 
+class _Ends:
+    """Ends of a page's tags, past quoted values of any length.
+
+    A tag whose quotes have no end or no ``>`` after them has none. The quotes that such a tag
+    opened are kept: a later tag that opens one of them has no end either, so that all tags
+    together read the page a few times at most.
+    """
+
+    def __init__(self, source: str):
+        self._source, self._vain = source, set()
+        self._last = {q: source.rfind(q) for q in "\"'"}
+
+    def of(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes start at ``at``, or -1."""
+        opened = []
+        while m := _SIGN.search(self._source, at):
+            at = m.start()
+            if m[0] == ">":
+                return at
+            if at in self._vain or at >= self._last[m[0]]:
+                break
+            opened.append(at)
+            at = self._source.find(m[0], at + 1) + 1
+        self._vain.update(opened)
+        return -1
+
+
 class Page:
     """Tag tokens (path hash and its parent's) and text segments of one page."""
 
@@ -175,7 +203,7 @@ class Page:
             self.segments.append((text, self._stack[-1], self._block))
 
     def _read(self, source: str) -> None:
-        at, lower = 0, None
+        at, lower, ends = 0, None, None
         end_of_tags = source.rfind(">") + 1  # behind it no tag can end, and looking for one would scan the rest for each
         while m := _TAG.search(source, at, end_of_tags):
             self._text(source[at : m.start()])
@@ -186,10 +214,14 @@ class Page:
             name = (m[2] or m[5] or "").lower()
             if not name:
                 continue
+            attributes = m[3] or m[6] or ""
+            if m[5] and ('"' in attributes or "'" in attributes):
+                ends = ends or _Ends(source)
+                if (end := ends.of(m.start(6))) >= 0:
+                    attributes, at = source[m.start(6) : end], end + 1
             if m[1] or m[4]:
                 self._close(name)
                 continue
-            attributes = m[3] or m[6] or ""
             self._open(name, attributes)
             if name in RAW:
                 lower = source.lower() if lower is None and source.isascii() else lower

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+import os
 import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import language_id as L
@@ -13,6 +16,7 @@ from ledgerloom.llm import mixing as M
 from ledgerloom.llm import quality as Q
 from ledgerloom.llm.common import Scratch
 
+SF = "/root/testdata/sf0.001"
 PARTS = {"aa": ["bana", "ra", "to", "ki", "lu"], "bb": ["schr", "icht", "ung", "en", "der"], "cc": ["ção", "ões", "ar", "lhe", "mente"]}
 
 
@@ -41,6 +45,67 @@ def test_language_identification(spark):
     assert [s["lang"] for s in got[0].shares] == ["aa"]
 
 
+def plain_mixture(model, text):
+    """Expectation maximisation of one text in plain loops, for every size of the set, and the penalised choice."""
+    found = L.grams(text).tolist()
+    rows = [[math.exp(float(x)) for x in model.logp[g]] for g in found]
+    k = len(model.languages)
+
+    def em(shares):
+        for _ in range(L.EM_STEPS):
+            sums = [0.0] * k
+            for row in rows:
+                total = sum(s * p for s, p in zip(shares, row))
+                for j in range(k):
+                    sums[j] += shares[j] * row[j] / total
+            shares = [s / len(rows) for s in sums]
+        return shares, sum(math.log(sum(s * p for s, p in zip(shares, row))) for row in rows)
+
+    whole, fit = em([1 / k] * k)
+    order = sorted(range(k), key=lambda j: (-whole[j], j))
+    price = L.PENALTY * math.log(len(rows) + 1)
+    tried = [(fit - k * price, whole)]
+    for m in range(k - 1, 0, -1):
+        shares, fit = em([1 / m if j in order[:m] else 0.0 for j in range(k)])
+        tried.append((fit - m * price, shares))
+    chosen = max(tried, key=lambda x: x[0])[1]
+    first = max(range(k), key=lambda j: (chosen[j], -j))
+    return model.languages[first], whole[first], {model.languages[j]: chosen[j] for j in range(k) if chosen[j] > 0}
+
+
+def test_mixtures_are_those_of_plain_expectation_maximisation(spark):
+    rng = random.Random(7)
+    parts = {**PARTS, "dd": ["ना", "की", "था", "लो"], "ee": ["bana", "schr", "ção", "lu", "der"]}
+    word = lambda lang: "".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 3)))
+    known = [(i, " ".join(word(lang) for _ in range(40)), lang) for i in range(60) for lang in [sorted(parts)[i % 5]]]
+    model = L.learned(spark.createDataFrame(known, "doc_id long, text string, lang string"))
+    texts = [" ".join(word(lang) for lang in langs for _ in range(n)) for langs in ("a", "b", "ab", "abc", "abcde", "ce", "de") for langs in [[2 * c for c in langs]] for n in (1, 4, 30)]
+    got = model.mixtures([None, *texts, "12", "x"])
+    assert got[0] == got[-2] == ("und", 0.0, [])
+    for text, (lang, score, shares) in zip([*texts, "x"], [*got[1:-2], got[-1]]):
+        want_lang, want_score, want = plain_mixture(model, text)
+        assert dict(shares).keys() == want.keys() and all(abs(s - want[a]) < 1e-6 for a, s in shares), text
+        assert abs(score - want_score) < 1e-6 and (lang == want_lang or abs(want[lang] - want[want_lang]) < 1e-9)
+    assert {len(g[2]) for g in got[1:-2]} >= {1, 2}
+
+
+def test_registered_languages_are_those_of_plain_expectation_maximisation(spark):
+    """The registered query over the smallest tables, held against the plain loops for every document."""
+    if not os.path.isdir(SF):
+        pytest.skip("the driver's tables are not here")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model, got = L.learned(docs), {r.doc_id: r for r in L.op8_language_id(spark, SF).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        if not r.text or not L.has_letter(r.text):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        lang, score, _ = plain_mixture(model, r.text)
+        assert got[r.doc_id].lang_pred == lang and abs(got[r.doc_id].score - score) < 1e-6
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
 def test_language_model_of_nothing(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in L.identify(docs, L.learned(docs)).collect()] == ["und"]

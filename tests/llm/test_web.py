@@ -161,10 +161,20 @@ def test_broken_markup():
     assert H.Page(deep).extract(set(), None) == "x"
 
 
+def test_quoted_values_of_any_length():
+    for n in (10, 19_000, 20_001, 300_000):
+        for quote, other in ("\"'", "'\""):
+            value = f"a > b {other}<p>{'x > y ' * (n // 6)}"
+            page = f"<body><p title={quote}{value}{quote} class=k>The story {n}</p><img alt={quote}{value}{quote}/><p>and its end</p></body>"
+            assert H.Page(page).extract(set(), None) == f"The story {n} and its end"
+    assert H.Page('<p title="' + "x>y " * 9000 + "<p>left open</p>").extract(set(), None).endswith("left open")
+    assert H.Page("<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>").extract(set(), None) == "where x = 2 holds"
+
+
 def test_deep_and_unclosed_pages_take_linear_time():
     import time
 
-    for source in ("<div>x" * 30_000, "<p title='x>y " * 30_001, '<a href="' * 30_001 + "<div title=\"'" * 5_000):
+    for source in ("<p a='" + "<b c=\">" * 60_000 + "\"" * 60_001, "<p \"'" * 30_000 + ">" + "'" * 25_000 + '"' * 25_001 + ">", "<div>x" * 30_000, "<p title='x>y " * 30_001, '<a href="' * 30_001 + "<div title=\"'" * 5_000):
         began = time.process_time()
         page = H.Page(source)
         page.tokens(), page.masses(), page.extract(set(), None)

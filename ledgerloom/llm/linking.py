@@ -12,13 +12,14 @@ its pairs there are decided. Then members that can have no new link leave as wel
 it outside its own component. Sizes are grouped first, so that this test costs a member one
 comparison for each different size and not for each other member. Once the pairs left are
 no more than a few for each row of the first round, or the rounds are used up, the rest is listed exactly:
-members outside a bucket's largest component with all others. So no bucket is capped and no
+members outside a bucket's largest component with all others. What the callers' marks of two
+items refuse is left out in the join of their bucket, before it is a pair. So no bucket is capped and no
 component can be lost, and a component of any size is never joined with itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,28 +68,28 @@ def _live(held: DataFrame) -> DataFrame:
     return held.alias("h").join(sizes.alias("s"), (F.col("h.bucket") == F.col("s.bucket")) & fits & other, "left_semi")
 
 
-def _dealt(live: DataFrame, buckets: DataFrame) -> DataFrame:
+def _dealt(live: DataFrame, buckets: DataFrame, near: Callable[[str, str], str]) -> DataFrame:
     """Pairs of each bucket's pivot with the members of other components."""
-    met = live.join(buckets.select("bucket", "pivot"), "bucket")
-    fits = "component <> pivot.component AND n <= pivot.most AND pivot.n <= most"
-    return met.filter(fits).select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
+    held = buckets.select(F.col("bucket").alias("_bucket"), "pivot")
+    met = live.join(held, F.expr(f"bucket = _bucket AND component <> pivot.component AND n <= pivot.most AND pivot.n <= most AND {near('', 'pivot.')}"))
+    return met.select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
 
 
-def _listed(live: DataFrame, buckets: DataFrame) -> DataFrame:
+def _listed(live: DataFrame, buckets: DataFrame, near: Callable[[str, str], str], marks: Sequence[str]) -> DataFrame:
     """All pairs of each bucket between different components: those outside the largest with all others."""
     main = buckets.select("bucket", F.col("largest.component").alias("main"))
-    one = live.join(main, "bucket").filter("component <> main").select("bucket", "main", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "most", "component")))
-    two = live.select(F.col("bucket").alias("y_bucket"), *(F.col(c).alias(f"y_{c}") for c in ("id", "n", "most", "component")))
-    fits = "bucket = y_bucket AND x_component <> y_component AND x_n <= y_most AND y_n <= x_most AND (y_component = main OR x_id < y_id)"
+    one = live.join(main, "bucket").filter("component <> main").select("bucket", "main", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "most", "component", *marks)))
+    two = live.select(F.col("bucket").alias("y_bucket"), *(F.col(c).alias(f"y_{c}") for c in ("id", "n", "most", "component", *marks)))
+    fits = f"bucket = y_bucket AND x_component <> y_component AND x_n <= y_most AND y_n <= x_most AND (y_component = main OR x_id < y_id) AND {near('x_', 'y_')}"
     return one.join(two, F.expr(fits)).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"))
 
 
-def _buckets(scratch: Scratch, live: DataFrame, k: int, alone: bool) -> tuple[DataFrame, int, float]:
+def _buckets(scratch: Scratch, live: DataFrame, k: int, alone: bool, marks: Sequence[str]) -> tuple[DataFrame, int, float]:
     """Buckets of two components or more with their largest one and a pivot; their rows, and pairs between components.
 
     ``alone``: no two rows of a bucket have a component in common, so that they need no grouping by it.
     """
-    first = F.struct(-F.col("weight"), F.xxhash64("id", F.lit(k)), "id", "n", "most", "component")
+    first = F.struct(-F.col("weight"), F.xxhash64("id", F.lit(k)), "id", "n", "most", "component", *marks)
     if alone:
         classes = live.select("bucket", "component", F.lit(1).cast("long").alias("s"), first.alias("pivot"))
     else:
@@ -98,7 +99,7 @@ def _buckets(scratch: Scratch, live: DataFrame, k: int, alone: bool) -> tuple[Da
     return buckets, *buckets.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.expr("(CAST(size AS double) * size - squares) / 2")), F.lit(0.0))).first()
 
 
-def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], again: Callable[[DataFrame], DataFrame] | None = None, rounds: int = ROUNDS, listed: int = LISTED) -> DataFrame:
+def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFrame], DataFrame], again: Callable[[DataFrame], DataFrame] | None = None, rounds: int = ROUNDS, listed: int = LISTED, marks: Sequence[str] = (), near: Callable[[str, str], str] | None = None) -> DataFrame:
     """(id, component) of the ids of ``rows`` (bucket, id, n, most, weight) that have a link, as a written table.
 
     ``n`` is an item's size and ``most`` the largest size of an item that it can be linked
@@ -109,8 +110,12 @@ def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFra
     written table. ``again`` takes the items (id, weight) that are undecided after the first
     pivots and returns other rows for them, in which all their candidates meet: an index that
     is too dear for all items, but tells more of fewer.
+
+    ``marks`` are further columns of ``rows``, the same in all rows of an item, and ``near``
+    makes of two prefixes of column names the condition that two items' marks have to meet to
+    be a candidate: what it refuses is never made a row. It must hold for all links.
     """
-    labels = None
+    labels, near = None, near or (lambda x, y: "true")
     live = rows.withColumn("component", F.col("id"))
 
     def narrowed(rows: DataFrame) -> DataFrame:
@@ -123,24 +128,24 @@ def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFra
         if labels is not None:
             before, live = live, narrowed(live.drop("component"))
             scratch.drop(before)
-        buckets, size, pairs_left = _buckets(scratch, live, k, alone=labels is None)
+        buckets, size, pairs_left = _buckets(scratch, live, k, labels is None, marks)
         most = size * listed if labels is None else most
         if k and again is not None and pairs_left > most:
             scratch.drop(buckets)
-            before, live = live, narrowed(again(scratch.cut(live.groupBy("id").agg(F.max("weight").alias("weight")), "items")))
+            before, live = live, narrowed(again(scratch.cut(live.groupBy("id").agg(F.max("weight").alias("weight"), *(F.max(c).alias(c) for c in marks)), "items")))
             scratch.drop(before)
             again = None
-            buckets, size, pairs_left = _buckets(scratch, live, k, alone=False)
+            buckets, size, pairs_left = _buckets(scratch, live, k, False, marks)
         if not size:
             scratch.drop(buckets)
             break
         last = k == rounds or pairs_left <= most
         small = F.expr(f"CAST(size AS double) * size - squares <= {2 * listed} * size")
         if last:
-            pairs = _listed(live, buckets)
+            pairs = _listed(live, buckets, near, marks)
         else:
             large = buckets.filter(~small)
-            pairs = _listed(live, buckets.filter(small)).unionByName(_dealt(present(live, "bucket", large.select("bucket")), large))
+            pairs = _listed(live, buckets.filter(small), near, marks).unionByName(_dealt(present(live, "bucket", large.select("bucket")), large, near))
         links = verify(pairs.distinct())
         edges = links if labels is None else links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
         was, labels = labels, components(scratch, edges)
@@ -157,7 +162,7 @@ def link_in_buckets(scratch: Scratch, rows: DataFrame, verify: Callable[[DataFra
 
 
 def by_exact_rarity(scratch: Scratch, held: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """Rows for ``link_in_buckets`` in which all pairs of ``items`` (id, weight) with a Jaccard similarity of ``percent`` meet.
+    """Rows for ``link_in_buckets`` in which all pairs of ``items`` (id, weight, marks) with a Jaccard similarity of ``percent`` meet.
 
     ``held`` (id, shingles) is a written table of their sets. Shingles are ordered by the
     number of these items that have them; those of one item alone come first and make no
@@ -171,6 +176,6 @@ def by_exact_rarity(scratch: Scratch, held: DataFrame, items: DataFrame, percent
     placed = ranked.select("id", "n", "own", F.posexplode(first).alias("at", "shingle"))
     most = F.expr(f"CAST({100 + percent} * (n - own - at) div {percent} - n AS bigint)")
     out = placed.select(F.col("shingle.bucket").alias("bucket"), "id", F.col("n").cast("long").alias("n"), most.alias("most")).join(items, "id")
-    out = scratch.cut(out.select("bucket", "id", "n", "most", "weight"), "met-again")
+    out = scratch.cut(out.select("bucket", "id", "n", "most", *(c for c in items.columns if c != "id")), "met-again")
     scratch.drop(held, common)
     return out

@@ -11,6 +11,12 @@ A set's prefix also tells what it lacks: a hash below its last one that it does
 shingles that each set of a candidate has and the other lacks under the two hash orders must
 not outnumber those that the sizes of both leave it beside the common ones.
 
+Before a pair is made at all, the parities of both sets (how many of their shingles, odd or
+even, fall in each of ``PARITIES`` places by hash) are compared in the join of their bucket:
+each place in which they differ holds a shingle that one set lacks, so that sets which differ
+in more places than their sizes admit shingles are no link. Group members that share most of
+their prefixes, but have changed in more places than the threshold admits, are told apart so.
+
 The first order puts shingles known to be frequent last, by their number. Which ones are
 known is no matter for the result, since any order is right; so the list is bounded
 (``FREQUENT``) and can be broadcast at any size of the input. Documents that are undecided
@@ -39,6 +45,9 @@ PERCENT = 85
 FREQUENT = 1 << 17
 #: Shingles that a task counts together before it passes on those that it met again.
 COUNTED = 1 << 21
+#: Places of a set's parities, 64 to a column.
+PARITIES = 256
+PARITY = tuple(f"parity{i}" for i in range(PARITIES // 64))
 
 
 def shingles(texts: list[bytes | None], size: int) -> list[np.ndarray]:
@@ -114,7 +123,7 @@ def _lists(rows: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*rows, np.zeros(0, kind)]).astype(kind, copy=False)))
 
 
-ROWS = "row long, doc_id long, h1 long, h2 long, n long, fp1 long, fp2 long, rare array<long>, second array<int>, third array<int>"
+ROWS = "row long, doc_id long, h1 long, h2 long, n long, fp1 long, fp2 long, rare array<long>, second array<int>, third array<int>, " + ", ".join(f"{c} long" for c in PARITY)
 
 
 def _set_marks(found: list[np.ndarray]) -> np.ndarray:
@@ -123,6 +132,20 @@ def _set_marks(found: list[np.ndarray]) -> np.ndarray:
     return np.array([(m >> 64, m & words.MASK) for m in marks], np.uint64).reshape(-1, 2).view(np.int64)
 
 
+def parities(found: list[np.ndarray]) -> np.ndarray:
+    """A row of ``PARITIES`` bits for each set, as signed columns of 64."""
+    place = words.mixed(np.concatenate([*found, np.zeros(0, np.uint64)]), 5) % np.uint64(PARITIES)
+    of = np.repeat(np.arange(len(found)), [len(one) for one in found]) if found else np.zeros(0, np.int64)
+    odd = np.bincount(of * PARITIES + place.astype(np.int64), minlength=len(found) * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(found), PARITIES), axis=1).view(np.int64)
+
+
+def parities_admit(percent: int, x: str, y: str) -> str:
+    """Condition on two sets (names of their columns follow ``x`` and ``y``): they differ in no more places than a link has shingles in one set only."""
+    differ = " + ".join(f"bit_count({x}{c} ^ {y}{c})" for c in PARITY)
+    return f"({differ}) * {100 + percent} <= {100 - percent} * ({x}n + {y}n)"
+
+
 def prefixes(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
     """Of each row: a number, hashes of its text, set size, fingerprint of the set, and its prefixes under three orders.
 
@@ -151,14 +174,14 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) ->
                 keys = (words.mixed(one, 1) >> np.uint64(33)).astype(np.int32)
                 others[0].append(np.partition(keys, p - 1)[:p] if p else keys)
                 others[1].append(np.partition(keys, len(keys) - p)[len(keys) - p :] if p else keys)
-            fp = _set_marks(found)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(list(map(len, found)), pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), _lists(rare, np.int64), *(_lists(x, np.int32) for x in others)], names=["row", "doc_id", "h1", "h2", "n", "fp1", "fp2", "rare", "second", "third"])
+            fp, odd = _set_marks(found), parities(found)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(list(map(len, found)), pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), _lists(rare, np.int64), *(_lists(x, np.int32) for x in others), *(pa.array(odd[:, i]) for i in range(len(PARITY)))], names=["row", "doc_id", "h1", "h2", "n", "fp1", "fp2", "rare", "second", "third", *PARITY])
 
     return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "h1", "h2", "text").mapInArrow(run, ROWS)
 
 
 def postings(nodes: DataFrame, percent: int, wanted: IdFilter) -> DataFrame:
-    """(bucket, id, n, most, weight) of the prefix shingles in the filter: with one at place k in common, sets can't share more than the rest."""
+    """(bucket, id, n, most, weight, parities) of the prefix shingles in the filter: with one at place k in common, sets can't share more than the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2000):
@@ -168,10 +191,10 @@ def postings(nodes: DataFrame, percent: int, wanted: IdFilter) -> DataFrame:
             of = np.repeat(np.arange(len(lengths)), lengths)[kept]
             place = kept - np.repeat(np.cumsum(lengths) - lengths, lengths)[kept]
             n = batch.column(1).to_numpy()[of]
-            yield pa.RecordBatch.from_arrays([flat.take(pa.array(kept)), pa.array(batch.column(0).to_numpy()[of]), pa.array(n), pa.array((100 + percent) * (n - place) // percent - n), batch.column(4).take(pa.array(of))], names=["bucket", "id", "n", "most", "weight"])
+            yield pa.RecordBatch.from_arrays([flat.take(pa.array(kept)), pa.array(batch.column(0).to_numpy()[of]), pa.array(n), pa.array((100 + percent) * (n - place) // percent - n), *(batch.column(i).take(pa.array(of)) for i in range(4, batch.num_columns))], names=["bucket", "id", "n", "most", "weight", *PARITY])
 
     positions = F.transform("rare", lambda x: IdFilter.position(x))
-    return nodes.select("row", "n", "rare", positions.alias("at"), "weight").mapInArrow(run, "bucket long, id long, n long, most long, weight long")
+    return nodes.select("row", "n", "rare", positions.alias("at"), "weight", *PARITY).mapInArrow(run, "bucket long, id long, n long, most long, weight long, " + ", ".join(f"{c} long" for c in PARITY))
 
 
 def lacking(pairs: DataFrame, percent: int) -> DataFrame:
@@ -215,7 +238,7 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
     # Rows of repeated sets: the first has its set's weight, the others are copies and have 0. The rest is told from them without a shuffle.
     again = named.select("row", *key).join(sets.filter("weight > 1").select("id", *key, "weight"), key)
     again = scratch.cut(again.select("row", F.when(F.col("row") == F.col("id"), F.col("weight")).otherwise(0).alias("weight")), "repeated")
-    wide, rowids = named.select("row", "n", "rare", "second", "third"), again.select("row")
+    wide, rowids = named.select("row", "n", "rare", "second", "third", *PARITY), again.select("row")
     weighed = present(wide, "row", rowids).join(again, "row", "left").withColumn("weight", F.coalesce("weight", F.lit(1).cast("long"))).filter("weight > 0")
     nodes = scratch.cut(absent(wide, "row", rowids).withColumn("weight", F.lit(1).cast("long")).unionByName(weighed), "nodes")
     shared = nodes.select(F.explode("rare").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("id")
@@ -249,7 +272,7 @@ def _judged(scratch: Scratch, docs: DataFrame, size: int, percent: int, frequent
         scratch.drop(pairs, asked, kept, held)
         return links
 
-    linked = link_in_buckets(scratch, met, verify, lambda items: by_exact_rarity(scratch, sets_of(items.select("id")), items, percent))
+    linked = link_in_buckets(scratch, met, verify, lambda items: by_exact_rarity(scratch, sets_of(items.select("id")), items, percent), marks=PARITY, near=lambda x, y: parities_admit(percent, x, y))
     scratch.drop(met, nodes, shared)
     of = sets.join(linked, "id", "left").select(*key, "least", "weight", F.coalesce("component", "id").alias("class"))
     wide = of.join(linked.select(F.col("component").alias("class")).distinct(), "class", "left_semi").groupBy("class").agg(F.min("least").alias("least_doc"), F.sum("weight").alias("rows"))

@@ -8,6 +8,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,40 @@ def test_ngram_join_against_brute_force(spark, size, percent):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
 
 
+def test_parities_refuse_most_pairs_of_a_group_near_the_threshold(spark, monkeypatch):
+    """Copies that share most prefixes under every order, but differ too much: few of their pairs are made, and no link is lost."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    changed = lambda k: " ".join(w if i not in at else f"{w}x{rng.randrange(9**9)}" for at in [set(rng.sample(range(200), k))] for i, w in enumerate(base))
+    texts = [changed(8) for _ in range(50)] + [changed(2) for _ in range(6)]
+    asked = []
+
+    def counted(scratch, rows, verify, *more, **named):
+        return linking.link_in_buckets(scratch, rows, lambda pairs: (asked.append(pairs.count()), verify(pairs))[1], *more, **named)
+
+    monkeypatch.setattr(ngram_join, "link_in_buckets", counted)
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(spark, spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    _, roots = brute_components(texts, 4, 85)
+    assert got == dict(enumerate(roots)) and len(set(roots)) > 10
+    assert sum(asked) < 400 < 56 * 55 // 2
+
+
+def test_parities_admit_every_link():
+    rng = np.random.default_rng(5)
+    places = range(len(ngram_join.PARITY))
+    refused = 0
+    for n, percent in [(1, 80), (7, 85), (60, 80), (300, 85), (3000, 80)] * 20:
+        one = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        cut = rng.integers(0, len(one) + 1)
+        two = np.unique(np.concatenate([one[: len(one) - cut // 6], rng.integers(0, 1 << 63, cut // 7, dtype=np.uint64)]))
+        both = np.intersect1d(one, two).size
+        a, b = ngram_join.parities([one, two])
+        admitted = sum((int(a[i] ^ b[i]) & (2**64 - 1)).bit_count() for i in places) * (100 + percent) <= (100 - percent) * (one.size + two.size)
+        assert admitted or 100 * both < percent * (one.size + two.size - both)
+        refused += not admitted
+    assert refused and ngram_join.parities([]).shape == (0, len(places)) and not ngram_join.parities([np.zeros(0, np.uint64)]).any()
+
+
 def test_ngram_join_of_odd_rows(spark):
     got = ngram_join.ngram_components(spark, spark.createDataFrame([(None, "a b c d e"), (None, None), (5, "a b c d e"), (5, "z")], DOCS)).collect()
     assert sorted(map(tuple, got), key=repr) == sorted([(None, 2, None), (None, 0, None), (5, 2, 5), (5, 1, 5)], key=repr)

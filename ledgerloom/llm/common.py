@@ -112,25 +112,29 @@ class IdFilter:
         return pa.array((self.sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
 
 
-def _marked(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """``rows`` with ``_present_bits``, the word of a bitmap of ``ids`` that the column falls in, and ``_present_at``, its place.
+def _words(ids: DataFrame) -> DataFrame:
+    """A bitmap of ``ids`` as words ``_present_bits`` and their places ``_present_word``: at most ``BITS / 64`` rows whatever the number of ids, so that the broadcast has a fixed bound."""
+    return ids.select(_split(ids.columns[0]).alias("_present_at")).groupBy(F.col("_present_at.word").alias("_present_word")).agg(F.expr("bit_or(shiftleft(1L, _present_at.bit))").alias("_present_bits"))
 
-    As ``IdFilter`` in DataFrame operations: the bits are at most ``BITS / 64`` rows of words,
-    whatever the number of ids, so that the broadcast has a fixed bound.
-    """
-    split = lambda c: F.struct(F.shiftright(IdFilter.position(F.col(c)), 6).cast("int").alias("word"), IdFilter.position(F.col(c)).bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-    words = ids.select(split(ids.columns[0]).alias("_present_at")).groupBy(F.col("_present_at.word").alias("_present_word")).agg(F.expr("bit_or(shiftleft(1L, _present_at.bit))").alias("_present_bits"))
-    return rows.withColumn("_present_at", split(column)).join(F.broadcast(words), F.col("_present_at.word") == F.col("_present_word"), "left")
+
+def _split(column: str) -> Column:
+    """The word of a bitmap that a column falls in, and its place there."""
+    at = IdFilter.position(F.col(column))
+    return F.struct(F.shiftright(at, 6).cast("int").alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
 
 
+_WORD = "_present_at.word = _present_word"
 _BIT = "shiftrightunsigned(coalesce(_present_bits, 0L), _present_at.bit) & 1L"
 
 
 def present(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose ``column`` is not in the one column of longs of ``ids``; an exact join follows."""
-    return _marked(rows, column, ids).filter(f"{_BIT} = 1L").select(*rows.columns)
+    """``rows`` without most of those whose ``column`` is not in the one column of longs of ``ids``; an exact join follows.
+
+    As ``IdFilter`` in DataFrame operations. The bit is asked in the join, so that no other row leaves it.
+    """
+    return rows.withColumn("_present_at", _split(column)).join(F.broadcast(_words(ids)), F.expr(f"{_WORD} AND {_BIT} = 1L"), "left_semi").select(*rows.columns)
 
 
 def absent(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """The rows that ``present`` leaves out."""
-    return _marked(rows, column, ids).filter(f"{_BIT} = 0L").select(*rows.columns)
+    return rows.withColumn("_present_at", _split(column)).join(F.broadcast(_words(ids)), F.expr(f"{_WORD} AND {_BIT} = 1L"), "left_anti").select(*rows.columns)

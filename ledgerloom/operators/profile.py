@@ -79,14 +79,14 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 
 def grain_profiles(tables: Mapping[str, DataFrame], grains: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Per table with a declared grain: its columns, whether all are there, rows, rows with a null, rows beyond the first of each grain, and whether it holds."""
+    """Per table with a declared grain: its columns, whether all are there, rows, rows with a null, rows beyond the first of each grain, and whether it holds, which an empty table doesn't show."""
     parts = []
     for name, grain in grains.items():
         if name not in tables:
             continue
         there = all(c in tables[name].columns for c in grain)
         counts = R.grain_metrics(tables[name], [f"`{c}`" for c in grain]) if there else tables[name].agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("bigint").alias("null_grain_rows"), F.lit(None).cast("bigint").alias("duplicate_grain_rows"))
-        holds = F.coalesce((F.col("null_grain_rows") == 0) & (F.col("duplicate_grain_rows") == 0), F.lit(False))
+        holds = F.coalesce((F.col("n_rows") > 0) & (F.col("null_grain_rows") == 0) & (F.col("duplicate_grain_rows") == 0), F.lit(False))
         parts.append(counts.select(F.lit(name).alias("table_name"), F.lit(", ".join(grain)).alias("grain"), F.lit(there).alias("has_columns"), "n_rows", "null_grain_rows", "duplicate_grain_rows", holds.alias("holds")))
     return reduce(DataFrame.unionByName, parts)
 

@@ -95,6 +95,17 @@ def _identifier(spark: SparkSession, tables: Tables, rule: Mapping) -> DataFrame
     return _counts(tables[rule["table"]], ~flag, flag.isNotNull())
 
 
+def identifier_breakdown(df: DataFrame, scheme_column: str, identifier_column: str, scheme: str = "PE-RUC") -> DataFrame:
+    """One row: rows of the scheme, those with an invalid identifier, of these with another length than 11, and with 11 characters that are not all digits.
+
+    Lengths are of the trimmed text; an absent identifier has length 0.
+    """
+    flag = X.ruc_flag(F.col(scheme_column), F.col(identifier_column), scheme)
+    eleven = F.length(F.coalesce(X.u_trim(F.col(identifier_column)), F.lit(""))) == 11
+    counts = {"rows_evaluated": flag.isNotNull(), "format_invalid_rows": ~flag, "invalid_length_rows": ~flag & ~eleven, "non_digit_rows_with_length_11": ~flag & eleven}
+    return df.agg(*(F.count_if(F.coalesce(c, F.lit(False))).cast("bigint").alias(n) for n, c in counts.items()))
+
+
 def _coverage(spark: SparkSession, tables: Tables, rule: Mapping) -> DataFrame:
     return _counts(tables[rule["table"]], F.col(rule["column"]).isNull())
 

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exprs as X
 from ledgerloom.operators import profile as PF
+from ledgerloom.operators import quality as Q
 from ledgerloom.operators import relational as R
+from ledgerloom.plans import acceptance as A
 from ledgerloom.plans import build as B
 from ledgerloom.plans import governed as G
 from ledgerloom.plans import model as M
@@ -20,7 +22,7 @@ from ledgerloom.plans import silver as S
 from ledgerloom.plans import silver_run as SR
 from ledgerloom.plans import validation as V
 from ledgerloom.sources.archive import ROW_NUMBER
-from ledgerloom.sources.scratch import shared_dir
+from ledgerloom.sources.scratch import shared_dir, written
 
 from .driver_queries import _OC, currency, money, orders_with_currency, query, table
 
@@ -247,3 +249,43 @@ def q_model_metrics(spark: SparkSession, d: str) -> DataFrame:
 def q_model_gates(spark: SparkSession, d: str) -> DataFrame:
     """The model's six gates: some parties are missing here, and some orders have no items to compare with."""
     return M.gates(M.metrics(_silver(spark, d))).select("gate_id", "status")
+
+
+_NO_RATE = "(currency_code = 'EUR' OR currency_code = 'USD' AND o_orderkey % 5 = 0)"
+_OFF = "NOT coalesce(abs(amount - item_sum) <= 0.01, false)"
+
+
+@query(f"""
+WITH {_DIMS}, li AS (SELECT ul.*, o_orderkey, o_custkey, o_orderstatus, currency_code FROM ul JOIN oc ON o_orderkey = l_orderkey), seen AS (SELECT o_custkey AS k, count(DISTINCT l_suppkey) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY o_custkey),
+te AS (SELECT CAST(c_acctbal AS DECIMAL(18,4)) AS amount, s AS item_sum FROM customer LEFT JOIN (SELECT o_custkey, sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS s FROM li WHERE l_linenumber = 1 GROUP BY o_custkey) ON o_custkey = c_custkey), h AS (SELECT * FROM aw LEFT JOIN sums ON s_key = o_orderkey), bad AS (SELECT * FROM li WHERE {_NO_RATE} AND l_extendedprice IS NOT NULL),
+r AS (SELECT 'SQL-WARN-001' AS rule_id, (SELECT count(*) FROM supplier WHERE s_acctbal >= 0 AND s_suppkey % 2 = 1) AS n UNION ALL SELECT 'SQL-WARN-002', (SELECT count(*) FROM (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0 GROUP BY s_suppkey HAVING count(DISTINCT s_name) > 1)) UNION ALL SELECT 'SQL-WARN-003', (SELECT count(*) FROM (SELECT p_brand AS c FROM part GROUP BY p_brand HAVING count(DISTINCT p_brand) > 1))
+UNION ALL SELECT 'SQL-WARN-004', (SELECT count(*) FROM customer LEFT JOIN seen ON k = c_custkey WHERE c_custkey % 4 <> coalesce(n, 0)) UNION ALL SELECT 'SQL-WARN-005', (SELECT count(*) FROM te WHERE {_OFF}) UNION ALL SELECT 'SQL-WARN-006', (SELECT count(*) FROM h WHERE {_OFF}) UNION ALL SELECT 'SQL-WARN-007', (SELECT count(*) FROM h WHERE o_orderstatus = 'F' AND {_OFF})
+UNION ALL SELECT 'SQL-WARN-008', (SELECT count(*) + count_if(o_orderstatus = 'F') FROM aw WHERE amount IS NOT NULL AND {_NO_RATE}) + (SELECT count(*) + count_if(l_linenumber = 1) + count_if(o_orderstatus = 'F') FROM bad) UNION ALL SELECT 'SQL-WARN-009', (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'))
+SELECT rule_id, CAST(n AS BIGINT) AS actual_n, CAST(n AS BIGINT) AS expected_n, 'PASS' AS status FROM r""")
+def q_warning_reconciliation(spark: SparkSession, d: str) -> DataFrame:
+    """Nine warnings counted in the built warehouse and, apart from it, in its typed tables."""
+    silver = {name: written(df) for name, df in _silver(spark, d).items()}
+    built = B.build(silver, [*(n for n in B.TABLES if n.startswith("fact_")), "dim_supplier", "dim_category", "dim_currency"])
+    return A.reconciled_warnings(V.rules(G.warning_rules(built.tables)), A.typed_warnings(silver))
+
+
+@query("""
+SELECT 'orders' AS table_name, 'o_orderkey' AS grain, true AS has_columns, count(*) AS n_rows, count_if(o_orderkey IS NULL) AS null_grain_rows, count(*) - count(DISTINCT o_orderkey) AS duplicate_grain_rows, count(DISTINCT o_orderkey) = count(*) AS holds FROM orders
+UNION ALL SELECT 'lineitem', 'l_orderkey, l_linenumber', true, (SELECT count(*) FROM lineitem), 0, (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)), (SELECT count(*) FROM lineitem) = (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
+UNION ALL SELECT 'customer', 'k', true, count(*), count_if(c_custkey % 3 = 0), count_if(c_custkey % 3 = 0) - least(count_if(c_custkey % 3 = 0), 1), false FROM customer UNION ALL SELECT 'part', 'p_partkey, p_edition', false, count(*), NULL, NULL, false FROM part""")
+def q_grain_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """Four declared grains: a key, a key of two columns, one with nulls, and one that lacks a column."""
+    tables = {t: table(spark, d, t) for t in ("orders", "lineitem", "part")}
+    tables["customer"] = table(spark, d, "customer").select(F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("k"))
+    return PF.grain_profiles(tables, {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "customer": ["k"], "part": ["p_partkey", "p_edition"]})
+
+
+@query("""
+WITH p AS (SELECT CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN '2010000000x' WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE CAST(20100000000 + c_custkey AS VARCHAR) END AS i FROM customer WHERE c_nationkey % 2 = 0)
+SELECT count(*) AS rows_evaluated, count_if(i IS NULL OR NOT regexp_full_match(i, '[0-9]{11}')) AS format_invalid_rows, count_if(length(coalesce(i, '')) <> 11) AS invalid_length_rows, count_if(length(i) = 11 AND NOT regexp_full_match(i, '[0-9]{11}')) AS non_digit_rows_with_length_11 FROM p""")
+def q_identifier_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    """Why identifiers of the home scheme are invalid: their length, or signs among eleven."""
+    k = F.col("c_custkey")
+    identifier = F.when(k % 13 == 0, None).when(k % 7 == 0, "2010000000x").when(k % 5 == 0, k.cast("string")).otherwise((k + F.lit(20100000000)).cast("string"))
+    rows = table(spark, d, "customer").select(F.when(F.col("c_nationkey") % 2 == 0, " pe-ruc").otherwise("DNI").alias("scheme"), F.concat(F.lit(" "), identifier).alias("identifier"))
+    return Q.identifier_breakdown(rows, "scheme", "identifier")

@@ -207,3 +207,11 @@ def test_split_duplicates_with_null_order(spark):
     first, others = R.split_duplicates(df, ["x"], "n")
     assert rows(first) == [("a", 2), ("b", None), ("c", 1)]
     assert rows(others) == [("a", None), ("c", 3)]
+
+
+def test_why_identifiers_are_invalid(spark):
+    rows = [("PE-RUC", " 20100000001 "), ("pe-ruc", "2010000000x"), (" PE-RUC", "123"), ("PE-RUC", None), ("DNI", "1"), (None, "2"), ("PE-RUC", "201000000011")]
+    got = Q.identifier_breakdown(spark.createDataFrame(rows, "scheme string, id string"), "scheme", "id")
+    assert got.columns == ["rows_evaluated", "format_invalid_rows", "invalid_length_rows", "non_digit_rows_with_length_11"]
+    assert tuple(got.first()) == (5, 4, 3, 1)
+    assert tuple(Q.identifier_breakdown(spark.createDataFrame([], "scheme string, id string"), "scheme", "id").first()) == (0, 0, 0, 0)

@@ -47,6 +47,11 @@ def test_archive_profile(spark):
     assert (grains["records.csv"].duplicate_grain_rows, grains["records.csv"].holds, grains["parties.csv"].has_columns, grains["parties.csv"].holds) == (1, False, False, False)
 
 
+def test_an_empty_table_shows_no_grain(spark):
+    empty = spark.createDataFrame([], "ocid string")
+    assert tuple(PF.grain_profiles({"t": empty}, {"t": ["ocid"]}).first()) == ("t", "ocid", True, 0, 0, 0, False)
+
+
 def test_equal_rows_with_nulls_in_other_places(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("a", None), (None, None)], "x string, y string")
     assert tuple(PF.table_profile(df).first()) == (4, 2, 5, 1, 1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +72,31 @@ def test_stages_of_an_empty_table(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
+def test_stages_of_long_texts_ties_and_repeated_rows(spark):
+    """A text of some MB passes whole, of equal texts the smallest doc_id stays, and an equal row is judged as its twin."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    words = sorted({w for r in docs.filter("lang = 'en'").limit(40).collect() for w in (r.text or "").split()})
+    draw = random.Random(3)
+    long = " ".join(draw.choices(words, k=400_000))
+    tied = " ".join(draw.choices(words, k=300))
+    assert len(long) > 2_000_000
+    first = docs.agg(F.max("doc_id")).first()[0] + 1
+    rows = [(first, long), (first + 3, tied), (first + 1, tied), (first + 2, tied), (first + 4, long + " end"), (first + 1, tied)]
+    kept = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")))
+    added = lambda df: sorted((r.doc_id, r.text) for r in df.filter(F.col("doc_id") >= first).collect())
+    stages = dict(corpus_pipeline.STAGES)
+    kept = Scratch(spark, "test").cut(stages["language_id"](spark, kept, SF), "language")
+    assert added(kept) == sorted(rows)
+    kept = Scratch(spark, "test").cut(stages["ngram_jaccard_join"](spark, kept, SF), "join")
+    assert added(kept) in ([(first, long), (first + 1, tied)], [(first, long), (first + 1, tied), (first + 1, tied)])
+    kept = Scratch(spark, "test").cut(stages["benchmark_decontamination"](spark, kept, SF), "benchmark")
+    assert [r[0] for r in added(kept)][:2] == [first, first + 1]
+    mixed = Scratch(spark, "test").cut(stages["mixing"](spark, kept, SF), "mixing")
+    assert set(added(mixed)) <= set(added(kept)) and mixed.columns == kept.columns
+    out = {r.doc_id: r.n_tokens for r in stages["token_output"](spark, kept, SF).filter(F.col("doc_id") >= first).collect()}
+    assert out[first] >= 400_000 and 300 <= out[first + 1] < 3000
+
+
 def test_run_is_its_stages(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]

@@ -88,9 +88,9 @@ def test_stages_of_long_texts_ties_and_repeated_rows(spark):
     kept = Scratch(spark, "test").cut(stages["language_id"](spark, kept, SF), "language")
     assert added(kept) == sorted(rows)
     kept = Scratch(spark, "test").cut(stages["ngram_jaccard_join"](spark, kept, SF), "join")
-    assert added(kept) in ([(first, long), (first + 1, tied)], [(first, long), (first + 1, tied), (first + 1, tied)])
+    assert added(kept) == [(first, long), (first + 1, tied), (first + 1, tied)]  # equal rows are one document
     kept = Scratch(spark, "test").cut(stages["benchmark_decontamination"](spark, kept, SF), "benchmark")
-    assert [r[0] for r in added(kept)][:2] == [first, first + 1]
+    assert [r[0] for r in added(kept)] == [first, first + 1, first + 1]
     mixed = Scratch(spark, "test").cut(stages["mixing"](spark, kept, SF), "mixing")
     assert set(added(mixed)) <= set(added(kept)) and mixed.columns == kept.columns
     out = {r.doc_id: r.n_tokens for r in stages["token_output"](spark, kept, SF).filter(F.col("doc_id") >= first).collect()}

@@ -22,11 +22,11 @@ def asserted_unique(df: DataFrame, keys: Sequence[str], message: str) -> DataFra
     An aggregate with partial sums: a key of very many rows, such as null, is counted by each
     task before it meets in one row, and the result is dealt by the keys for the join after it.
     """
-    rest = [c for c in df.columns if c not in keys]
-    held = [F.any_value(F.struct(*(F.col(f"`{c}`") for c in rest))).alias("_row")] if rest else []
-    one = df.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(F.count(F.lit(1)).alias("_n"), *held)
-    one = one.filter(F.coalesce(F.assert_true(F.col("_n") == 1, message).isNull(), F.lit(True)))
-    return one.select(*(F.col("_row").getField(c).alias(c) if c in rest else F.col(f"`{c}`") for c in df.columns))
+    # Columns are held one by one: where all are numbers, flags or times, the aggregate hashes and sorts nothing.
+    rest = [F.any_value(F.col(f"`{c}`")).alias(c) for c in df.columns if c not in keys]
+    one = df.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(F.count(F.lit(1)).alias("_rows_of_key"), *rest)
+    one = one.filter(F.coalesce(F.assert_true(F.col("_rows_of_key") == 1, message).isNull(), F.lit(True)))
+    return one.select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def join_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], kind: str = "left") -> DataFrame:
@@ -60,16 +60,17 @@ def canonical_by_key(df: DataFrame, keys: Sequence[str], value: str, alias: str,
     return counts.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), "_text", value)).alias(alias))
 
 
-def canonical_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
+def canonical_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, str], weight: str | None = None) -> DataFrame:
     """The keys with the canonical value of each column (result name: column), as ``canonical_by_key`` finds it.
 
     All columns go through one grouping as (keys, column, value), whatever their number. Keys
-    with a null are left out; a column without a value is null.
+    with a null are left out; a column without a value is null. A row counts once, or as
+    often as its ``weight`` says.
     """
-    types = dict(df.dtypes)
+    types, times = dict(df.dtypes), F.col(weight) if weight else F.lit(1)
     cells = F.array(*(F.struct(F.lit(alias).alias("_name"), F.col(c).cast("string").alias("_value")) for alias, c in values.items()))
-    long = df.dropna(subset=list(keys)).select(*keys, F.explode(cells).alias("_cell")).select(*keys, "_cell._name", "_cell._value")
-    counts = long.groupBy(*keys, "_name", "_value").agg(F.count(F.lit(1)).alias("_n")).withColumn("_text", X.folded("_value"))
+    long = df.dropna(subset=list(keys)).select(*keys, times.alias("_times"), F.explode(cells).alias("_cell")).select(*keys, "_times", "_cell._name", "_cell._value")
+    counts = long.groupBy(*keys, "_name", "_value").agg(F.sum("_times").alias("_n")).withColumn("_text", X.folded("_value"))
     first = F.min_by("_value", F.when(F.col("_value").isNotNull(), F.struct(-F.col("_n"), "_text", "_value")))
     each = counts.groupBy(*keys, "_name").agg(first.alias("_value"))
     return each.groupBy(*keys).agg(*(F.max(F.when(F.col("_name") == alias, F.col("_value"))).cast(types[c]).alias(alias) for alias, c in values.items()))

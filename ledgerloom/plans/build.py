@@ -49,6 +49,11 @@ def _observed(rows: DataFrame, keys: Sequence[str], **more: Column) -> DataFrame
 Frames = Mapping[str, DataFrame]
 
 
+def _distinct(rows: DataFrame) -> DataFrame:
+    """The different rows with their number ``_n``, written: what is found in few keys of very many rows is found in these."""
+    return written(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n")))
+
+
 def dim_date(t: Frames) -> DataFrame:
     """All local days from the first to the last time of processes, awards and contracts."""
     found = [(t[name], c) for name in ("procurement_process", "award", "contract") for c, kind in t[name].dtypes if kind == "timestamp" and c != "loaded_at_utc"]
@@ -101,9 +106,9 @@ def dim_category(t: Frames) -> DataFrame:
             missing = F.coalesce(F.col("dq_classification_was_missing"), F.lit(False)) | s.isNull() | c.isNull()
             pick = lambda column, token: F.when(missing, token).otherwise(column)  # noqa: B023, E731
             parts.append(t[name].select(pick(s, scheme).alias("classification_scheme"), pick(c, code).alias("classification_code"), pick(d, text).alias("description"), "source_period", "ingestion_run_id"))
-    rows, keys = reduce(DataFrame.unionByName, parts), ["classification_scheme", "classification_code"]
+    rows, keys = _distinct(reduce(DataFrame.unionByName, parts)), ["classification_scheme", "classification_code"]
     seen = _observed(rows, keys, description_variant_count=F.count_distinct("description")).withColumn("dq_description_conflict", F.col("description_variant_count") > 1)
-    found = seen.join(R.canonical_values(rows, keys, {"classification_description": "description"}), keys, "left")
+    found = seen.join(R.canonical_values(rows, keys, {"classification_description": "description"}, "_n"), keys, "left")
     known = R.dimension_keys(found.filter((F.col(keys[0]) != scheme) | (F.col(keys[1]) != code)), keys, "category_key")
     return R.with_unknown(known, "category_key", {keys[0]: scheme, keys[1]: code, "classification_description": text, "description_variant_count": 1, "dq_description_conflict": False})
 
@@ -123,8 +128,8 @@ def dim_procurement_method(t: Frames) -> DataFrame:
 
 
 def _of_union(parts: Iterable[DataFrame], keys: Sequence[str], name: str, key: str) -> DataFrame:
-    rows = reduce(DataFrame.unionByName, parts).dropna(subset=list(keys))
-    found = _observed(rows, keys).join(R.canonical_values(rows, keys, {name: name}), list(keys), "left")
+    rows = _distinct(reduce(DataFrame.unionByName, parts).dropna(subset=list(keys)))
+    found = _observed(rows, keys).join(R.canonical_values(rows, keys, {name: name}, "_n"), list(keys), "left")
     return R.with_unknown(R.dimension_keys(found, keys, key), key, {**dict.fromkeys(keys, X.UNKNOWN), name: NOBODY})
 
 
@@ -153,8 +158,10 @@ ATTRIBUTED = ("attributed_supplier_key", "dq_supplier_amount_attributable")
 def attribution(t: Frames) -> DataFrame:
     """For each award: how many supplier rows it has, and the key of its only supplier where there is one, else 0."""
     rows = t["award_supplier"].select("ocid", F.col(AWARDS + "id").alias("award_id"), F.col(AWARDS + "suppliers_id").alias("_supplier")).dropna(subset=["ocid", "award_id"])
-    one = rows.groupBy("ocid", "award_id").agg(F.count(F.lit(1)).alias("supplier_count"), F.max("_supplier").alias("_supplier"))
-    found = R.lookup_key(one.withColumn("_supplier", F.when(F.col("supplier_count") == 1, F.col("_supplier"))), t["dim_supplier"], {"_supplier": "source_party_id"}, "supplier_key")
+    # Suppliers are looked up before they are grouped: the most of a number needs no sort.
+    rows = R.lookup_key(rows, t["dim_supplier"], {"_supplier": "source_party_id"}, "supplier_key")
+    found = rows.groupBy("ocid", "award_id").agg(F.count(F.lit(1)).alias("supplier_count"), F.max("supplier_key").alias("supplier_key"))
+    found = found.withColumn("supplier_key", F.when(F.col("supplier_count") == 1, F.col("supplier_key")).otherwise(0))
     return found.select("ocid", "award_id", "supplier_count", F.col("supplier_key").alias(ATTRIBUTED[0]), (F.col("supplier_key") != 0).alias(ATTRIBUTED[1]))
 
 
@@ -168,26 +175,50 @@ def _attributed(rows: DataFrame, t: Frames, award_id: str) -> DataFrame:
     return R.join_to_one(rows, side, ["ocid", award_id]).fillna(0, ["supplier_count", ATTRIBUTED[0]]).fillna(False, [ATTRIBUTED[1]])
 
 
-def _in_home_currency(rows: DataFrame, t: Frames, rates: str, rate: str, grain: Sequence[str], currency: str, amount: str, result: str) -> DataFrame:
-    """Adds currency_key, conversion_rate_to_pen, the converted amount and whether there is one."""
-    rows = R.join_one_to_one(rows, t[rates].select(*grain, F.col(rate).alias("_rate")), list(grain))
+def _grains(t: Frames, table: str, grain: Sequence[str], key: str, rates: str, rate: str) -> DataFrame:
+    """The grains of a typed table, each once or the build raises, with their number in order and their ``_rate``.
+
+    A fact's numbers, rates and sums meet in these rows, which are narrow; the wide rows of
+    its table are neither counted nor sorted and join them once, see ``_with_grains``.
+    """
+    each = R.asserted_unique(t[table].select(*grain), grain, f"join is not one-to-one on {', '.join(grain)}")
+    return R.join_to_one(R.dense_keys(each, grain, key), t[rates].select(*grain, F.col(rate).alias("_rate")), grain)
+
+
+def _with_grains(rows: DataFrame, grains: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """``rows`` with the further columns of their grain; null equals null."""
+    side = grains.select(*(F.col(k).alias(f"_g{i}") for i, k in enumerate(grain)), *(c for c in grains.columns if c not in grain))
+    same = reduce(lambda a, b: a & b, (rows[k].eqNullSafe(side[f"_g{i}"]) for i, k in enumerate(grain)))
+    return rows.join(side, same).drop(*(f"_g{i}" for i in range(len(grain))))
+
+
+def _in_home_currency(rows: DataFrame, t: Frames, currency: str, amount: str, result: str) -> DataFrame:
+    """Adds currency_key, conversion_rate_to_pen, the amount converted at ``_rate`` and whether there is one."""
     rows = R.lookup_key(rows, t["dim_currency"], {currency: "currency_code"}, "currency_key")
     rows = rows.withColumn("conversion_rate_to_pen", X.rate_for(F.col(currency), F.col("_rate")))
     rows = rows.withColumn(result, X.converted(F.col(amount), F.col("conversion_rate_to_pen")))
     return rows.withColumn("dq_pen_conversion_available", F.col(result).isNotNull())
 
 
-def _with_item_sums(rows: DataFrame, items: DataFrame, grain: Sequence[str], amount: str, item_amount: str, stem: str) -> DataFrame:
-    """Adds the sum of the items' amounts, the difference to the header and whether they agree."""
+def _with_sums(rows: DataFrame, items: DataFrame, grain: Sequence[str], item_amount: str, stem: str) -> DataFrame:
+    """Adds the sum of the items' amounts."""
     sums = items.groupBy(*grain).agg(F.sum(F.col(item_amount).cast(X.MONEY)).cast(X.MONEY).alias(f"{stem}_item_amount_sum_original")).dropna(subset=list(grain))
-    rows = rows.join(sums, list(grain), "left").withColumn(f"{stem}_amount_difference_original", X.difference(F.col(amount), F.col(f"{stem}_item_amount_sum_original")))
+    return rows.join(sums, list(grain), "left")
+
+
+def _compared(rows: DataFrame, amount: str, stem: str) -> DataFrame:
+    """Adds the difference of the header to the sum of its items and whether they agree."""
+    rows = rows.withColumn(f"{stem}_amount_difference_original", X.difference(F.col(amount), F.col(f"{stem}_item_amount_sum_original")))
     return rows.withColumn(f"dq_{stem}_amount_reconciled_0_01", X.within(F.col(f"{stem}_amount_difference_original")))
 
 
 def _keyed(rows: DataFrame, grain: Sequence[str], key: str, columns: Sequence[str | Column]) -> DataFrame:
     """Numbered in the order of the grain and cut to the fact's columns, lineage last."""
-    out = R.dense_keys(rows, grain, key)
-    return out.select(F.col(key).cast("bigint").alias(key), *columns, *LINEAGE)
+    return _cut(R.dense_keys(rows, grain, key), key, columns)
+
+
+def _cut(rows: DataFrame, key: str, columns: Sequence[str | Column]) -> DataFrame:
+    return rows.select(F.col(key).cast("bigint").alias(key), *columns, *LINEAGE)
 
 
 def fact_procurement_process(t: Frames) -> DataFrame:
@@ -198,7 +229,7 @@ def fact_procurement_process(t: Frames) -> DataFrame:
     dates = {"record_date_key": CR + "date", "published_date_key": CR + "published_date", **{f"{x}_date_key": f"{TENDER}{p}_{x.rpartition('_')[2]}_date" for x, p in (("tender_period_start", "tender_period"), ("tender_period_end", "tender_period"), ("enquiry_period_start", "enquiry_period"), ("enquiry_period_end", "enquiry_period"))}}
     observed = t["tenderer"].groupBy("ocid").agg(F.count(F.lit(1)).alias("tenderer_count_observed"))
     rows = rows.join(observed, "ocid", "left").fillna(0, ["tenderer_count_observed"])
-    rows = _with_item_sums(rows, t["tender_item"], ["ocid"], TENDER + "value_amount", TENDER + "items_total_value_amount", "tender")
+    rows = _compared(_with_sums(rows, t["tender_item"], ["ocid"], TENDER + "items_total_value_amount", "tender"), TENDER + "value_amount", "tender")
     declared = F.col(TENDER + "number_of_tenderers")
     columns = [
         "process_key", "buyer_key", "procurement_method_key", *currencies, "tender_published_date_key", *(X.date_key(F.col(c)).alias(a) for a, c in dates.items()), F.lit(1).alias("process_count"),
@@ -211,22 +242,24 @@ def fact_procurement_process(t: Frames) -> DataFrame:
 
 def fact_award(t: Frames) -> DataFrame:
     grain, amount = ["ocid", AWARDS + "id"], AWARDS + "value_amount"
-    rows = _attributed(_inherited(t["award"], t), t, AWARDS + "id")
-    rows = _in_home_currency(rows, t, "award_value_exchange_rate", AWARDS + "value_exchange_rates_rate", grain, AWARDS + "value_currency", amount, "award_amount_pen_calculated")
-    rows = _with_item_sums(rows, t["award_item"], grain, amount, AWARDS + "items_total_value_amount", "award")
+    grains = _grains(t, "award", grain, "award_fact_key", "award_value_exchange_rate", AWARDS + "value_exchange_rates_rate")
+    grains = _attributed(_with_sums(grains, t["award_item"], grain, AWARDS + "items_total_value_amount", "award"), t, AWARDS + "id")
+    rows = _with_grains(_inherited(t["award"], t), grains, grain)
+    rows = _compared(_in_home_currency(rows, t, AWARDS + "value_currency", amount, "award_amount_pen_calculated"), amount, "award")
     columns = [
         "process_key", "buyer_key", "procurement_method_key", ATTRIBUTED[0], "currency_key", X.date_key(F.col(AWARDS + "date")).alias("award_date_key"), F.col(AWARDS + "id").alias("award_id"), F.lit(1).alias("award_count"),
         F.col(amount).alias("award_amount_original"), "conversion_rate_to_pen", "award_amount_pen_calculated", "supplier_count", "award_item_amount_sum_original", "award_amount_difference_original",
         ATTRIBUTED[1], "dq_pen_conversion_available", "dq_award_amount_reconciled_0_01",
     ]
-    return _keyed(rows, grain, "award_fact_key", columns)
+    return _cut(rows, "award_fact_key", columns)
 
 
 def fact_contract(t: Frames) -> DataFrame:
     grain, amount = ["ocid", CONTRACTS + "id"], CONTRACTS + "value_amount"
-    rows = _attributed(_inherited(t["contract"], t), t, CONTRACTS + "award_id")
-    rows = _in_home_currency(rows, t, "contract_value_exchange_rate", CONTRACTS + "value_exchange_rates_rate", grain, CONTRACTS + "value_currency", amount, "contract_amount_pen_calculated")
-    rows = _with_item_sums(rows, t["contract_item"], grain, amount, CONTRACTS + "items_total_value_amount", "contract")
+    grains = _grains(t, "contract", grain, "contract_fact_key", "contract_value_exchange_rate", CONTRACTS + "value_exchange_rates_rate")
+    grains = _with_sums(grains, t["contract_item"], grain, CONTRACTS + "items_total_value_amount", "contract")
+    rows = _with_grains(_attributed(_inherited(t["contract"], t), t, CONTRACTS + "award_id"), grains, grain)
+    rows = _compared(_in_home_currency(rows, t, CONTRACTS + "value_currency", amount, "contract_amount_pen_calculated"), amount, "contract")
     dates = {"contract_signed_date_key": "date_signed", "contract_period_start_date_key": "period_start_date", "contract_period_end_date_key": "period_end_date", "implementation_end_date_key": "implementation_end_date"}
     columns = [
         "process_key", "buyer_key", "procurement_method_key", ATTRIBUTED[0], "currency_key", *(X.date_key(F.col(CONTRACTS + c)).alias(a) for a, c in dates.items()),
@@ -235,20 +268,20 @@ def fact_contract(t: Frames) -> DataFrame:
         F.col(CONTRACTS + "implementation_final_value_amount").alias("final_value_original"), "contract_item_amount_sum_original", "contract_amount_difference_original",
         F.coalesce("dq_final_value_available", F.lit(False)).alias("dq_final_value_available"), ATTRIBUTED[1], "dq_pen_conversion_available", "dq_contract_amount_reconciled_0_01",
     ]
-    return _keyed(rows, grain, "contract_fact_key", columns)
+    return _cut(rows, "contract_fact_key", columns)
 
 
 def _fact_item(t: Frames, table: str, parent_id: str | None, prepared: Callable[[DataFrame], DataFrame], columns: Sequence[str | Column], tail: Sequence[str], key: str) -> DataFrame:
     prefix = ITEMS[table]
     grain = ["ocid", *([parent_id] if parent_id else []), prefix + "id"]
-    rows = prepared(_inherited(t[table], t))
-    amount = prefix + "total_value_amount"
-    rows = _in_home_currency(rows, t, f"{table}_exchange_rate", prefix + "total_value_exchange_rates_rate", grain, prefix + "total_value_currency", amount, "total_amount_pen_calculated")
-    more = t[f"{table}_classification"].select(*grain, F.col(prefix + "additional_classifications_scheme").alias("_scheme"), F.col(prefix + "additional_classifications_id").alias("_code"))
-    rows = R.join_one_to_one(rows, more, grain)
-    category = {"classification_scheme": "classification_scheme", "classification_code": "classification_code"}
-    for alias, (s, c) in {"primary_category_key": (prefix + "classification_scheme", prefix + "classification_id"), "standard_category_key": ("_scheme", "_code")}.items():
-        rows = R.lookup_key(rows, t["dim_category"], dict(zip((s, c), category)), "category_key", alias)
+    amount, category = prefix + "total_value_amount", ("classification_scheme", "classification_code")
+    grains = _grains(t, table, grain, key, f"{table}_exchange_rate", prefix + "total_value_exchange_rates_rate")
+    more = t[f"{table}_classification"].select(*grain, *(F.col(prefix + f"additional_classifications_{c}").alias(f"_{c}") for c in ("scheme", "id")))
+    more = R.lookup_key(more, t["dim_category"], dict(zip(("_scheme", "_id"), category)), "category_key", "standard_category_key").drop("_scheme", "_id")
+    grains = R.join_to_one(grains, more, grain).fillna(0, ["standard_category_key"])
+    rows = _with_grains(prepared(_inherited(t[table], t)), grains, grain)
+    rows = _in_home_currency(rows, t, prefix + "total_value_currency", amount, "total_amount_pen_calculated")
+    rows = R.lookup_key(rows, t["dim_category"], dict(zip((prefix + "classification_scheme", prefix + "classification_id"), category)), "category_key", "primary_category_key")
     rows = R.lookup_key(rows, t["dim_unit"], {prefix + "unit_scheme": "unit_scheme", prefix + "unit_id": "unit_code"}, "unit_key")
     missing = F.coalesce("dq_classification_was_missing", F.lit(False))
     out = [
@@ -256,7 +289,7 @@ def _fact_item(t: Frames, table: str, parent_id: str | None, prepared: Callable[
         F.lit(1).alias(f"{table}_count"), F.col(prefix + "quantity").alias("quantity"), F.col(amount).alias("total_amount_original"), "conversion_rate_to_pen", "total_amount_pen_calculated",
         missing.alias("dq_classification_was_missing"), (F.col("standard_category_key") == 0).alias("dq_standard_category_missing"), *tail, "dq_pen_conversion_available",
     ]
-    return _keyed(rows, grain, key, out)
+    return _cut(rows, key, out)
 
 
 def fact_tender_item(t: Frames) -> DataFrame:
@@ -273,8 +306,10 @@ def fact_award_item(t: Frames) -> DataFrame:
 def fact_contract_item(t: Frames) -> DataFrame:
     """Items of contracts; their supplier is that of the award which the contract names."""
     parents = t["contract"].select("ocid", CONTRACTS + "id", F.col(CONTRACTS + "award_id").alias("_award_id"), F.col(CONTRACTS + "date_signed").alias("_date"))
+    parents = _attributed(parents, t, "_award_id").select("ocid", CONTRACTS + "id", "_date", *ATTRIBUTED)
     columns = [ATTRIBUTED[0], X.date_key(F.col("_date")).alias("contract_signed_date_key"), F.col(CONTRACTS + "id").alias("contract_id"), F.col(CONTRACTS + "items_id").alias("contract_item_id")]
-    return _fact_item(t, "contract_item", CONTRACTS + "id", lambda rows: _attributed(R.join_to_one(rows, parents, ["ocid", CONTRACTS + "id"]), t, "_award_id"), columns, [ATTRIBUTED[1]], "contract_item_fact_key")
+    prepared = lambda rows: R.join_to_one(rows, parents, ["ocid", CONTRACTS + "id"]).fillna(0, ATTRIBUTED[:1]).fillna(False, ATTRIBUTED[1:])
+    return _fact_item(t, "contract_item", CONTRACTS + "id", prepared, columns, [ATTRIBUTED[1]], "contract_item_fact_key")
 
 
 def _bridge(t: Frames, table: str, supplier: str, grain: Sequence[str], columns: Sequence[Column], key: str) -> DataFrame:

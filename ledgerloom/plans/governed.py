@@ -1,8 +1,8 @@
 """The governed rules of a built warehouse, and its layers held against each other.
 
 ``references`` evaluates all foreign keys in one pass: each table is read once and gives the
-keys that it owns and those that it points to; they meet as (key set, key) pairs that were
-counted before. ``evaluate`` runs every rule of ``CATALOG`` over a warehouse; the results are
+keys that it owns and those that it points to; they meet as (key set, key) pairs, counted by
+each task before they do. ``evaluate`` runs every rule of ``CATALOG`` over a warehouse; the results are
 classified by the catalog, which must be complete.
 """
 
@@ -77,22 +77,29 @@ def references(tables: Mapping[str, DataFrame], links: Mapping[str, tuple[str, s
     Rows with a null in the key are not evaluated. Every table is read once, as owner of keys
     and as child; its pairs are counted by each task before they meet, so a key of very many rows is a row for each task.
     """
-    sets = {(parent, tuple(keys.values())): f"{parent}({', '.join(keys.values())})" for _, parent, keys in links.values()}
+    sets = {key: i for i, key in enumerate(dict.fromkeys((parent, tuple(keys.values())) for _, parent, keys in links.values()))}
+    # A relation has a place among those of its key set, so that a key needs a number for each place and no list.
+    places: dict[str, tuple[int, int]] = {}
+    for relation, (_, parent, keys) in links.items():
+        of = sets[parent, tuple(keys.values())]
+        places[relation] = (of, sum(o == of for o, _ in places.values()))
     parts = []
 
-    def pair(key_set: str, relation: str | None, columns: Sequence[str]) -> Column:
+    def pair(key_set: int, place: int | None, columns: Sequence[str]) -> Column:
         cells = [F.col(f"`{c}`").cast("string") for c in columns]
-        return F.when(~X.any_null(cells), F.struct(F.lit(key_set).alias("key_set"), F.lit(relation).cast("string").alias("relation"), F.xxhash64(*cells).alias("a"), F.xxhash64(F.lit(1), *cells).alias("b")))
+        return F.when(~X.any_null(cells), F.struct(F.lit(key_set).alias("key_set"), F.lit(place).cast("int").alias("place"), F.xxhash64(*cells).alias("a"), F.xxhash64(F.lit(1), *cells).alias("b")))
 
     for name, df in tables.items():
-        pairs = [pair(label, None, columns) for (parent, columns), label in sets.items() if parent == name]
-        pairs += [pair(sets[parent, tuple(keys.values())], relation, list(keys)) for relation, (child, parent, keys) in links.items() if child == name]
+        pairs = [pair(of, None, columns) for (parent, columns), of in sets.items() if parent == name]
+        pairs += [pair(*places[relation], list(keys)) for relation, (child, _, keys) in links.items() if child == name]
         if pairs:
             parts.append(df.select(F.explode(F.array(*pairs)).alias("p")).filter("p IS NOT NULL").select("p.*"))
-    counted = reduce(DataFrame.unionByName, parts).groupBy("key_set", "relation", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    # A row for each relation at most meets under a key.
-    each = counted.groupBy("key_set", "a", "b").agg(F.max(F.col("relation").isNull()).alias("owned"), F.collect_list(F.when(F.col("relation").isNotNull(), F.struct("relation", "n"))).alias("held"))
-    rows = each.select("owned", F.explode("held").alias("h")).groupBy("h.relation").agg(F.sum("h.n").alias("rows_evaluated"), F.sum(F.when(F.col("owned"), 0).otherwise(F.col("h.n"))).alias("orphans"), F.count_if(~F.col("owned")).alias("orphan_keys"))
+    held = range(max((place for _, place in places.values()), default=-1) + 1)
+    each = reduce(DataFrame.unionByName, parts).groupBy("key_set", "a", "b").agg(F.max(F.col("place").isNull()).alias("owned"), *(F.count_if(F.col("place") == i).alias(f"n{i}") for i in held))
+    lost = ~F.col("owned")
+    sums = each.groupBy("key_set").agg(*(c.alias(f"{n}{i}") for i in held for n, c in (("rows", F.sum(f"n{i}")), ("orphans", F.sum(F.when(lost, F.col(f"n{i}")).otherwise(0))), ("keys", F.count_if(lost & (F.col(f"n{i}") > 0))))))
+    cells = [F.struct(F.lit(relation).alias("relation"), F.lit(of).alias("of"), *(F.col(f"{n}{i}").alias(c) for n, c in (("rows", "rows_evaluated"), ("orphans", "orphans"), ("keys", "orphan_keys")))) for relation, (of, i) in places.items()]
+    rows = sums.select("key_set", F.inline(F.array(*cells))).filter("key_set = of").drop("key_set", "of")
     spark = next(iter(tables.values())).sparkSession
     return spark.createDataFrame([(r,) for r in links], "relation string").join(rows, "relation", "left").fillna(0, ["rows_evaluated", "orphans", "orphan_keys"])
 

@@ -6,6 +6,7 @@ import pytest
 
 from ledgerloom.operators import relational as R
 from ledgerloom.plans import build as B
+from ledgerloom.plans import governed as G
 from ledgerloom.plans import warehouse_queries as WQ
 
 from .oracle import SF, THERE
@@ -42,3 +43,15 @@ def test_a_grain_that_is_there_twice_stops_the_build(spark, grain):
     once = {**t, "award": t["award"].distinct()}
     got = B._with_grains(once["award"], B._grains(once, "award", ["ocid", "a"], "key", "rates", "r"), ["ocid", "a"]).collect()
     assert sorted(r.key for r in got) == [1, 2] and [r._rate for r in got if r.a] == [2] * (grain[1] is not None)
+
+
+def test_references_meet_in_one_grouping_of_numbers(spark):
+    """Before, keys were grouped twice, and the second time into lists, which sorts them."""
+    tables = {"c": spark.createDataFrame([(1, 2), (1, None), (5, 5)], "p int, q int"), "d": spark.createDataFrame([(2,), (2,)], "p int"), "o": spark.createDataFrame([(1,), (2,)], "x int")}
+    links = {"one": ("c", "o", {"p": "x"}), "two": ("c", "o", {"q": "x"}), "three": ("d", "o", {"p": "x"}), "four": ("o", "d", {"x": "p"})}
+    found = G.references(tables, links)
+    got = {r.relation: (r.rows_evaluated, r.orphans, r.orphan_keys) for r in found.collect()}
+    assert got == {"one": (3, 1, 1), "two": (2, 1, 1), "three": (2, 0, 0), "four": (2, 1, 1)}
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+    nothing = {n: df.limit(0) for n, df in tables.items()}
+    assert {r.relation: r.rows_evaluated for r in G.references(nothing, links).collect()} == dict.fromkeys(links, 0)

@@ -277,6 +277,40 @@ def test_repetitive_lines_of_different_length(spark):
     assert got == [s not in sets[:i] for i, s in enumerate(sets)]
 
 
+def test_unlike_lines_are_not_compared_shingle_by_shingle(spark, monkeypatch):
+    """Lines of one template that share half of their shingles meet in many bands; before, all their pairs had their sets made."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(3))
+    base = [word() for _ in range(60)]
+    lines = []
+    for _ in range(40):
+        own = list(base)
+        for at in rng.sample(range(60), 12):
+            own[at] = word()
+        lines.append(" ".join(own))
+    lines += [f"{x[:100]}#{x[101:]}" for x in lines[:5]]
+    written, cut = {}, Scratch.cut
+
+    def counted(self, df, label, **kwargs):
+        back = cut(self, df, label, **kwargs)
+        written[label] = written.get(label, 0) + back.count()
+        return back
+
+    monkeypatch.setattr(Scratch, "cut", counted)
+    got = [r.kept for r in line_dedup.line_classes(spark, spark.createDataFrame(list(enumerate(lines)), DOCS)).orderBy("doc_id").collect()]
+    assert got == [True] * 40 + [False] * 5
+    assert written["links"] == 5 and written["alike"] < 100
+
+
+def test_shingles_of_bytes_are_those_of_strings(spark):
+    texts = ["", "abcd", "abcde", "ha ha ha ha", "stra\u00dfe und weg", "\U0001f600 ha ha \U0001f600 ha", "tab\tand\x00nul"]
+    found = spark.createDataFrame([(x,) for x in texts], "text string").select("text", line_dedup.shingles_of(F.col("text")).alias("s")).collect()
+    sets = {x: {x[i : i + 5] for i in range(len(x) - 4)} for x in texts}
+    names = sorted({g for s in sets.values() for g in s})
+    of = {r.g: r.h for r in spark.createDataFrame([(g,) for g in names], "g string").selectExpr("g", "xxhash64(g) AS h").collect()}
+    assert all(len(r.s) == len(set(r.s)) and set(r.s) == {of[g] for g in sets[r.text]} for r in found)
+
+
 def test_fuzzy_lines(spark):
     rng = random.Random(3)
     lines = []

@@ -388,3 +388,32 @@ def test_recall_of_lines_by_length(spark):
         root[max(find(i), find(j))] = min(find(i), find(j))
     truth: dict[int, int] = {}
     assert all(truth.setdefault(of[ids[x]], find(i)) == find(i) for i, x in enumerate(lines))
+
+
+def test_marks_tell_lines_apart_in_their_bucket(spark):
+    """Copies changed up to the threshold are admitted, unlike lines of one vocabulary refused; parities of all shingles refuse no link."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 3))) for _ in range(400)]
+    shingles = lambda x: {x[i : i + 5] for i in range(len(x) - 4)}
+    rows = []
+    for n in (8, 20, 40, 60, 150, 250):
+        for _ in range(40):
+            base = [rng.choice(words) for _ in range(n)]
+            for tries in (n // 12, n // 3):
+                copy = list(base)
+                for _ in range(tries):
+                    copy[rng.randrange(n)] = rng.choice(words)
+                rows.append((" ".join(base), " ".join(copy)))
+    alike = {(x, y): len(shingles(x) & shingles(y)) / len(shingles(x) | shingles(y)) for x, y in rows}
+    df = spark.createDataFrame([(i, k, x) for i, (a, b) in enumerate(rows) for k, x in enumerate((a, b))], "i long, k int, t string")
+    marked = line_dedup.with_bands(df.withColumn("all", line_dedup.shingles_of(F.col("t"))), "t").withColumn("prints", line_dedup.prints_of("all"))
+    side = lambda k, p: marked.filter(f"k = {k}").select("i", *(F.col(c).alias(p + c) for c in ("t", *line_dedup.MARKS, "prints")))
+    both = side(0, "x_").join(side(1, "y_"), "i")
+    near = line_dedup.near(line_dedup.PERCENT)("x_", "y_")
+    first = both.withColumns({f"{p}prints": F.lit(None).cast("array<bigint>") for p in ("x_", "y_")})
+    got = {(r.x_t, r.y_t): r.ok for r in first.selectExpr("x_t", "y_t", f"{near} AS ok").collect()}
+    last = {(r.x_t, r.y_t): r.ok for r in both.withColumn("x_marked", F.lit(0)).selectExpr("x_t", "y_t", f"{near} AS ok").collect()}
+    links, unlike = [p for p, s in alike.items() if s >= 0.8], [p for p, s in alike.items() if s < 0.5]
+    assert len(links) > 100 and len(unlike) > 100
+    assert all(last[p] for p in links) and sum(got[p] for p in links) >= 0.99 * len(links)
+    assert sum(got[p] for p in unlike) < 0.2 * len(unlike) and sum(last[p] for p in unlike) < 0.05 * len(unlike)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exprs as X
 from ledgerloom.operators import relational as R
-from ledgerloom.sources.scratch import written
+from ledgerloom.sources.scratch import held, written
 
 from . import warehouse as W
 from .validation import rules
@@ -175,14 +175,18 @@ def _attributed(rows: DataFrame, t: Frames, award_id: str) -> DataFrame:
     return R.join_to_one(rows, side, ["ocid", award_id]).fillna(0, ["supplier_count", ATTRIBUTED[0]]).fillna(False, [ATTRIBUTED[1]])
 
 
-def _grains(t: Frames, table: str, grain: Sequence[str], key: str, rates: str, rate: str) -> DataFrame:
+def _numbered(rows: DataFrame, grain: Sequence[str], key: str, keyed: bool) -> DataFrame:
+    return R.dense_keys(rows, grain, key) if keyed else rows.withColumn(key, F.lit(None).cast("bigint"))
+
+
+def _grains(t: Frames, table: str, grain: Sequence[str], key: str, rates: str, rate: str, keyed: bool = True) -> DataFrame:
     """The grains of a typed table, each once or the build raises, with their number in order and their ``_rate``.
 
     A fact's numbers, rates and sums meet in these rows, which are narrow; the wide rows of
     its table are neither counted nor sorted and join them once, see ``_with_grains``.
     """
     each = R.asserted_unique(t[table].select(*grain), grain, f"join is not one-to-one on {', '.join(grain)}")
-    return R.join_to_one(R.dense_keys(each, grain, key), t[rates].select(*grain, F.col(rate).alias("_rate")), grain)
+    return R.join_to_one(_numbered(each, grain, key, keyed), t[rates].select(*grain, F.col(rate).alias("_rate")), grain)
 
 
 def _with_grains(rows: DataFrame, grains: DataFrame, grain: Sequence[str]) -> DataFrame:
@@ -212,16 +216,16 @@ def _compared(rows: DataFrame, amount: str, stem: str) -> DataFrame:
     return rows.withColumn(f"dq_{stem}_amount_reconciled_0_01", X.within(F.col(f"{stem}_amount_difference_original")))
 
 
-def _keyed(rows: DataFrame, grain: Sequence[str], key: str, columns: Sequence[str | Column]) -> DataFrame:
+def _keyed(rows: DataFrame, grain: Sequence[str], key: str, columns: Sequence[str | Column], keyed: bool = True) -> DataFrame:
     """Numbered in the order of the grain and cut to the fact's columns, lineage last."""
-    return _cut(R.dense_keys(rows, grain, key), key, columns)
+    return _cut(_numbered(rows, grain, key, keyed), key, columns)
 
 
 def _cut(rows: DataFrame, key: str, columns: Sequence[str | Column]) -> DataFrame:
     return rows.select(F.col(key).cast("bigint").alias(key), *columns, *LINEAGE)
 
 
-def fact_procurement_process(t: Frames) -> DataFrame:
+def fact_procurement_process(t: Frames, keyed: bool = True) -> DataFrame:
     rows = _inherited(t["procurement_process"], t)
     currencies = {"tender_currency_key": TENDER + "value_currency", "budget_currency_key": CR + "planning_budget_amount_currency"}
     for alias, c in currencies.items():
@@ -237,12 +241,12 @@ def fact_procurement_process(t: Frames) -> DataFrame:
         declared.alias("tenderer_count_declared"), "tenderer_count_observed", "tender_item_amount_sum_original", "tender_amount_difference_original",
         F.coalesce("dq_tender_value_is_zero", F.lit(False)).alias("dq_tender_value_is_zero"), F.coalesce(declared == F.col("tenderer_count_observed"), F.lit(False)).alias("dq_tenderer_count_matches_observed"), "dq_tender_amount_reconciled_0_01",
     ]
-    return _keyed(rows, ["ocid"], "procurement_process_fact_key", columns)
+    return _keyed(rows, ["ocid"], "procurement_process_fact_key", columns, keyed)
 
 
-def fact_award(t: Frames) -> DataFrame:
+def fact_award(t: Frames, keyed: bool = True) -> DataFrame:
     grain, amount = ["ocid", AWARDS + "id"], AWARDS + "value_amount"
-    grains = _grains(t, "award", grain, "award_fact_key", "award_value_exchange_rate", AWARDS + "value_exchange_rates_rate")
+    grains = _grains(t, "award", grain, "award_fact_key", "award_value_exchange_rate", AWARDS + "value_exchange_rates_rate", keyed)
     grains = _attributed(_with_sums(grains, t["award_item"], grain, AWARDS + "items_total_value_amount", "award"), t, AWARDS + "id")
     rows = _with_grains(_inherited(t["award"], t), grains, grain)
     rows = _compared(_in_home_currency(rows, t, AWARDS + "value_currency", amount, "award_amount_pen_calculated"), amount, "award")
@@ -254,9 +258,9 @@ def fact_award(t: Frames) -> DataFrame:
     return _cut(rows, "award_fact_key", columns)
 
 
-def fact_contract(t: Frames) -> DataFrame:
+def fact_contract(t: Frames, keyed: bool = True) -> DataFrame:
     grain, amount = ["ocid", CONTRACTS + "id"], CONTRACTS + "value_amount"
-    grains = _grains(t, "contract", grain, "contract_fact_key", "contract_value_exchange_rate", CONTRACTS + "value_exchange_rates_rate")
+    grains = _grains(t, "contract", grain, "contract_fact_key", "contract_value_exchange_rate", CONTRACTS + "value_exchange_rates_rate", keyed)
     grains = _with_sums(grains, t["contract_item"], grain, CONTRACTS + "items_total_value_amount", "contract")
     rows = _with_grains(_attributed(_inherited(t["contract"], t), t, CONTRACTS + "award_id"), grains, grain)
     rows = _compared(_in_home_currency(rows, t, CONTRACTS + "value_currency", amount, "contract_amount_pen_calculated"), amount, "contract")
@@ -271,11 +275,11 @@ def fact_contract(t: Frames) -> DataFrame:
     return _cut(rows, "contract_fact_key", columns)
 
 
-def _fact_item(t: Frames, table: str, parent_id: str | None, prepared: Callable[[DataFrame], DataFrame], columns: Sequence[str | Column], tail: Sequence[str], key: str) -> DataFrame:
+def _fact_item(t: Frames, table: str, parent_id: str | None, prepared: Callable[[DataFrame], DataFrame], columns: Sequence[str | Column], tail: Sequence[str], key: str, keyed: bool) -> DataFrame:
     prefix = ITEMS[table]
     grain = ["ocid", *([parent_id] if parent_id else []), prefix + "id"]
     amount, category = prefix + "total_value_amount", ("classification_scheme", "classification_code")
-    grains = _grains(t, table, grain, key, f"{table}_exchange_rate", prefix + "total_value_exchange_rates_rate")
+    grains = _grains(t, table, grain, key, f"{table}_exchange_rate", prefix + "total_value_exchange_rates_rate", keyed)
     more = t[f"{table}_classification"].select(*grain, *(F.col(prefix + f"additional_classifications_{c}").alias(f"_{c}") for c in ("scheme", "id")))
     more = R.lookup_key(more, t["dim_category"], dict(zip(("_scheme", "_id"), category)), "category_key", "standard_category_key").drop("_scheme", "_id")
     grains = R.join_to_one(grains, more, grain).fillna(0, ["standard_category_key"])
@@ -292,24 +296,24 @@ def _fact_item(t: Frames, table: str, parent_id: str | None, prepared: Callable[
     return _cut(rows, key, out)
 
 
-def fact_tender_item(t: Frames) -> DataFrame:
+def fact_tender_item(t: Frames, keyed: bool = True) -> DataFrame:
     columns = ["procurement_method_key", "tender_published_date_key", F.col(TENDER + "items_id").alias("tender_item_id")]
-    return _fact_item(t, "tender_item", None, lambda rows: rows, columns, [], "tender_item_fact_key")
+    return _fact_item(t, "tender_item", None, lambda rows: rows, columns, [], "tender_item_fact_key", keyed)
 
 
-def fact_award_item(t: Frames) -> DataFrame:
+def fact_award_item(t: Frames, keyed: bool = True) -> DataFrame:
     parents = t["award"].select("ocid", AWARDS + "id", F.col(AWARDS + "date").alias("_date"))
     columns = [ATTRIBUTED[0], X.date_key(F.col("_date")).alias("award_date_key"), F.col(AWARDS + "id").alias("award_id"), F.col(AWARDS + "items_id").alias("award_item_id")]
-    return _fact_item(t, "award_item", AWARDS + "id", lambda rows: R.join_to_one(_attributed(rows, t, AWARDS + "id"), parents, ["ocid", AWARDS + "id"]), columns, [ATTRIBUTED[1]], "award_item_fact_key")
+    return _fact_item(t, "award_item", AWARDS + "id", lambda rows: R.join_to_one(_attributed(rows, t, AWARDS + "id"), parents, ["ocid", AWARDS + "id"]), columns, [ATTRIBUTED[1]], "award_item_fact_key", keyed)
 
 
-def fact_contract_item(t: Frames) -> DataFrame:
+def fact_contract_item(t: Frames, keyed: bool = True) -> DataFrame:
     """Items of contracts; their supplier is that of the award which the contract names."""
     parents = t["contract"].select("ocid", CONTRACTS + "id", F.col(CONTRACTS + "award_id").alias("_award_id"), F.col(CONTRACTS + "date_signed").alias("_date"))
     parents = _attributed(parents, t, "_award_id").select("ocid", CONTRACTS + "id", "_date", *ATTRIBUTED)
     columns = [ATTRIBUTED[0], X.date_key(F.col("_date")).alias("contract_signed_date_key"), F.col(CONTRACTS + "id").alias("contract_id"), F.col(CONTRACTS + "items_id").alias("contract_item_id")]
     prepared = lambda rows: R.join_to_one(rows, parents, ["ocid", CONTRACTS + "id"]).fillna(0, ATTRIBUTED[:1]).fillna(False, ATTRIBUTED[1:])
-    return _fact_item(t, "contract_item", CONTRACTS + "id", prepared, columns, [ATTRIBUTED[1]], "contract_item_fact_key")
+    return _fact_item(t, "contract_item", CONTRACTS + "id", prepared, columns, [ATTRIBUTED[1]], "contract_item_fact_key", keyed)
 
 
 def _bridge(t: Frames, table: str, supplier: str, grain: Sequence[str], columns: Sequence[Column], key: str) -> DataFrame:
@@ -333,7 +337,7 @@ class Table:
     """How a table is built, and from which other built tables."""
 
     kind: str
-    build: Callable[[Frames], DataFrame]
+    build: Callable[..., DataFrame]
     needs: tuple[str, ...] = ()
 
 
@@ -374,18 +378,28 @@ class Warehouse:
         return reduce(DataFrame.unionByName, parts)
 
 
-def build(silver: Mapping[str, DataFrame], only: Sequence[str] | None = None) -> Warehouse:
-    """The warehouse from the typed tables, or the named tables of it with all that they need."""
+def build(silver: Mapping[str, DataFrame], only: Sequence[str] | None = None, columns: Mapping[str, Sequence[str]] | None = None) -> Warehouse:
+    """The warehouse from the typed tables, or the named tables of it with all that they need.
+
+    ``columns`` names facts of which no more than some columns are wanted, with these: what the
+    others alone need is neither computed nor written, and a fact whose number is not wanted
+    is not sorted. All its rows are there.
+    """
+    columns = columns or {}
     wanted, stack = set(), list(only or TABLES)
     while stack:
         name = stack.pop()
         if name not in wanted:
             wanted.add(name)
             stack += TABLES[name].needs
-    held: dict[str, DataFrame] = dict(silver)
+    frames: dict[str, DataFrame] = dict(silver)
     for name in TopologicalSorter({n: TABLES[n].needs for n in TABLES if n in wanted}).static_order():
-        held[name] = written(TABLES[name].build(held))
-    return Warehouse({n: held[n] for n in TABLES if n in wanted and TABLES[n].kind != "context"})
+        if name in columns:
+            key = f"{name.removeprefix('fact_')}_fact_key"
+            frames[name] = held(TABLES[name].build(frames, key in columns[name]).select(*columns[name]))
+        else:
+            frames[name] = held(TABLES[name].build(frames))
+    return Warehouse({n: frames[n] for n in TABLES if n in wanted and TABLES[n].kind != "context"})
 
 
 #: Fact or bridge, and the typed table of which it has a row for each row.

@@ -182,6 +182,15 @@ def calculation_rules(t: Mapping[str, DataFrame]) -> list[DataFrame]:
     ]
 
 
+#: What ``warning_rules`` reads of the facts.
+WARNED = {
+    "fact_procurement_process": ("tenderer_count_declared", "tenderer_count_observed", "tender_amount_original", "dq_tender_value_is_zero", "dq_tender_amount_reconciled_0_01"),
+    "fact_award": ("currency_key", "award_amount_original", "dq_pen_conversion_available", "dq_award_amount_reconciled_0_01"),
+    "fact_contract": ("currency_key", "contract_amount_original", "dq_pen_conversion_available", "dq_contract_amount_reconciled_0_01", "dq_final_value_available"),
+    **dict.fromkeys(("fact_tender_item", "fact_award_item", "fact_contract_item"), ("currency_key", "total_amount_original", "dq_pen_conversion_available")),
+}
+
+
 def warning_rules(t: Mapping[str, DataFrame]) -> list[DataFrame]:
     amounts = [(f, a) for f, a, _ in CONVERTED] + [("fact_procurement_process", "tender_amount_original")]
     foreign = [V.rule(_with_code(t[f], t["dim_currency"]), f, "warning", (F.col("_code") != "PEN") & F.col(a).isNotNull() & ~F.col("dq_pen_conversion_available")) for f, a, _ in CONVERTED]
